@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidefold.schemas import DELETE, IDENTITY, ORDERING
 
+# Most keys that are broadcast; at a few hundred bytes each they stay below 100 MB.
+BROADCAST_ROWS = 250_000
+
 
 def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """One row per key: the greatest by `order`, compared left to right.
@@ -21,6 +26,31 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column])
     return ranked.where(F.col("_rank") == 1).drop("_rank")
 
 
+def fold_onto(
+    base: DataFrame,
+    changes: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """The fold of `base` and `changes`, where `base` already has one row per key.
+
+    With few changes only the touched rows of the base are folded: the changed keys are
+    counted, broadcast, and the rest of the base passes through without a shuffle. With many
+    changes everything is folded at once. The result is the same.
+    """
+    columns = base.columns
+    changes = changes.select(*columns)
+    changed_keys = changes.select(*[F.col(key).alias(f"_{key}") for key in keys]).distinct()
+    if changed_keys.limit(broadcast_rows + 1).count() > broadcast_rows:
+        return latest_by(base.unionByName(changes), keys, order)
+    changed_keys = F.broadcast(changed_keys)
+    match = reduce(and_, [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys])
+    untouched = base.join(changed_keys, match, "left_anti")
+    touched = base.join(changed_keys, match, "left_semi")
+    return untouched.unionByName(latest_by(touched.unionByName(changes), keys, order))
+
+
 def fold_log(log: DataFrame, order: Sequence[str] = ORDERING) -> DataFrame:
     """Last event of every document, deletes included.
 

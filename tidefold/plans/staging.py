@@ -4,7 +4,7 @@ Layout below one root:
 
     state/version=<v>/component_key=…/table_key=…   last event of every document, with tombstones
     tables/version=<v>/<component>/<table>.parquet  typed live documents of one table
-    ledger/version=<v>/{loads,tables,commit}        what was processed, where each table lives
+    ledger/version=<v>/                             what was processed, where each table lives
 
 A run writes a new version of the tables it touches and commits by writing the ledger last.
 Readers go through the ledger, so a run that dies leaves the previous version untouched and
@@ -26,20 +26,30 @@ from pyspark.sql import functions as F
 from tidefold.functions.kinds import schema_field_flags
 from tidefold.functions.names import directory_key, directory_key_text, staging_path
 from tidefold.operators.digest import digest_text
-from tidefold.operators.fold import fold_log, live
+from tidefold.operators.fold import fold_log, fold_onto, live
 from tidefold.operators.infer import project_staging, staging_columns
 from tidefold.operators.select import affected_tables
-from tidefold.schemas import DELETE, LOG_FILE_SCHEMA
-from tidefold.session import list_names, path_exists, remove_path, run_jobs
+from tidefold.schemas import DELETE, IDENTITY, LOG_FILE_SCHEMA, ORDERING
+from tidefold.session import list_names, partition_values, remove_path, run_jobs
 from tidefold.sources.catalog import catalog_hash, read_catalog
 from tidefold.sources.changelog import LOG_KEYS, load_ids, read_log
 
 FULL_REBUILD, INCREMENTAL = "full_rebuild", "incremental"
 
-_LOADS = "load_id string, batches bigint, events bigint"
-_TABLES = (
-    "component_path string, table_name string, relative_path string, state_version string, "
-    "table_version string, rows bigint, sha256 string, bytes bigint, columns string"
+_ENTRY = {
+    "component_path": "string",
+    "table_name": "string",
+    "relative_path": "string",
+    "state_version": "string",
+    "table_version": "string",
+    "rows": "bigint",
+    "sha256": "string",
+    "bytes": "bigint",
+    "columns": "string",
+}
+_LEDGER = (
+    "schema_hash string, mode string, load struct<load_id: string, batches: bigint, events: bigint>, "
+    f"entry struct<{', '.join(f'{name}: {kind}' for name, kind in _ENTRY.items())}>"
 )
 
 
@@ -68,39 +78,36 @@ def schema_catalog_path(log: str) -> str:
     return f"{log}/_schemas"
 
 
-def read_ledger(spark: SparkSession, root: str) -> Ledger | None:
-    versions = [
-        name
-        for name in _version_names(spark, root)
-        if path_exists(spark, f"{root}/ledger/version={name}/commit/_SUCCESS")
-    ]
-    if not versions:
-        return None
-    base = f"{root}/ledger/version={max(versions)}"
-    commit = spark.read.schema("schema_hash string, mode string").json(f"{base}/commit").first()
-    loads = spark.read.schema(_LOADS).parquet(f"{base}/loads").collect()
-    tables = spark.read.schema(_TABLES).parquet(f"{base}/tables").collect()
-    return Ledger(
-        version=int(max(versions)),
-        schema_hash=commit["schema_hash"],
-        loads={row["load_id"]: (row["batches"], row["events"]) for row in loads},
-        tables={(row["component_path"], row["table_name"]): row.asDict() for row in tables},
-    )
+def _ledger_path(root: str, version: int) -> str:
+    return f"{root}/ledger/version={version:010d}"
 
 
-def _version_names(spark: SparkSession, root: str) -> list[str]:
-    return [n.split("=", 1)[1] for n in list_names(spark, f"{root}/ledger") if n.startswith("version=")]
+def read_ledger(spark: SparkSession, root: str) -> Ledger | None:
+    """The newest committed ledger, or None before the first run."""
+    committed = partition_values(spark, f"{root}/ledger", "version")
+    if not committed:
+        return None
+    version = int(max(committed))
+    rows = spark.read.schema(_LEDGER).parquet(_ledger_path(root, version)).collect()
+    ledger = Ledger(version, None)
+    for row in rows:
+        if row["load"] is not None:
+            ledger.loads[row["load"]["load_id"]] = (row["load"]["batches"], row["load"]["events"])
+        elif row["entry"] is not None:
+            entry = row["entry"].asDict()
+            ledger.tables[entry["component_path"], entry["table_name"]] = entry
+        else:
+            ledger.schema_hash = row["schema_hash"]
+    return ledger
 
 
 def _write_ledger(spark: SparkSession, root: str, ledger: Ledger, mode: str) -> None:
-    base = f"{root}/ledger/version={ledger.version:010d}"
-    loads = [(load, batches, events) for load, (batches, events) in sorted(ledger.loads.items())]
-    names = [part.strip().split(" ")[0] for part in _TABLES.split(",")]
-    tables = [tuple(entry[name] for name in names) for _, entry in sorted(ledger.tables.items())]
-    spark.createDataFrame(loads, _LOADS).write.mode("overwrite").parquet(f"{base}/loads")
-    spark.createDataFrame(tables, _TABLES).write.mode("overwrite").parquet(f"{base}/tables")
-    commit = spark.createDataFrame([(ledger.schema_hash, mode)], "schema_hash string, mode string")
-    commit.coalesce(1).write.mode("overwrite").json(f"{base}/commit")
+    """One write of one small file; it exists completely or it does not count."""
+    rows: list[tuple] = [(ledger.schema_hash, mode, None, None)]
+    rows += [(None, None, (load, *counts), None) for load, counts in sorted(ledger.loads.items())]
+    rows += [(None, None, None, tuple(entry[n] for n in _ENTRY)) for _, entry in sorted(ledger.tables.items())]
+    frame = spark.createDataFrame(rows, _LEDGER).coalesce(1)
+    frame.write.mode("overwrite").parquet(_ledger_path(root, ledger.version))
 
 
 def load_counts(log_rows: DataFrame) -> DataFrame:
@@ -180,16 +187,17 @@ def materialise(
             for key in touched
             if key in previous.tables
         ]
-        events = fresh.select(*LOG_FILE_SCHEMA.fieldNames())
-        if stored:
-            events = events.unionByName(_read_state(spark, stored))
     else:
-        new_loads = present
+        new_loads, stored = present, []
         fresh = read_log(spark, log, present)
-        events = fresh.select(*LOG_FILE_SCHEMA.fieldNames())
 
+    events = fresh.select(*LOG_FILE_SCHEMA.fieldNames())
+    if stored:
+        folded = fold_onto(_read_state(spark, stored), events, IDENTITY, ORDERING)
+    else:
+        folded = fold_log(events)
     state_path = f"{root}/state/version={version:010d}"
-    write_state(fold_log(events), state_path)
+    write_state(folded, state_path)
     state = _read_state(spark, [state_path])
     seeds = None if catalog is None else schema_field_flags(catalog)
     statistics, columns, counts = run_jobs(
