@@ -102,9 +102,16 @@ def sync_once(
         pages = with_checkpoint(read_pages(spark, folder, kind), kind)
         headers = pages_after(pages.drop("values"), order, after, max_pages).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            bounds = headers.agg(F.count("*").alias("n"), F.min(order).alias("low"), F.max(order).alias("high")).first()
+            bounds = headers.agg(
+                F.count("*").alias("n"),
+                F.count_distinct(order).alias("distinct"),
+                F.min(order).alias("low"),
+                F.max(order).alias("high"),
+            ).first()
             if not bounds["n"]:
                 return 0
+            if bounds["distinct"] != bounds["n"]:
+                raise ValueError(f"{kind} pages are not told apart by {order}")
             due = pages.where(F.col(order).between(bounds["low"], bounds["high"]))
             values = documents(due, table)
             events = with_fingerprint(normalise(values, on_error=on_error), catalog)

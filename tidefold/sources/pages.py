@@ -1,7 +1,8 @@
 """Landed page envelopes: snapshot pages and delta pages, batch or stream.
 
-A page is one JSON object per line (or per file, with `multi_line`). Document values are
-read as raw text, so numbers keep the form they were sent in.
+A page is one JSON object. Snapshot pages land one per file, in path order; delta pages
+carry their own order and may share files, one per line. Document values are read as raw
+text, so numbers keep the form they were sent in.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ DELTA_ENVELOPE = "values array<string>, hasMore boolean, cursor bigint"
 
 SNAPSHOT, DELTA = "snapshot", "delta"
 _ENVELOPES = {SNAPSHOT: SNAPSHOT_ENVELOPE, DELTA: DELTA_ENVELOPE}
-# Snapshot pages carry an opaque cursor, so landing order (the file name) is their order;
+# Snapshot pages carry an opaque cursor, so landing order (the file path) is their order;
 # delta cursors are ordered themselves.
 PAGE_ORDER = {SNAPSHOT: "page_file", DELTA: "cursor"}
 
@@ -28,17 +29,17 @@ def read_pages(spark: SparkSession, path: str, kind: str, multi_line: bool = Fal
     A page that is not the JSON it should be fails the job.
     """
     reader = spark.read.schema(_ENVELOPES[kind]).option("mode", "FAILFAST").option("multiLine", multi_line)
-    return _named(reader.json(path))
+    return _named(reader.option("recursiveFileLookup", True).json(path))
 
 
 def stream_pages(spark: SparkSession, path: str, kind: str, max_files: int = 100) -> DataFrame:
     """The same rows as a stream that picks up newly landed files."""
-    reader = spark.readStream.schema(_ENVELOPES[kind]).option("mode", "FAILFAST")
+    reader = spark.readStream.schema(_ENVELOPES[kind]).option("mode", "FAILFAST").option("recursiveFileLookup", True)
     return _named(reader.option("maxFilesPerTrigger", max_files).json(path))
 
 
 def _named(pages: DataFrame) -> DataFrame:
-    return pages.withColumn("page_file", F.col("_metadata.file_name")).withColumnRenamed("hasMore", "has_more")
+    return pages.withColumn("page_file", F.col("_metadata.file_path")).withColumnRenamed("hasMore", "has_more")
 
 
 def documents(pages: DataFrame, table: str | None = None) -> DataFrame:
