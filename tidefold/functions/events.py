@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidefold.functions.jsontext import MARK, mark_decimals, object_entries, type_word, unmark_decimals
+from tidefold.functions.jsontext import MARK, object_entries, parse_marked, shape, unmark_decimals
 from tidefold.schemas import (
     BRONZE_COLUMNS,
     CDC_CREATION_TIME,
@@ -33,20 +33,16 @@ EVENT_COLUMNS = ["component_path", "table_name", "document_id", "timestamp", "op
 FAIL, QUARANTINE = "fail", "quarantine"
 
 
-def _member(name: str, kind: str = "variant") -> Column:
-    return F.try_variant_get("_parsed", f"$.{name}", kind)
-
-
 def _text_problem(name: str) -> Column:
     """Missing and wrong-typed metadata are told apart; a wrapped number is not a string."""
-    value = _member(name)
-    is_text = (type_word(value) == "STRING") & ~_member(name, "string").startswith(MARK)
-    return F.when(value.isNull(), f"missing:{name}").when(~is_text, f"invalid:{name}")
+    value, kind = F.col(f"_value{name}"), F.col(f"_shape{name}")
+    is_text = (kind == "STRING") & ~value.startswith(MARK)
+    return F.when(kind.isNull(), f"missing:{name}").when(~is_text, f"invalid:{name}")
 
 
 def _integer_problem(name: str) -> Column:
-    value = _member(name)
-    return F.when(value.isNull(), f"missing:{name}").when(type_word(value) != "BIGINT", f"invalid:{name}")
+    kind = F.col(f"_shape{name}")
+    return F.when(kind.isNull(), f"missing:{name}").when(kind != "BIGINT", f"invalid:{name}")
 
 
 def read_metadata(df: DataFrame, value: str = "value") -> DataFrame:
@@ -54,13 +50,23 @@ def read_metadata(df: DataFrame, value: str = "value") -> DataFrame:
 
     `error` is NULL for a valid document, else the first problem in the order
     not-an-object, component, table, id, timestamp. Nothing is dropped here.
+
+    The steps are separate projections: each parsed piece is used several times after it
+    is computed, and kept apart it is computed once and the generated code stays small.
     """
-    parsed = df.withColumn("_parsed", F.when(F.col(value).rlike(r"^\s*\{"), F.try_parse_json(mark_decimals(value))))
-    is_delete = F.when(type_word(_member(META_DELETED)) == "BOOLEAN", _member(META_DELETED, "boolean"))
-    kept = F.map_filter(
-        object_entries("_parsed"), lambda key, _: ~key.startswith("_") | (key == META_CREATION_TIME)
+    metadata = {
+        META_COMPONENT: "string",
+        META_TABLE: "string",
+        META_ID: "string",
+        META_TS: "bigint",
+        META_DELETED: "boolean",
+        META_CREATION_TIME: "string",
+    }
+    parsed = df.withColumn("_parsed", F.when(F.col(value).rlike(r"^\s*\{"), parse_marked(value)))
+    typed = parsed.withColumns(
+        {f"_shape{name}": shape(F.try_variant_get("_parsed", f"$.{name}", "variant")) for name in metadata}
+        | {f"_value{name}": F.try_variant_get("_parsed", f"$.{name}", kind) for name, kind in metadata.items()}
     )
-    creation = unmark_decimals(F.to_json(_member(META_CREATION_TIME))).try_cast("double")
     error = F.coalesce(
         F.when(F.col("_parsed").isNull(), "not_an_object"),
         _text_problem(META_COMPONENT),
@@ -68,18 +74,27 @@ def read_metadata(df: DataFrame, value: str = "value") -> DataFrame:
         _text_problem(META_ID),
         _integer_problem(META_TS),
     )
+    is_delete = (F.col(f"_shape{META_DELETED}") == "BOOLEAN") & F.col(f"_value{META_DELETED}")
+    checked = typed.withColumns({"error": error, "_delete": F.coalesce(is_delete, F.lit(False))})
+
     valid = F.col("error").isNull()
-    return (
-        parsed.withColumn("error", error)
-        .withColumn("component_path", F.when(valid, _member(META_COMPONENT, "string")))
-        .withColumn("table_name", F.when(valid, _member(META_TABLE, "string")))
-        .withColumn("document_id", F.when(valid, _member(META_ID, "string")))
-        .withColumn("timestamp", F.when(valid, _member(META_TS, "bigint")))
-        .withColumn("op", F.when(valid, F.when(F.coalesce(is_delete, F.lit(False)), DELETE).otherwise(UPSERT)))
-        .withColumn("document", F.when(valid & (F.col("op") == UPSERT), unmark_decimals(F.to_json(kept))))
-        .withColumn("creation_time", F.when(valid, creation))
-        .drop("_parsed")
+    kept = F.map_filter(object_entries("_parsed"), lambda key, _: ~key.startswith("_") | (key == META_CREATION_TIME))
+    creation = F.col(f"_value{META_CREATION_TIME}")
+    kind = F.col(f"_shape{META_CREATION_TIME}")
+    is_number = kind.isin("BIGINT", "DOUBLE") | kind.startswith("DECIMAL") | creation.startswith(MARK)
+    events = checked.withColumns(
+        {
+            "component_path": F.when(valid, F.col(f"_value{META_COMPONENT}")),
+            "table_name": F.when(valid, F.col(f"_value{META_TABLE}")),
+            "document_id": F.when(valid, F.col(f"_value{META_ID}")),
+            "timestamp": F.when(valid, F.col(f"_value{META_TS}")),
+            "op": F.when(valid, F.when(F.col("_delete"), DELETE).otherwise(UPSERT)),
+            "document": F.when(valid & ~F.col("_delete"), F.to_json(kept)),
+            "creation_time": F.when(valid & is_number, F.replace(creation, F.lit(MARK), F.lit("")).try_cast("double")),
+        }
     )
+    helpers = ["_parsed", "_delete", *(f"{part}{name}" for name in metadata for part in ("_shape", "_value"))]
+    return events.withColumn("document", unmark_decimals("document")).drop(*helpers)
 
 
 def normalise(df: DataFrame, value: str = "value", on_error: str = FAIL) -> DataFrame:
@@ -87,20 +102,27 @@ def normalise(df: DataFrame, value: str = "value", on_error: str = FAIL) -> Data
 
     `fail` stops the job at the first bad document, `quarantine` leaves bad documents out
     of this result; `quarantined` gives exactly those.
+
+    Events leave through a generator. A plain filter on them would be pushed below the
+    projections that parse, and every document would be parsed again for the filter alone.
     """
     checked = read_metadata(df, value)
-    if on_error == QUARANTINE:
-        checked = checked.where(F.col("error").isNull())
-    else:
+    if on_error == FAIL:
         message = F.concat(F.lit("bad source document: "), F.col("error"))
-        guard = F.when(F.col("error").isNull(), F.col("op")).otherwise(F.raise_error(message).cast("string"))
-        checked = checked.withColumn("op", guard)
-    return checked.drop("error", value)
+        failing = F.when(F.col("error").isNull(), F.col("op")).otherwise(F.raise_error(message).cast("string"))
+        checked, keep = checked.withColumn("op", failing), F.lit(True)
+    else:
+        keep = F.col("error").isNull()
+    produced = [*EVENT_COLUMNS, "creation_time"]
+    carried = [name for name in df.columns if name != value]
+    return checked.select(*carried, F.inline(F.when(keep, F.array(F.struct(*produced)))))
 
 
 def quarantined(df: DataFrame, value: str = "value") -> DataFrame:
     """Documents that are not valid changes, whole, with their `error`."""
-    return read_metadata(df, value).where(F.col("error").isNotNull()).drop(*EVENT_COLUMNS, "creation_time")
+    checked = read_metadata(df, value)
+    bad = F.when(F.col("error").isNotNull(), F.array(F.struct(value, "error")))
+    return checked.select(*[name for name in df.columns if name != value], F.inline(bad))
 
 
 def with_fingerprint(events: DataFrame, catalog: DataFrame) -> DataFrame:

@@ -3,9 +3,13 @@ r"""JSON text as columns: canonical form, object entries, value kinds.
 Canonical text is compact, has sorted keys and raw UTF-8. Spark's variant gives all of that
 but prints the number `1.0` as `1`, and the difference decides whether a column becomes
 BIGINT or DOUBLE. So before parsing, every such number is wrapped into a marked string, and
-unwrapped again in the output. The wrapping pattern walks the text token by token (`\G`,
-possessive quantifiers only), so strings are skipped whole, there is no backtracking and no
-recursion, and documents of any length pass.
+unwrapped again in the output.
+
+The quick wrapping looks only at the characters around a number. Should it hit text inside a
+string, the quote it adds ends that string in front of the mark, which no JSON allows there:
+parsing fails and the careful wrapping takes over. That one walks the text token by token
+(`\G`, possessive quantifiers only), so strings are skipped whole, nothing backtracks or
+recurses, and documents of any length pass.
 """
 
 from __future__ import annotations
@@ -15,12 +19,13 @@ from pyspark.sql import functions as F
 
 MARK = "\ue000"
 _INTEGRAL_DECIMAL = r"-?[0-9]++\.0++(?![0-9eE])"
+_QUICK = r"((?:^|[:\[,])\s*+)(-?[0-9]++\.0++)(?=\s*+(?:[,}\]]|$))"
 _TOKENS_BEFORE = (
     r'[^"0-9-]++'
     r'|"(?:[^"\\]++|\\.)*+"'
     rf"|(?!{_INTEGRAL_DECIMAL})-?+[0-9]++(?:\.[0-9]++)?+(?:[eE][+-]?+[0-9]++)?+"
 )
-_MARKING = rf"(?s)\G((?:{_TOKENS_BEFORE})*+)({_INTEGRAL_DECIMAL})"
+_CAREFUL = rf"(?s)\G((?:{_TOKENS_BEFORE})*+)({_INTEGRAL_DECIMAL})"
 _MARKED = rf'"{MARK}(-?[0-9]+\.0)0*"'
 
 
@@ -28,12 +33,13 @@ def _col(column: Column | str) -> Column:
     return F.col(column) if isinstance(column, str) else column
 
 
-def mark_decimals(text: Column | str) -> Column:
-    """Wrap numbers like `1.0` so that they survive a variant round trip."""
+def parse_marked(text: Column | str) -> Column:
+    """JSON text as a variant in which numbers like `1.0` are marked strings; NULL if it is not JSON."""
     text = _col(text)
-    worth_it = text.rlike(r"[0-9]\.0") & ~text.contains(MARK)
-    marked = F.regexp_replace(text, F.lit(_MARKING), F.lit(f'$1"{MARK}$2"'))
-    return F.when(worth_it, marked).otherwise(text)
+    wrapped = F.lit(f'$1"{MARK}$2"')
+    marked = [F.try_parse_json(F.regexp_replace(text, F.lit(pattern), wrapped)) for pattern in (_QUICK, _CAREFUL)]
+    worth_it = text.contains(".0") & ~text.contains(MARK)
+    return F.when(worth_it, F.coalesce(*marked)).otherwise(F.try_parse_json(text))
 
 
 def unmark_decimals(text: Column | str) -> Column:
@@ -44,7 +50,7 @@ def unmark_decimals(text: Column | str) -> Column:
 
 def canonical_json(text: Column | str) -> Column:
     """Compact, key-sorted JSON text; NULL for text that is not JSON."""
-    return unmark_decimals(F.to_json(F.try_parse_json(mark_decimals(text))))
+    return unmark_decimals(F.to_json(parse_marked(text)))
 
 
 def object_entries(variant: Column | str) -> Column:
@@ -61,6 +67,9 @@ def variant_path(name: str) -> str:
     raise ValueError(f"field name holds both kinds of quotes: {name}")
 
 
-def type_word(variant: Column | str) -> Column:
-    """BOOLEAN, BIGINT, DECIMAL, DOUBLE, STRING, ARRAY, OBJECT or VOID; NULL when absent."""
-    return F.regexp_extract(F.schema_of_variant(_col(variant)), "^[A-Z]+", 0)
+def shape(variant: Column | str) -> Column:
+    """Type of a value as text: BOOLEAN, BIGINT, DECIMAL(p,s), DOUBLE, STRING, ARRAY<…>, OBJECT<…> or VOID.
+
+    NULL when the value is absent.
+    """
+    return F.schema_of_variant(_col(variant))

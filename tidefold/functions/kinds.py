@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidefold.functions.jsontext import object_entries, type_word
+from tidefold.functions.jsontext import object_entries, shape
 from tidefold.schemas import (
     META_CREATION_TIME,
     RESERVED_STAGING_COLUMNS,
@@ -43,15 +43,15 @@ SPARK_TYPE_OF_KIND = {
 }
 
 
-def value_flag(variant: Column | str) -> Column:
-    """Flag of one JSON value; 0 for JSON null. Integers beyond 64 bits count as floats."""
-    word = type_word(variant)
+def shape_flag(text: Column | str) -> Column:
+    """Flag of a value by its `shape`; 0 for JSON null. Integers beyond 64 bits count as floats."""
+    text = F.col(text) if isinstance(text, str) else text
     return (
-        F.when(word == "BOOLEAN", BOOL)
-        .when(word == "BIGINT", INT)
-        .when(word.isin("DECIMAL", "DOUBLE", "FLOAT"), FLOAT)
-        .when(word == "STRING", TEXT)
-        .when(word.isin("ARRAY", "OBJECT"), NESTED)
+        F.when(text == "STRING", TEXT)
+        .when(text == "BIGINT", INT)
+        .when((text == "DOUBLE") | text.startswith("DECIMAL"), FLOAT)
+        .when(text == "BOOLEAN", BOOL)
+        .when(text.startswith("OBJECT") | text.startswith("ARRAY"), NESTED)
         .otherwise(0)
     )
 
@@ -99,60 +99,48 @@ def explode_fields(df: DataFrame, document: str, keep: list[str]) -> DataFrame:
     Documents that are not objects contribute nothing.
     """
     members = df.select(*keep, F.explode(object_entries(F.try_parse_json(document))).alias("field", "value"))
-    return members.withColumn("flag", value_flag("value"))
+    return members.withColumn("_shape", shape("value")).withColumn("flag", shape_flag("_shape")).drop("_shape")
 
 
 def schema_field_flags(catalog: DataFrame, max_depth: int = 8) -> DataFrame:
     """Flags that a JSON-schema catalog seeds: (table_name, field, flags).
 
-    Union branches join as a lattice, so it is enough to collect the leaf types of every
-    branch: level by level, each node either names its type or unfolds into its branches.
-    A catalog nested deeper than `max_depth` is an error, never silently cut.
+    Kinds join as a lattice, so a union is the `or` of its branches however they nest.
+    Unions nested deeper than `max_depth` are an error, never silently cut.
     """
     properties = F.expr("try_variant_get(try_parse_json(schema_json), '$.properties', 'variant')")
-    level = (
-        catalog.select("table_name", F.explode(object_entries(properties)).alias("field", "node"))
-        .where(~F.col("field").isin(SCHEMA_METADATA_FIELDS + RESERVED_STAGING_COLUMNS))
-        .withColumn("named", F.expr("try_variant_get(node, '$.type', 'variant')"))
+    fields = catalog.select("table_name", F.explode(object_entries(properties)).alias("field", "node")).where(
+        ~F.col("field").isin(SCHEMA_METADATA_FIELDS + RESERVED_STAGING_COLUMNS)
     )
-    creation_time = F.col("field") == META_CREATION_TIME
-    leaves = level.where(creation_time).select("table_name", "field", F.lit(FLOAT).alias("flags"))
-    level = level.where(~creation_time)
-
-    for depth in range(max_depth + 1):
-        is_list = type_word("named") == "ARRAY"
-        words = F.when(is_list, _leaf_words("named")).otherwise(
-            F.when(type_word("named") == "STRING", F.array(F.expr("try_variant_get(named, '$', 'string')")))
-        )
-        leaves = leaves.unionByName(
-            level.where(F.col("named").isNotNull()).select(
-                "table_name", "field", F.explode(words).alias("word")
-            ).select("table_name", "field", _schema_flag(F.col("word")).alias("flags"))
-        )
-        branches = F.coalesce(_array_member("anyOf"), _array_member("oneOf"))
-        deeper = level.where(F.col("named").isNull()).select("table_name", "field", F.explode(branches).alias("node"))
-        if depth == max_depth:
-            too_deep = F.raise_error(F.concat(F.lit("schema union nested too deep: "), "table_name", F.lit("."), "field"))
-            leaves = leaves.unionByName(deeper.select("table_name", "field", too_deep.cast("int").alias("flags")))
-        level = deeper.withColumn("named", F.expr("try_variant_get(node, '$.type', 'variant')"))
-
-    return leaves.groupBy("table_name", "field").agg(F.bit_or("flags").alias("flags"))
-
-
-def _leaf_words(node: str) -> Column:
-    """Type words of a `type` list; members that are not strings name nothing."""
-    items = F.expr(f"try_variant_get({node}, '$', 'array<variant>')")
-    return F.transform(
-        F.filter(items, lambda item: F.schema_of_variant(item) == "STRING"),
-        lambda item: F.try_variant_get(item, "$", "string"),
+    flags = F.when(F.col("field") == META_CREATION_TIME, FLOAT).otherwise(_schema_flags(F.col("node"), max_depth))
+    return fields.select("table_name", "field", flags.alias("flags"))
+
+
+def _schema_flags(node: Column, depth: int) -> Column:
+    """Flags of one schema node: its `type` if it has one, else what its union branches say."""
+    named = F.try_variant_get(node, "$.type", "variant")
+    branches = F.coalesce(*[F.try_variant_get(node, f"$.{union}", "array<variant>") for union in ("anyOf", "oneOf")])
+    if depth == 0:
+        unfolded = F.when(branches.isNotNull(), F.raise_error(F.lit("schema union nested too deep")).cast("int"))
+    else:
+        unfolded = F.aggregate(branches, F.lit(0), lambda seen, branch: seen.bitwiseOR(_schema_flags(branch, depth - 1)))
+    return F.when(named.isNotNull(), _type_flags(named)).otherwise(F.coalesce(unfolded, F.lit(0)))
+
+
+def _type_flags(named: Column) -> Column:
+    """Flags of a `type`: a word or a list of words. Anything else names nothing."""
+    words = F.coalesce(
+        F.try_variant_get(named, "$", "array<variant>"),
+        F.when(shape(named) == "STRING", F.array(named)),
+        F.array().cast("array<variant>"),
+    )
+    texts = F.filter(words, lambda word: shape(word) == "STRING")
+    return F.aggregate(
+        texts, F.lit(0), lambda seen, word: seen.bitwiseOR(_word_flag(F.try_variant_get(word, "$", "string")))
     )
 
 
-def _array_member(name: str) -> Column:
-    return F.expr(f"try_variant_get(node, '$.{name}', 'array<variant>')")
-
-
-def _schema_flag(word: Column) -> Column:
+def _word_flag(word: Column) -> Column:
     flag = F.lit(NESTED)
     for name, value in SCHEMA_TYPE_FLAGS.items():
         flag = F.when(word == name, value).otherwise(flag)

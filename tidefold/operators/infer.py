@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidefold.functions.jsontext import type_word, variant_path
+from tidefold.functions.jsontext import shape, variant_path
 from tidefold.functions.kinds import (
     BOOL,
     SPARK_TYPE_OF_KIND,
@@ -125,7 +125,7 @@ def project_bronze(
             return value
         if type_name == "string":
             member = F.try_variant_get("_variant", variant_path(name), "variant")
-            return F.when(type_word(member) == "BOOLEAN", F.initcap(value)).otherwise(value)
+            return F.when(shape(member) == "BOOLEAN", F.initcap(value)).otherwise(value)
         return F.when(value == "true", "1").when(value == "false", "0").otherwise(value).try_cast(type_name)
 
     return parsed.select(*keep, *[column(name, type_name).alias(name) for name, type_name, _ in ordered])

@@ -317,12 +317,16 @@ def column_exclusion(spark, sf_dir):
 
 @query(
     "jn3_new_loads",
-    f"select distinct ship_year as load_id from {LOG_L.sql} where ship_year not in (select cast(year(o_orderdate) as varchar) from orders)",
+    """select distinct strftime(l_shipdate, '%Y-%m-%d') as load_id from lineitem where l_shipdate not in
+       (select o_orderdate from orders where o_orderpriority = '1-URGENT')""",
 )
 def new_loads(spark, sf_dir):
-    listed = LOG_L.frame(spark, sf_dir).select(F.col("ship_year").alias("load_id")).distinct()
-    years = table(spark, sf_dir, "orders").select(F.year("o_orderdate").cast("string").alias("load_id")).distinct()
-    return unprocessed(listed, years, "load_id")
+    def day(name):
+        return F.date_format(name, "yyyy-MM-dd").alias("load_id")
+
+    listed = table(spark, sf_dir, "lineitem").select(day("l_shipdate")).distinct()
+    urgent = table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'")
+    return unprocessed(listed, urgent.select(day("o_orderdate")).distinct(), "load_id")
 
 
 @query(
