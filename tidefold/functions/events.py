@@ -45,8 +45,8 @@ def _integer_problem(name: str) -> Column:
     return F.when(kind.isNull(), f"missing:{name}").when(kind != "BIGINT", f"invalid:{name}")
 
 
-def read_metadata(df: DataFrame, value: str = "value") -> DataFrame:
-    """Add the event columns, `creation_time` and `error` to rows of raw document text.
+def read_metadata(df: DataFrame, value: str = "value", creation_time: bool = False) -> DataFrame:
+    """Add the event columns and `error`, on request also `creation_time`, to rows of raw document text.
 
     `error` is NULL for a valid document, else the first problem in the order
     not-an-object, component, table, id, timestamp. Nothing is dropped here.
@@ -60,9 +60,11 @@ def read_metadata(df: DataFrame, value: str = "value") -> DataFrame:
         META_ID: "string",
         META_TS: "bigint",
         META_DELETED: "boolean",
-        META_CREATION_TIME: "string",
     }
-    parsed = df.withColumn("_parsed", F.when(F.col(value).rlike(r"^\s*\{"), parse_marked(value)))
+    if creation_time:
+        metadata[META_CREATION_TIME] = "string"
+    is_object = F.ltrim(F.col(value), F.lit(" \t\r\n")).startswith("{")
+    parsed = df.withColumn("_parsed", F.when(is_object, parse_marked(value)))
     typed = parsed.withColumns(
         {f"_shape{name}": shape(F.try_variant_get("_parsed", f"$.{name}", "variant")) for name in metadata}
         | {f"_value{name}": F.try_variant_get("_parsed", f"$.{name}", kind) for name, kind in metadata.items()}
@@ -79,25 +81,27 @@ def read_metadata(df: DataFrame, value: str = "value") -> DataFrame:
 
     valid = F.col("error").isNull()
     kept = F.map_filter(object_entries("_parsed"), lambda key, _: ~key.startswith("_") | (key == META_CREATION_TIME))
-    creation = F.col(f"_value{META_CREATION_TIME}")
-    kind = F.col(f"_shape{META_CREATION_TIME}")
-    is_number = kind.isin("BIGINT", "DOUBLE") | kind.startswith("DECIMAL") | creation.startswith(MARK)
-    events = checked.withColumns(
-        {
-            "component_path": F.when(valid, F.col(f"_value{META_COMPONENT}")),
-            "table_name": F.when(valid, F.col(f"_value{META_TABLE}")),
-            "document_id": F.when(valid, F.col(f"_value{META_ID}")),
-            "timestamp": F.when(valid, F.col(f"_value{META_TS}")),
-            "op": F.when(valid, F.when(F.col("_delete"), DELETE).otherwise(UPSERT)),
-            "document": F.when(valid & ~F.col("_delete"), F.to_json(kept)),
-            "creation_time": F.when(valid & is_number, F.replace(creation, F.lit(MARK), F.lit("")).try_cast("double")),
-        }
-    )
+    produced = {
+        "component_path": F.when(valid, F.col(f"_value{META_COMPONENT}")),
+        "table_name": F.when(valid, F.col(f"_value{META_TABLE}")),
+        "document_id": F.when(valid, F.col(f"_value{META_ID}")),
+        "timestamp": F.when(valid, F.col(f"_value{META_TS}")),
+        "op": F.when(valid, F.when(F.col("_delete"), DELETE).otherwise(UPSERT)),
+        "document": F.when(valid & ~F.col("_delete"), F.to_json(kept)),
+    }
+    if creation_time:
+        text, kind = F.col(f"_value{META_CREATION_TIME}"), F.col(f"_shape{META_CREATION_TIME}")
+        is_number = kind.isin("BIGINT", "DOUBLE") | kind.startswith("DECIMAL") | text.startswith(MARK)
+        number = F.replace(text, F.lit(MARK), F.lit("")).try_cast("double")
+        produced["creation_time"] = F.when(valid & is_number, number)
+    events = checked.withColumns(produced)
     helpers = ["_parsed", "_delete", *(f"{part}{name}" for name in metadata for part in ("_shape", "_value"))]
     return events.withColumn("document", unmark_decimals("document")).drop(*helpers)
 
 
-def normalise(df: DataFrame, value: str = "value", on_error: str = FAIL) -> DataFrame:
+def normalise(
+    df: DataFrame, value: str = "value", on_error: str = FAIL, creation_time: bool = False
+) -> DataFrame:
     """Valid change events; the raw text is dropped, other columns are kept.
 
     `fail` stops the job at the first bad document, `quarantine` leaves bad documents out
@@ -106,14 +110,14 @@ def normalise(df: DataFrame, value: str = "value", on_error: str = FAIL) -> Data
     Events leave through a generator. A plain filter on them would be pushed below the
     projections that parse, and every document would be parsed again for the filter alone.
     """
-    checked = read_metadata(df, value)
+    checked = read_metadata(df, value, creation_time)
     if on_error == FAIL:
         message = F.concat(F.lit("bad source document: "), F.col("error"))
         failing = F.when(F.col("error").isNull(), F.col("op")).otherwise(F.raise_error(message).cast("string"))
         checked, keep = checked.withColumn("op", failing), F.lit(True)
     else:
         keep = F.col("error").isNull()
-    produced = [*EVENT_COLUMNS, "creation_time"]
+    produced = [*EVENT_COLUMNS, "creation_time"] if creation_time else EVENT_COLUMNS
     carried = [name for name in df.columns if name != value]
     return checked.select(*carried, F.inline(F.when(keep, F.array(F.struct(*produced)))))
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 MARK = "\ue000"
 _INTEGRAL_DECIMAL = r"-?[0-9]++\.0++(?![0-9eE])"
-_QUICK = r"((?:^|[:\[,])\s*+)(-?[0-9]++\.0++)(?=\s*+(?:[,}\]]|$))"
+_QUICK = r"([:\[,]\s*+)(-?[0-9]++\.0++)(?=\s*+[,}\]])"
 _TOKENS_BEFORE = (
     r'[^"0-9-]++'
     r'|"(?:[^"\\]++|\\.)*+"'
@@ -34,7 +34,7 @@ def _col(column: Column | str) -> Column:
 
 
 def parse_marked(text: Column | str) -> Column:
-    """JSON text as a variant in which numbers like `1.0` are marked strings; NULL if it is not JSON."""
+    """JSON object or array as a variant in which numbers like `1.0` are marked strings; NULL if it is not JSON."""
     text = _col(text)
     wrapped = F.lit(f'$1"{MARK}$2"')
     marked = [F.try_parse_json(F.regexp_replace(text, F.lit(pattern), wrapped)) for pattern in (_QUICK, _CAREFUL)]

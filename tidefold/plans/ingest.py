@@ -28,8 +28,13 @@ from tidefold.sources.changelog import write_load
 from tidefold.sources.control import append_checkpoints, read_history
 from tidefold.sources.pages import DELTA, PAGE_ORDER, SNAPSHOT, documents, pages_after, read_pages, with_checkpoint
 
-# Receives normalised events and the load's name; returns the number of events written.
-Sink = Callable[[DataFrame, str], int]
+@dataclass(frozen=True)
+class Sink:
+    """Where events go: `write` takes normalised events and a load's name, and returns their number."""
+
+    write: Callable[[DataFrame, str], int]
+    wants_creation_time: bool = False
+
 
 _FOLDERS = {SNAPSHOT: "snapshot", DELTA: "deltas"}
 
@@ -51,7 +56,7 @@ def log_sink(log: str) -> Sink:
             return 0
         return spark.read.parquet(f"{log}/load_id={load_id}").count()
 
-    return write
+    return Sink(write)
 
 
 def bronze_sink(root: str, source_id: str, run_id: str) -> Sink:
@@ -61,7 +66,7 @@ def bronze_sink(root: str, source_id: str, run_id: str) -> Sink:
         routed = append_bronze(events, root, load_id, source_id, run_id)
         return routed.agg(F.coalesce(F.sum("row_count"), F.lit(0))).first()[0]
 
-    return write
+    return Sink(write, wants_creation_time=True)
 
 
 def save_catalog(spark: SparkSession, landing: str, log: str) -> DataFrame:
@@ -114,9 +119,9 @@ def sync_once(
                 raise ValueError(f"{kind} pages are not told apart by {order}")
             due = pages.where(F.col(order).between(bounds["low"], bounds["high"]))
             values = documents(due, table)
-            events = with_fingerprint(normalise(values, on_error=on_error), catalog)
+            events = normalise(values, on_error=on_error, creation_time=sink.wants_creation_time)
             load_id = f"{kind}-{zlib.crc32(f'{source_id}|{start}'.encode()):08x}"
-            summary.events_written += sink(events, load_id)
+            summary.events_written += sink.write(with_fingerprint(events, catalog), load_id)
             if on_error == QUARANTINE and quarantine is not None:
                 bad = quarantined(values)
                 bad.write.mode("overwrite").parquet(f"{quarantine}/load_id={load_id}")

@@ -146,7 +146,7 @@ def _read_state(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 
 def write_state(folded: DataFrame, path: str) -> None:
-    """Store a folded state by table, sorted by document inside the files.
+    """Store a folded state by table.
 
     Rebalancing splits a table that holds much of the data over many files and keeps small
     tables in one file each.
@@ -156,8 +156,7 @@ def write_state(folded: DataFrame, path: str) -> None:
         directory_key("component_path").alias("component_key"),
         directory_key("table_name").alias("table_key"),
     )
-    balanced = rows.hint("rebalance", *LOG_KEYS).sortWithinPartitions(*LOG_KEYS, "document_id")
-    balanced.write.mode("overwrite").partitionBy(*LOG_KEYS).parquet(path)
+    rows.hint("rebalance", *LOG_KEYS).write.mode("overwrite").partitionBy(*LOG_KEYS).parquet(path)
 
 
 def materialise(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidefold.functions.names import logical_name
 from tidefold.operators.select import select_flow_tables, unprocessed
-from tidefold.plans.ingest import bronze_sink, log_sink, sync_once
+from tidefold.plans.ingest import Sink, bronze_sink, log_sink, sync_once
 from tidefold.plans.publish import manifests_path, publish, register_published_views
 from tidefold.plans.service import ServicePaths, run_round
 from tidefold.plans.staging import materialise, read_staging, staging_inventory, staging_tables
@@ -150,11 +150,11 @@ def write_then_checkpoint(spark, sf_dir):
     inner = log_sink(log)
 
     def dying(events, load_id):
-        inner(events, load_id)
+        inner.write(events, load_id)
         raise ConnectionError("lost before the checkpoint")
 
     try:
-        _sync(spark, landing, dying, control)
+        _sync(spark, landing, Sink(dying), control)
     except ConnectionError:
         pass
     _sync(spark, landing, inner, control)

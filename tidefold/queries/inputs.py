@@ -132,7 +132,7 @@ RAW_VALID = f"(select * from {RAW_EXPECTED} where error is null)"
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid events of the raw documents, as log rows with their creation time."""
-    events = normalise(RAWDOC.frame(spark, sf_dir), on_error=QUARANTINE)
+    events = normalise(RAWDOC.frame(spark, sf_dir), on_error=QUARANTINE, creation_time=True)
     return events.select(
         "component_path", "table_name", "document_id", "timestamp", "op",
         F.lit(None).cast("string").alias("schema_fingerprint"),

@@ -31,8 +31,8 @@ def start(
 
     def land(batch: DataFrame, batch_id: int) -> None:
         known = with_checkpoint(batch, kind)
-        events = with_fingerprint(normalise(documents(known, table)), catalog)
-        sink(events, f"{kind}-stream-{batch_id:010d}")
+        events = normalise(documents(known, table), creation_time=sink.wants_creation_time)
+        sink.write(with_fingerprint(events, catalog), f"{kind}-stream-{batch_id:010d}")
         steps = known.drop("values").orderBy(PAGE_ORDER[kind]).withColumn("write_seq", F.monotonically_increasing_id())
         append_checkpoints(steps, control, source_id, run_id)
 
