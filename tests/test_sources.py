@@ -175,7 +175,7 @@ def test_lag_and_counts(spark):
 
 def test_shared_folder_and_bounded_broadcast(spark):
     assert scratch_path(spark, "x").startswith(shared_dir(spark))
-    small = broadcast_if_bounded(spark.range(5), max_rows=5)
+    small = broadcast_if_bounded(spark.range(5), max_bytes=1000)
     assert "broadcast" in small._jdf.queryExecution().logical().toString().lower()
-    large = broadcast_if_bounded(spark.range(6), max_rows=5)
+    large = broadcast_if_bounded(spark.range(1000), max_bytes=1000)
     assert "broadcast" not in large._jdf.queryExecution().logical().toString().lower()

@@ -23,13 +23,18 @@ def digest_text(rows: Column, hash_sum: Column) -> Column:
     return F.sha2(F.concat_ws(":", rows.cast("string"), hash_sum.cast("string")), 256)
 
 
-def content_digest(df: DataFrame, keys: Sequence[str], row_hash: Column | None = None) -> DataFrame:
-    """Per key: `row_count` and `sha256` over the content of all its rows.
+def content_digest(
+    df: DataFrame, keys: Sequence[str], row_hash: Column | None = None, also: Sequence[Column] = ()
+) -> DataFrame:
+    """Per key: `row_count` and `sha256` over the content of all its rows, in one pass.
 
     `row_hash` gives the hash of one row; the default is xxhash64 over the other columns.
+    `also` are further aggregates for the same pass, such as a size.
     """
     if row_hash is None:
         row_hash = F.xxhash64(*[name for name in df.columns if name not in keys])
-    hashed = df.select(*keys, row_hash.cast("decimal(38,0)").alias("_hash"))
-    summed = hashed.groupBy(*keys).agg(F.count("*").alias("row_count"), F.sum("_hash").alias("_sum"))
-    return summed.select(*keys, "row_count", digest_text(F.col("row_count"), F.col("_sum")).alias("sha256"))
+    hashed = df.withColumn("_hash", row_hash.cast("decimal(38,0)"))
+    summed = hashed.groupBy(*keys).agg(F.count("*").alias("row_count"), F.sum("_hash").alias("_sum"), *also)
+    digest = digest_text(F.col("row_count"), F.col("_sum")).alias("sha256")
+    extra = [name for name in summed.columns if name not in (*keys, "row_count", "_sum")]
+    return summed.select(*keys, "row_count", digest, *extra)

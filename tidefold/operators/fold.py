@@ -10,9 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidefold.schemas import DELETE, IDENTITY, ORDERING
-
-# Most keys that are broadcast; at a few hundred bytes each they stay below 100 MB.
-BROADCAST_ROWS = 250_000
+from tidefold.session import BROADCAST_BYTES, fits_broadcast
 
 
 def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
@@ -31,18 +29,18 @@ def fold_onto(
     changes: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    broadcast_rows: int = BROADCAST_ROWS,
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The fold of `base` and `changes`, where `base` already has one row per key.
 
     With few changes only the touched rows of the base are folded: the changed keys are
-    counted, broadcast, and the rest of the base passes through without a shuffle. With many
+    measured, broadcast, and the rest of the base passes through without a shuffle. With many
     changes everything is folded at once. The result is the same.
     """
     columns = base.columns
     changes = changes.select(*columns)
     changed_keys = changes.select(*[F.col(key).alias(f"_{key}") for key in keys]).distinct()
-    if changed_keys.limit(broadcast_rows + 1).count() > broadcast_rows:
+    if not fits_broadcast(changed_keys, max_bytes):
         return latest_by(base.unionByName(changes), keys, order)
     changed_keys = F.broadcast(changed_keys)
     match = reduce(and_, [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys])

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidefold.functions.events import bronze_rows, normalise, read_metadata, with_fingerprint
@@ -69,16 +68,12 @@ def tombstones(spark, sf_dir):
 
 @query(
     "srt1_staging_row_order",
-    f"""select component_path, table_name, document_id, timestamp,
-        row_number() over (partition by component_path, table_name order by document_id, timestamp) as row_no
-        from {live_sql(LOG_E.sql)}""",
+    f"select component_path, table_name, document_id, timestamp from {live_sql(LOG_L.sql)} order by 1, 2, 3, 4",
 )
 def staging_row_order(spark, sf_dir):
-    current = current_state(log_rows(LOG_E, spark, sf_dir))
+    """Sorted by ranges of (table, document), so one big table is spread over many tasks."""
     columns = ["component_path", "table_name", "document_id", "timestamp"]
-    ordered = current.select(*columns).orderBy(*columns)
-    numbered = F.row_number().over(Window.partitionBy(*columns[:2]).orderBy(*columns[2:])).cast("bigint")
-    return ordered.withColumn("row_no", numbered)
+    return current_state(log_rows(LOG_L, spark, sf_dir)).select(*columns).orderBy(*columns)
 
 
 @query("srt2_table_order", f"select distinct component_path, table_name from {LOG_E.sql} order by 1, 2")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidefold.functions.names import bronze_table_name, logical_name
@@ -170,13 +169,9 @@ def roll_up(spark, sf_dir):
     return _ntz(bronze_roll_up(CAT_B.frame(spark, sf_dir)))
 
 
-@query(
-    "srt6_inventory_order",
-    f"select row_number() over (order by logical_table) as position, logical_table from ({_INVENTORY})",
-)
+@query("srt6_inventory_order", f"select logical_table from ({_INVENTORY}) order by 1")
 def inventory_order(spark, sf_dir):
-    ordered = table_inventory(CAT_B.frame(spark, sf_dir), CAT_S.frame(spark, sf_dir)).select("logical_table")
-    return ordered.withColumn("position", F.row_number().over(Window.orderBy("logical_table")).cast("bigint"))
+    return table_inventory(CAT_B.frame(spark, sf_dir), CAT_S.frame(spark, sf_dir)).select("logical_table")
 
 
 @query(

@@ -204,9 +204,8 @@ def _inventory(spark: SparkSession, sf_dir: str, where: str) -> DataFrame:
     rows = table(spark, sf_dir, "documents").where(where).withColumn(
         "relative_path", F.concat("lang", F.lit("/"), "source", F.lit(".parquet"))
     )
-    digests = content_digest(rows, ["relative_path"], sha_number("text"))
-    sizes = rows.groupBy("relative_path").agg(F.sum("n_chars").alias("bytes"))
-    return digests.join(sizes, "relative_path").select("relative_path", "sha256", "bytes")
+    digests = content_digest(rows, ["relative_path"], sha_number("text"), [F.sum("n_chars").alias("bytes")])
+    return digests.select("relative_path", "sha256", "bytes")
 
 
 def current_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 CHECKPOINT_DIR_KEY = "spark.checkpoint.dir"
 
-# Rows of metadata (tables, fields, files) that may be broadcast or handled by name.
-METADATA_ROW_BOUND = 100_000
+# What may be broadcast: at most this many bytes of column values.
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 # Scratch folders of local sessions that name no shared folder, by application.
 _local_dirs: dict[str, str] = {}
@@ -93,15 +93,30 @@ def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     ]
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = METADATA_ROW_BOUND) -> DataFrame:
-    """Broadcast `df` only after a count shows that it is metadata-sized.
+def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether the values of `df` are small enough to be sent to every executor; measured, not estimated."""
+    per_row = [F.coalesce(F.octet_length(F.col(f"`{name}`").cast("string")), F.lit(0)) + 16 for name in df.columns]
+    size = df.agg(F.sum(sum(per_row[1:], per_row[0]).cast("bigint")).alias("size")).first()["size"]
+    return (size or 0) <= max_bytes
+
+
+def broadcast_if_bounded(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast `df` only after measuring it.
 
     Beyond the bound the frame is returned as it is: Spark then plans a shuffled join and
     adaptive execution splits the skewed partitions of the other side.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if fits_broadcast(df, max_bytes) else df
+
+
+def with_adaptive_execution(batch: DataFrame) -> DataFrame:
+    """Turn adaptive execution on for what a micro-batch writes.
+
+    Streaming sessions start with it off, for the sake of stateful operators; the streams
+    here have none, and their writes need skewed tables to be split.
+    """
+    batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
+    return batch
 
 
 def run_jobs(spark: SparkSession, jobs: Iterable[Callable[[], object]], threads: int = 8) -> list[object]:

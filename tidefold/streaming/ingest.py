@@ -8,6 +8,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from tidefold.functions.events import normalise, with_fingerprint
 from tidefold.plans.ingest import Sink
+from tidefold.session import with_adaptive_execution
 from tidefold.sources.control import append_checkpoints
 from tidefold.sources.pages import PAGE_ORDER, documents, with_checkpoint
 
@@ -30,7 +31,7 @@ def start(
     """
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        known = with_checkpoint(batch, kind)
+        known = with_checkpoint(with_adaptive_execution(batch), kind)
         events = normalise(documents(known, table), creation_time=sink.wants_creation_time)
         sink.write(with_fingerprint(events, catalog), f"{kind}-stream-{batch_id:010d}")
         steps = known.drop("values").orderBy(PAGE_ORDER[kind]).withColumn("write_seq", F.monotonically_increasing_id())

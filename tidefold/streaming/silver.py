@@ -28,7 +28,7 @@ from tidefold.schemas import (
     CDC_SOURCE_COMPONENT,
     CDC_SOURCE_TABLE,
 )
-from tidefold.session import partition_values, remove_path
+from tidefold.session import partition_values, remove_path, with_adaptive_execution
 from tidefold.sources.bronze import bronze_columns
 
 
@@ -110,7 +110,7 @@ def start(
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        table.write_batch(batch, batch_id)
+        table.write_batch(with_adaptive_execution(batch), batch_id)
         if compact:
             table.compact(batch.sparkSession)
 
