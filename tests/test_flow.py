@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 from tidefold.plans.ingest import bronze_sink, log_sink, save_catalog, sync_once
 from tidefold.plans.publish import manifests_path, needs_publish, publish, register_published_views
 from tidefold.plans.service import ServicePaths, run_rounds
-from tidefold.plans.staging import materialise, read_staging, staging_inventory
-from tidefold.sources.bronze import append_bronze, bronze_columns, colliding_targets, read_bronze, read_bronze_rows, stream_bronze_rows
-from tidefold.sources.changelog import read_log, stream_log
+from tidefold.plans.staging import read_staging, staging_inventory
+from tidefold.sources.bronze import bronze_columns, colliding_targets, read_bronze, read_bronze_rows, stream_bronze_rows
+from tidefold.sources.changelog import read_log
 from tidefold.sources.control import read_history
 from tidefold.sources.manifest import latest_manifest
-from tidefold.sources.pages import DELTA, read_pages, stream_pages
+from tidefold.sources.pages import stream_pages
 from tidefold.streaming import ingest as stream_ingest
 from tidefold.streaming import silver
 

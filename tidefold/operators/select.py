@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidefold.functions.names import CDC_SUFFIX, flow_name, logical_name
+from tidefold.session import fits_broadcast
 
 
 def is_listed_table(name: str = "table_name", kind: str = "table_type") -> Column:
@@ -87,19 +88,18 @@ def longest_prefix(roots: DataFrame, locations: DataFrame, root: str = "root", u
         F.regexp_replace(url, "/+$", "").alias("matched_url")
     ).distinct()
     sizes = cleaned.agg(F.collect_set(F.length("matched_url")).alias("sizes"))
-    wanted = roots.select(root).distinct()
+    # Text of which the root is too short stays NULL and matches nothing; the root itself stays.
+    prefix = F.when(F.col("size") <= F.length(root), F.substring(F.col(root), F.lit(1), F.col("size")))
     candidates = (
-        wanted.withColumn("sizes", sizes.scalar())
-        .select(root, F.explode("sizes").alias("size"))
-        .where(F.col("size") <= F.length(root))
-        .select(root, F.substring(F.col(root), F.lit(1), F.col("size")).alias("matched_url"))
+        roots.select(root)
+        .distinct()
+        .withColumn("sizes", sizes.scalar())
+        .select(root, F.explode_outer("sizes").alias("size"))
+        .select(root, prefix.alias("prefix"))
     )
-    best = (
-        candidates.join(cleaned, "matched_url")
-        .groupBy(root)
-        .agg(F.max_by("matched_url", F.length("matched_url")).alias("matched_url"))
-    )
-    return wanted.join(best, root, "left")
+    lookup = F.broadcast(cleaned) if fits_broadcast(cleaned) else cleaned.hint("merge")
+    matched = candidates.join(lookup, F.col("prefix") == F.col("matched_url"), "left")
+    return matched.groupBy(root).agg(F.max_by("matched_url", F.length("matched_url")).alias("matched_url"))
 
 
 def require_covered(matches: DataFrame, root: str = "root") -> DataFrame:

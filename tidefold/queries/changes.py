@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidefold.functions.events import bronze_rows, normalise, read_metadata, with_fingerprint
-from tidefold.functions.kinds import bronze_type, explode_fields, flag_kind
+from tidefold.functions.kinds import bronze_type, explode_fields, flag_kind, schema_field_flags
+from tidefold.functions.names import bronze_table_name
 from tidefold.operators.fold import apply_changes, current_state, fold_log, live
 from tidefold.operators.infer import observed_flags, project_bronze, project_staging, staging_columns
 from tidefold.operators.select import affected_tables, only_affected, unprocessed
@@ -35,6 +36,9 @@ from tidefold.schemas import (
     RESERVED_STAGING_COLUMNS,
     SILVER_DROPPED_COLUMNS,
 )
+from tidefold.session import broadcast_if_bounded
+from tidefold.sources.bronze import routed_counts
+from tidefold.sources.catalog import with_fingerprints
 
 LOG_NAMES = ", ".join(RAW_LOG_COLUMNS)
 
@@ -151,9 +155,6 @@ def ingest_stamping(spark, sf_dir):
        from events e""",
 )
 def event_fingerprint(spark, sf_dir):
-    from tidefold.session import broadcast_if_bounded
-    from tidefold.sources.catalog import with_fingerprints
-
     events = table(spark, sf_dir, "events")
     schemas = events.select("event_type").distinct().select(
         F.concat(F.lit("type:"), "event_type").alias("table_name"),
@@ -207,8 +208,6 @@ def column_kinds(spark, sf_dir):
         from {RAW_VALID} where document is not null""",
 )
 def schema_seeded_columns(spark, sf_dir):
-    from tidefold.functions.kinds import schema_field_flags
-
     events = raw_events(spark, sf_dir)
     catalog = events.select("table_name").distinct().select(
         "table_name",
@@ -379,9 +378,6 @@ def counts_of_loads(spark, sf_dir):
         count(*) as row_count from {RAW_VALID} group by 1""",
 )
 def routed_event_counts(spark, sf_dir):
-    from tidefold.functions.names import bronze_table_name
-    from tidefold.sources.bronze import routed_counts
-
     return routed_counts(raw_events(spark, sf_dir).select(bronze_table_name("component_path", "table_name").alias("target")))
 
 

@@ -18,7 +18,14 @@ from tidefold.queries.inputs import LOG_E, LOG_L, RAW_VALID, live_sql, log_rows,
 from tidefold.queries.registry import query
 from tidefold.schemas import CATALOG_SCHEMA, CDC_DOCUMENT_ID, RAW_LOG_COLUMNS, RAW_LOG_SCHEMA
 from tidefold.session import scratch_path
-from tidefold.sources.bronze import append_bronze, bronze_columns, read_bronze, stream_bronze_rows
+from tidefold.sources.bronze import (
+    append_bronze,
+    bronze_columns,
+    read_bronze,
+    read_bronze_rows,
+    routed_counts,
+    stream_bronze_rows,
+)
 from tidefold.sources.changelog import load_ids, read_log, write_load
 from tidefold.sources.control import read_history
 from tidefold.sources.export import append_json_lines, write_json_lines
@@ -391,14 +398,25 @@ def _bronze(spark, sf_dir) -> str:
     return root
 
 
+_ACCOUNTS = f"(select * from {RAW_VALID} where table_name = 'accounts' and component_path = '' and document is not null)"
+
+
 @query(
     "snk4_bronze_schema_evolution",
-    """select unnest(['cents', 'mix', 'props', 'whole']) as field, unnest(['bigint', 'string', 'string', 'double']) as type
-       from (select 1 from events where user_id % 2 = 1 limit 1)""",
+    f"""select 'cents' as field, 'bigint' as type, count(cents) as filled from {_ACCOUNTS}
+        union all select 'mix', 'string', count(accounts_mix) from {_ACCOUNTS}
+        union all select 'props', 'string', count(props_text) from {_ACCOUNTS}
+        union all select 'whole', 'double', count(whole) from {_ACCOUNTS}""",
 )
 def bronze_schema_evolution(spark, sf_dir):
-    columns = bronze_columns(spark, _bronze(spark, sf_dir), "src__app__accounts__cdc")
-    return spark.createDataFrame([(name, kind) for name, kind, _ in columns], "field string, type string")
+    """Columns of both loads together, with the values that each holds."""
+    root, target = _bronze(spark, sf_dir), "src__app__accounts__cdc"
+    rows = read_bronze(spark, root, target)
+    types = dict(rows.dtypes)
+    fields = [name for name, _, _ in bronze_columns(spark, root, target)]
+    counted = rows.agg(*[F.count(name).alias(name) for name in fields])
+    described = [F.struct(F.lit(n).alias("field"), F.lit(types[n]).alias("type"), F.col(n).alias("filled")) for n in fields]
+    return counted.select(F.inline(F.array(*described)))
 
 
 @query(
@@ -509,6 +527,4 @@ def json_lines_append(spark, sf_dir):
 def bronze_from_pages(spark, sf_dir):
     root = scratch_path(spark, "bronze")
     _sync(spark, _landing(spark, sf_dir), bronze_sink(root, "s1", "r1"), scratch_path(spark, "control"))
-    from tidefold.sources.bronze import read_bronze_rows, routed_counts
-
     return routed_counts(read_bronze_rows(spark, root))

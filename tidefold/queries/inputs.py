@@ -157,20 +157,21 @@ CKPT = Derived(
     },
 )
 
-_LISTED = """case when s_suppkey % 25 = 1 then concat('__internal_', cast(s_suppkey as string))
-    when s_suppkey % 25 = 2 then concat('event_log_', cast(s_suppkey as string))
+_LISTED = """case when s_nationkey = 1 then concat('__internal_', cast(s_suppkey as string))
+    when s_nationkey = 2 then concat('event_log_', cast(s_suppkey as string))
     else concat(lower(replace(s_name, '#', '_')), '__cdc') end"""
 # Bronze and silver table listings, with internal tables, event logs and views among them.
 CAT_B = Derived(
     "supplier",
     lambda d: {
         "table_name": _LISTED,
-        "table_type": "case when s_suppkey % 5 = 0 then 'VIEW' when s_suppkey % 7 = 0 then 'EXTERNAL' else 'MANAGED' end",
+        "table_type": "case when s_nationkey in (5, 10, 15) then 'VIEW' when s_nationkey in (6, 7) then 'EXTERNAL' else 'MANAGED' end",
         "created": "timestamp '2024-01-01 00:00:00'",
         "last_altered": "timestamp '2024-02-01 00:00:00'",
         "suppkey": "s_suppkey",
+        "nationkey": "s_nationkey",
     },
-    "s_suppkey % 3 <> 0",
+    "s_nationkey <> 3",
 )
 CAT_S = Derived(
     "supplier",
@@ -181,11 +182,11 @@ CAT_S = Derived(
         "last_altered": "timestamp '2024-03-01 00:00:00'",
         "suppkey": "s_suppkey",
     },
-    "s_suppkey % 4 <> 0",
+    "s_nationkey <> 4",
 )
 
 _CURRENT = "source <> 'src5'"
-_PREVIOUS = "source <> 'src3' and not (source in ('src1', 'src2') and doc_id % 7 = 0)"
+_PREVIOUS = "source <> 'src3' and not (source in ('src1', 'src2') and n_chars < 400)"
 
 
 def _inventory_sql(where: str) -> str:

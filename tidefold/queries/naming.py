@@ -76,11 +76,11 @@ def view_name(spark, sf_dir):
 
 @query(
     "prj16_logical_name",
-    f"""select suppkey, coalesce(case when suppkey % 11 = 0 then concat('own_', cast(suppkey as varchar)) end,
+    f"""select suppkey, coalesce(case when nationkey = 8 then concat('own_', cast(suppkey as varchar)) end,
         regexp_replace(table_name, '__cdc$', '')) as logical from {CAT_B.sql}""",
 )
 def logical(spark, sf_dir):
-    override = F.when(F.col("suppkey") % 11 == 0, F.concat(F.lit("own_"), F.col("suppkey").cast("string")))
+    override = F.when(F.col("nationkey") == 8, F.concat(F.lit("own_"), F.col("suppkey").cast("string")))
     listing = CAT_B.frame(spark, sf_dir).withColumn("override", override)
     return listing.select("suppkey", names.logical_name("table_name", "override").alias("logical"))
 
@@ -151,7 +151,7 @@ def listed_tables(spark, sf_dir):
     return CAT_B.frame(spark, sf_dir).where(is_listed_table()).select("table_name", "table_type")
 
 
-_CHOSEN = f"""(select *, case when suppkey % 11 = 0 then concat('own_', cast(suppkey as varchar)) else regexp_replace(table_name, '__cdc$', '') end as target_table
+_CHOSEN = f"""(select *, case when nationkey = 8 then concat('own_', cast(suppkey as varchar)) else regexp_replace(table_name, '__cdc$', '') end as target_table
     from {CAT_B.sql} where table_type <> 'VIEW' and table_name like '%\\_\\_cdc' escape '\\'
     and table_name in (select concat(lower(replace(s_name, '#', '_')), '__cdc') from supplier where s_acctbal > 0)
     and table_name not in (select concat(lower(replace(s_name, '#', '_')), '__cdc') from supplier where s_nationkey = 7))"""
@@ -171,7 +171,7 @@ def _flow_tables(spark, sf_dir):
     suppliers = table(spark, sf_dir, "supplier").withColumn(
         "table_name", F.concat(F.lower(F.replace("s_name", F.lit("#"), F.lit("_"))), F.lit("__cdc"))
     )
-    overrides = suppliers.where("s_suppkey % 11 = 0").select(
+    overrides = suppliers.where("s_nationkey = 8").select(
         "table_name",
         F.concat(F.lit("own_"), F.col("s_suppkey").cast("string")).alias("target_override"),
         F.lit(None).cast("string").alias("flow_override"),
@@ -185,8 +185,8 @@ def _flow_tables(spark, sf_dir):
 
 
 _LOCATIONS = """(select distinct regexp_replace(u, '/+$', '') as loc from (
-    select regexp_extract(url, '^https?://[^/]+/') as u from pages where page_id % 3 = 0
-    union all select regexp_extract(url, '^https?://[^/]+/[^/]*') from pages where page_id % 5 = 0
+    select regexp_extract(url, '^https?://[^/]+/') as u from pages
+    union all select regexp_extract(url, '^https?://[^/]+/[^/]*') from pages where url like '%/fr/%'
     union all select 'http' ) where u <> '')"""
 
 
@@ -197,8 +197,8 @@ _LOCATIONS = """(select distinct regexp_replace(u, '/+$', '') as loc from (
 )
 def prefix_match(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
-    hosts = pages.where("page_id % 3 = 0").select(F.regexp_extract("url", "^https?://[^/]+/", 0).alias("url"))
-    folders = pages.where("page_id % 5 = 0").select(F.regexp_extract("url", "^https?://[^/]+/[^/]*", 0).alias("url"))
+    hosts = pages.select(F.regexp_extract("url", "^https?://[^/]+/", 0).alias("url"))
+    folders = pages.where("url like '%/fr/%'").select(F.regexp_extract("url", "^https?://[^/]+/[^/]*", 0).alias("url"))
     everything = spark.createDataFrame([("http",)], "url string")
     locations = hosts.unionByName(folders).unionByName(everything).where("url <> ''")
     return longest_prefix(pages.select(F.col("url").alias("root")), locations)

@@ -26,7 +26,7 @@ from tidefold.schemas import (
     CDC_SOURCE_COMPONENT,
     CDC_SOURCE_TABLE,
 )
-from tidefold.session import partition_values, remove_path
+from tidefold.session import list_names, partition_values, remove_path
 
 _FIELDS = "target string, field string, flags int, load_id string"
 ORDER_COLUMNS = ["batch", "position"]
@@ -48,9 +48,9 @@ def append_bronze(
     )
     rows.hint("rebalance", "target").write.mode("overwrite").partitionBy("target").parquet(target)
     stored = spark.read.schema(BRONZE_STORED_SCHEMA).parquet(target)
-    if stored.isEmpty():
+    if not any(name.startswith("target=") for name in list_names(spark, target)):
         remove_path(spark, target)
-        return routed_counts(stored)
+        return spark.createDataFrame([], "target string, row_count bigint")
     fields = bronze_fields(stored, CDC_RAW_DOCUMENT_JSON, ["target"])
     fields.coalesce(1).write.mode("overwrite").parquet(f"{root}/fields/load_id={load_id}")
     return routed_counts(stored)

@@ -21,7 +21,7 @@ from tidefold.schemas import (
     RAW_LOG_SCHEMA,
     UPSERT,
 )
-from tidefold.session import partition_values, path_exists, remove_path
+from tidefold.session import list_names, partition_values, remove_path
 
 LOG_KEYS = ["component_key", "table_key"]
 
@@ -61,7 +61,7 @@ def write_load(events: DataFrame, log: str, load_id: str) -> bool:
         directory_key("table_name").alias("table_key"),
     )
     rows.hint("rebalance", *LOG_KEYS).write.mode("overwrite").partitionBy(*LOG_KEYS).parquet(target)
-    if spark.read.schema(LOG_FILE_SCHEMA).parquet(target).isEmpty():
+    if not any(name.startswith("component_key=") for name in list_names(spark, target)):
         remove_path(spark, target)
         return False
     return True
@@ -89,7 +89,3 @@ def stream_log(spark: SparkSession, log: str, max_files: int = 1000) -> DataFram
 
 def public_columns(log: DataFrame) -> DataFrame:
     return log.select(*RAW_LOG_COLUMNS)
-
-
-def log_exists(spark: SparkSession, log: str) -> bool:
-    return path_exists(spark, log)
