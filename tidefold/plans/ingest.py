@@ -96,7 +96,7 @@ def sync_once(
 
     Deltas are read only once the snapshot is complete.
     """
-    catalog = broadcast_if_bounded(catalog)
+    catalog = broadcast_if_bounded(catalog.select("table_name", "fingerprint"))
     summary = SyncSummary()
 
     def run_phase(kind: str, after: object, start: str) -> int:
