@@ -83,6 +83,7 @@ def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.aggregate(v, F.lit(0).cast("long"), lambda total, w: total + F.length(w)).alias("word_chars"),
         _repeat_words(v).alias("n_repeat_words"),
         F.size(F.array_distinct(v)).cast("long").alias("n_distinct"),
+        F.size(F.filter(v, lambda w: w.rlike(SYMBOLS))).cast("long").alias("n_symbol_words"),
         F.aggregate(
             v, F.struct(F.lit("").alias("last"), F.lit(0).cast("long").alias("n")),
             lambda acc, w: F.struct(w.alias("last"), (acc["n"] + (acc["last"] == w).cast("long")).alias("n")),
@@ -93,9 +94,11 @@ def text_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.col(f"`{id_col}`").cast("long").alias("doc_id"), counts.alias("c"), _dup_lines(body).alias("l"),
         (F.length(body) - F.length(F.regexp_replace(body, SYMBOLS, ""))).cast("long").alias("n_symbols"),
         upper.cast("long").alias("n_upper"),
+        F.length(F.regexp_replace(body, r"[^\p{L}]+", "")).cast("long").alias("n_letters"),
     ).select(
         "doc_id", "c.n_words", "c.word_chars", "n_symbols", "l.n_dup_lines", "c.n_repeat_words",
-        "l.n_lines", "c.n_distinct", "c.n_stutters", "n_upper",
+        "l.n_lines", "c.n_distinct", "c.n_stutters", "c.n_symbol_words",
+        "n_upper", "n_letters",
     )
 
 
@@ -114,10 +117,14 @@ def rule_votes() -> dict[str, Column]:
     distinct = F.col("n_distinct") / words
     stutters = F.col("n_stutters") / words
     upper = F.col("n_upper") / F.greatest(chars, F.lit(1))
+    letters = F.col("n_letters") / F.greatest(chars, F.lit(1))
+    symbol_words = F.col("n_symbol_words") / words
     return {
         "length": _vote(words < MIN_WORDS, words >= 50),
         "word_length": _vote((mean < 2) | (mean > 15), (mean >= 3) & (mean <= 11)),
         "symbols": _vote(symbols > 0.2, symbols < 0.02),
+        "symbol_words": _vote(symbol_words > 0.2, symbol_words < 0.02),
+        "letters": _vote(letters < 0.88, letters > 0.93),
         "lines": _vote(dup_lines > 0.4, dup_lines < 0.1),
         "windows": _vote(repeats > 0.3, repeats < 0.05),
         "vocabulary": _vote(distinct < 0.15, distinct > 0.3),
