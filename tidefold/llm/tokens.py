@@ -37,7 +37,7 @@ class _Pieces(dict):
 
     def __missing__(self, piece: str) -> bytes:
         core = piece.rstrip(_TAIL)
-        if core and len(core) < len(piece):
+        if core[-1:].lower().isalnum() and len(core) < len(piece):
             ids = self[core] + self.owner.tail(piece[len(core):])
         else:
             ids = self.owner.word(piece)
