@@ -12,6 +12,7 @@ from tidefold.llm.mixing import MIX_SQL, mix
 from tidefold.llm.packing import pack
 from tidefold.llm.quotes import link_quotes
 from tidefold.llm.simhash import simhash_components
+from tidefold.llm.suffix_dedup import remove_repeats
 from tidefold.llm.token_output import token_output
 from tidefold.llm.token_scan import token_counts
 from tidefold.llm.toxicity import toxicity
@@ -118,6 +119,11 @@ def op4_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=49407)
 
 
+@query("op7_suffix_dedup")
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @query("op8_weak_supervision")
 def op8_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weak_quality(table(spark, sf_dir, "documents"))
