@@ -13,8 +13,8 @@ anchor; only segments with the same anchor content can share a window.
    smaller than their successors directly, the others induced by scanning the buckets of first bytes
    in order. Neighbours with a common prefix of `MATCH` bytes are repeats.
 3. An anchor with more than `HOT_SEGMENTS` distinct segments (a passage in very many texts, with
-   other words around it) would put them all in one task. Its windows are compared through their
-   hashes instead, pre-aggregated and dealt by window, so the group is split.
+   other words around it) would put them all in one task. Its segments are halved, and halved
+   again, each time dealt by the bytes that all windows of a half share, until few are together.
 
 Segments, counts and intervals are written tables. Work per text byte is constant apart from the
 sorting, which runs over bounded batches.
@@ -44,7 +44,7 @@ HOT_SEGMENTS = 512
 SORT_BYTES = 512 * 1024
 _SCAN_BYTES = 4 * 1024 * 1024
 _PLACE_BITS = 24
-_SEGMENT_DDL = "row_key long, at long, n_windows int, anchor long, segment binary"
+_SEGMENT_DDL = "row_key long, at long, n_windows int, lead int, anchor long, segment binary"
 
 
 def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
@@ -70,29 +70,31 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[: n - width + 1], ahead[width - 1: n])
 
 
-def anchored_segments(data: np.ndarray, match: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First window, number of windows and anchor hash of each segment of one buffer."""
+def anchored_segments(data: np.ndarray, match: int, gram: int) -> tuple[np.ndarray, ...]:
+    """First window, number of windows, distance from there to the anchor, and anchor hash of each segment."""
     hashes = gram_hashes(data, gram)
     place = np.uint64((1 << _PLACE_BITS) - 1)
     keys = (hashes & ~place) | np.arange(len(hashes), dtype=np.uint64)
     anchors = sliding_min(keys, match - gram + 1) & place
     starts = np.flatnonzero(np.concatenate(([True], anchors[1:] != anchors[:-1])))
     counts = np.diff(np.append(starts, len(anchors)))
-    return starts, counts, hashes[anchors[starts].astype(np.int64)]
+    places = anchors[starts].astype(np.int64)
+    return starts, counts, places - starts, hashes[places]
 
 
 def _segment_rows(match: int, gram: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, ats, counts, anchors, digests = [], [], [], [], []
+            keys, ats, counts, leads, anchors, digests = [], [], [], [], [], []
             for row_key, body in zip(batch.column(0).to_pylist(), batch.column(1)):
                 view = memoryview(body.as_buffer())
                 for begin in range(0, max(len(view) - match + 1, 0), _SCAN_BYTES):
                     part = view[begin: begin + _SCAN_BYTES + match - 1]
-                    starts, sizes, hashes = anchored_segments(np.frombuffer(part, np.uint8), match, gram)
+                    starts, sizes, distances, hashes = anchored_segments(np.frombuffer(part, np.uint8), match, gram)
                     keys.append(np.full(len(starts), row_key, np.int64))
                     ats.append(starts + begin)
                     counts.append(sizes)
+                    leads.append(distances)
                     anchors.append(hashes)
                     digests.extend(
                         xxhash.xxh3_128_digest(part[a:a + n + match - 1]) for a, n in zip(starts.tolist(), sizes.tolist())
@@ -101,10 +103,10 @@ def _segment_rows(match: int, gram: int):
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.concatenate(keys)), pa.array(np.concatenate(ats)),
-                        pa.array(np.concatenate(counts).astype(np.int32)),
+                        pa.array(np.concatenate(counts).astype(np.int32)), pa.array(np.concatenate(leads).astype(np.int32)),
                         pa.array(np.concatenate(anchors).view(np.int64)), pa.array(digests, pa.binary()),
                     ],
-                    names=["row_key", "at", "n_windows", "anchor", "segment"],
+                    names=["row_key", "at", "n_windows", "lead", "anchor", "segment"],
                 )
 
     return cut
@@ -241,51 +243,104 @@ def _sort_rows(match: int, sort_bytes: int):
 
 def _cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (body, wanted segments) to one row per segment with its bytes."""
-    schema = pa.schema([("anchor", pa.int64()), ("segment", pa.binary()), ("hot", pa.bool_()), ("copies", pa.int64()), ("bytes", pa.binary())])
+    schema = pa.schema([("anchor", pa.int64()), ("segment", pa.binary()), ("hot", pa.bool_()), ("copies", pa.int64()), ("lead", pa.int32()), ("bytes", pa.binary())])
     for batch in batches:
         rows = []
         for body, wanted in zip(batch.column(0), batch.column(1).to_pylist()):
             view = memoryview(body.as_buffer())
             rows.extend(
-                (w["anchor"], w["segment"], w["hot"], w["copies"], bytes(view[w["at"]:w["at"] + w["n_bytes"]])) for w in wanted
+                (w["anchor"], w["segment"], w["hot"], w["copies"], w["lead"], bytes(view[w["at"]:w["at"] + w["n_bytes"]])) for w in wanted
             )
-        columns = list(zip(*rows)) if rows else [[]] * 5
+        columns = list(zip(*rows)) if rows else [[]] * len(schema)
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-def _window_rows(match: int):
-    """Hot segments to one row per window: its place and the hash of its bytes."""
+def _halve_rows(match: int, size: int):
+    """Blocks of windows to the parts of aligned ranges of `size`, keyed by what such a range has in common.
+
+    A window is known by how far it reaches ahead of its anchor, so equal windows are in the
+    same range whatever segment they come from. All windows that reach `low` to `low + size`
+    ahead have the bytes from `low` ahead to `match` behind the last of them.
+    """
+    schema = pa.schema([
+        ("anchor", pa.int64()), ("segment", pa.binary()), ("copies", pa.int64()), ("offset", pa.int32()), ("lead", pa.int32()),
+        ("bytes", pa.binary()), ("key", pa.binary()), ("content", pa.binary()),
+    ])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh3_64_intdigest
+        digest = xxhash.xxh3_128_digest
         for batch in batches:
-            for anchor, segment, copies, body in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                view, n = memoryview(body), len(body) - match + 1
-                hashes = np.array([digest(view[i:i + match]) for i in range(n)], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([anchor] * n), pa.array([segment] * n, pa.binary()), pa.array([copies] * n),
-                     pa.array(np.arange(n, dtype=np.int32)), pa.array(hashes)],
-                    names=["anchor", "segment", "copies", "window", "hash"],
-                )
+            rows = []
+            for anchor, segment, copies, offset, lead, block in zip(*(c.to_pylist() for c in batch.columns)):
+                n, start = len(block) - match + 1, 0
+                while start < n:
+                    ahead = lead - start
+                    low = ahead // size * size
+                    stop = min(n, start + ahead - low + 1)
+                    part = block[start:stop + match - 1]
+                    core = part[ahead - low:ahead - (low + size - 1) + match]
+                    key = digest(b"%d,%d,%d:" % (anchor, size, low) + core)
+                    rows.append((anchor, segment, copies, offset + start, ahead, part, key, digest(part)))
+                    start = stop
+            columns = list(zip(*rows)) if rows else [[]] * len(schema)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
     return run
 
 
-def _repeated_in_hot(segments: DataFrame, match: int) -> DataFrame:
-    """Rows (anchor, segment, runs) for anchors with very many segments, by hashes of windows."""
-    windows = materialise(
-        segments.where("hot").select("anchor", "segment", "copies", "bytes").mapInArrow(
-            _window_rows(match), "anchor long, segment binary, copies long, window int, hash long"
+_HALF_DDL = "anchor long, segment binary, copies long, offset int, lead int, bytes binary, key binary, content binary"
+
+
+def _repeated_in_hot(segments: DataFrame, match: int, hot_segments: int, sort_bytes: int) -> DataFrame:
+    """Rows (anchor, segment, runs) for anchors with too many segments for one task.
+
+    Blocks of windows are halved and dealt anew by what all windows of a half have in common.
+    Halves alone under their key are done, and so are keys whose halves are all equal; keys
+    with few halves are suffix-sorted; what is left is halved again, down to single windows,
+    which are equal under a key. A level at most doubles the rows that reach it.
+    """
+    n_windows = F.length("bytes") - (match - 1)
+    whole = F.array(F.struct(F.col("offset").alias("first"), (F.col("offset") + n_windows).alias("stop")))
+    blocks = materialise(
+        segments.where("hot").select(
+            "anchor", "segment", "copies", F.lit(0).alias("offset"), "lead", "bytes"
         ),
-        "suffix-windows",
-    )
-    repeated = materialise(
-        windows.groupBy("anchor", "hash").agg(F.sum("copies").alias("times")).where("times > 1").select("anchor", "hash"),
-        "suffix-hot",
+        "suffix-blocks",
     )
-    single = F.transform(
-        F.array_sort(F.collect_list("window")), lambda w: F.struct(w.alias("first"), (w + 1).alias("stop"))
+    found = blocks.select("anchor", "segment", whole.alias("runs")).where("false")
+    size = 1 << (match - 1).bit_length()
+    while not blocks.isEmpty():
+        size //= 2
+        halves = materialise(blocks.mapInArrow(_halve_rows(match, size), _HALF_DDL), "suffix-halves")
+        keys = materialise(
+            halves.groupBy("key").agg(
+                F.count("*").alias("n"), F.sum("copies").alias("times"), (F.min("content") == F.max("content")).alias("all_equal")
+            ).where("times > 1"),
+            "suffix-keys",
+        )
+        dealt = materialise(halves.join(keys, "key"), "suffix-dealt")
+        equal = dealt.where("all_equal").select("anchor", "segment", whole.alias("runs"))
+        few = dealt.where(~F.col("all_equal") & (F.col("n") <= hot_segments))
+        # Equal halves under one key are sorted once.
+        sorted_runs = (
+            few.select(F.xxhash64("key").alias("anchor"), F.concat("key", "content").alias("segment"), "bytes")
+            .dropDuplicates(["anchor", "segment"])
+            .repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_sort_rows(match, sort_bytes), _FOUND_DDL)
+            .select(F.col("segment").alias("sorted"), "runs")
+        )
+        copied = few.groupBy(F.concat("key", "content").alias("sorted")).agg(F.sum("copies").alias("all_copies"))
+        marks = materialise(sorted_runs.join(copied, "sorted", "right"), "suffix-few")
+        shifted = F.transform("runs", lambda r: F.struct((r["first"] + F.col("offset")).alias("first"), (r["stop"] + F.col("offset")).alias("stop")))
+        sorted_found = (
+            few.join(marks, F.concat("key", "content") == F.col("sorted"))
+            .select("anchor", "segment", F.when(F.col("all_copies") > 1, whole).otherwise(shifted).alias("runs"))
+            .where("runs IS NOT NULL")
+        )
+        found = found.union(materialise(equal.union(sorted_found), "suffix-level"))
+        blocks = dealt.where(~F.col("all_equal") & (F.col("n") > hot_segments)).select("anchor", "segment", "copies", "offset", "lead", "bytes")
+    return found.select("anchor", "segment", F.explode("runs").alias("r")).groupBy("anchor", "segment").agg(
+        F.array_sort(F.collect_list("r")).alias("runs")
     )
-    return windows.join(repeated, ["anchor", "hash"]).groupBy("anchor", "segment").agg(single.alias("runs"))
 
 
 def repeated_intervals(rows: DataFrame, match: int = MATCH, gram: int = GRAM, hot_segments: int = HOT_SEGMENTS,
@@ -301,28 +356,28 @@ def repeated_intervals(rows: DataFrame, match: int = MATCH, gram: int = GRAM, ho
     shared = materialise(segments.join(anchors, "anchor"), "suffix-shared")
     distinct = materialise(
         shared.where(~F.col("all_equal")).groupBy("anchor", "segment").agg(
-            F.count("*").alias("copies"), F.min(F.struct("row_key", "at", "n_windows")).alias("one")
+            F.count("*").alias("copies"), F.min(F.struct("row_key", "at", "n_windows", "lead")).alias("one")
         ),
         "suffix-distinct",
     )
     crowded = materialise(distinct.groupBy("anchor").agg((F.count("*") > hot_segments).alias("hot")), "suffix-crowded")
     wanted = distinct.join(crowded, "anchor").groupBy(F.col("one.row_key").alias("row_key")).agg(
         F.collect_list(F.struct(
-            "anchor", "segment", "hot", "copies", F.col("one.at").alias("at"),
+            "anchor", "segment", "hot", "copies", F.col("one.lead").alias("lead"), F.col("one.at").alias("at"),
             (F.col("one.n_windows") + (match - 1)).alias("n_bytes"),
         )).alias("wanted")
     )
     # Rows that repeat identifier and text have one key; one of them is enough here.
     bytes_of = (
         rows.join(materialise(wanted, "suffix-wanted"), "row_key").select("body", "wanted")
-        .mapInArrow(_cut_rows, "anchor long, segment binary, hot boolean, copies long, bytes binary")
+        .mapInArrow(_cut_rows, "anchor long, segment binary, hot boolean, copies long, lead int, bytes binary")
     )
     bytes_of = materialise(bytes_of, "suffix-bytes")
     sorted_found = (
         bytes_of.where(~F.col("hot")).select("anchor", "segment", "bytes").dropDuplicates(["anchor", "segment"])
         .repartition("anchor").sortWithinPartitions("anchor").mapInArrow(_sort_rows(match, sort_bytes), _FOUND_DDL)
     )
-    hot = _repeated_in_hot(bytes_of.dropDuplicates(["anchor", "segment"]), match)
+    hot = _repeated_in_hot(bytes_of.where("hot").dropDuplicates(["anchor", "segment"]), match, hot_segments, sort_bytes)
     found = materialise(sorted_found.union(hot), "suffix-found")
     spans_of = F.struct((F.col("at") + F.col("r.first")).alias("start"), (F.col("at") + F.col("r.stop") + (match - 1)).alias("stop"))
     whole = F.array(F.struct(F.lit(0).alias("first"), F.col("n_windows").alias("stop")))
