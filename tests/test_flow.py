@@ -8,7 +8,8 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from tidefold.plans.ingest import bronze_sink, log_sink, save_catalog, sync_once
+from tidefold.plans import publish as publish_plan
+from tidefold.plans.ingest import bronze_sink, load_name, log_sink, save_catalog, sync_once
 from tidefold.plans.publish import manifests_path, needs_publish, publish, register_published_views
 from tidefold.plans.service import ServicePaths, run_rounds
 from tidefold.plans.staging import read_staging, staging_inventory
@@ -103,12 +104,13 @@ def test_resume_after_partial_snapshot(spark, tmp_path, landing):
 
 
 def test_table_filter_and_quarantine(spark, tmp_path, landing):
-    land(f"{landing}/deltas", "d3.json", [doc("u3", "bad"), {"_table": "users"}, 7], False, 170)
     log, control, bad = (str(tmp_path / n) for n in ("log", "control", "bad"))
     catalog = save_catalog(spark, landing, log)
     only = sync_once(spark, landing, log_sink(log), catalog, control, "s1", "r1", table="events")
     assert only.events_written == 1
-    land(f"{landing}/deltas", "d4.json", [], False, 180)
+    land(f"{landing}/deltas", "d3.json", [doc("u3", "bad"), {"_table": "users"}, 7], False, 170)
+    with pytest.raises(ValueError, match="quarantine mode"):
+        sync_once(spark, landing, log_sink(log), catalog, control, "s1", "r1", on_error="quarantine")
     with pytest.raises(Exception, match="bad source document"):
         sync_once(spark, landing, log_sink(log), catalog, control, "s1", "r1")
     done = sync_once(spark, landing, log_sink(log), catalog, control, "s1", "r1", on_error="quarantine", quarantine=bad)
@@ -164,3 +166,98 @@ def test_streaming_ingest_equals_batch(spark, tmp_path, landing):
     stream = sorted(map(str, read_log(spark, streamed).drop(*drop).collect()))
     assert batch == stream and len(batch) == 5
     assert read_history(spark, f"{control}2").count() == 4
+
+
+def test_backlog_of_polls_is_drained_in_one_run(spark, tmp_path, landing):
+    """Every landed poll ends in a page without more; idle polls repeat a cursor."""
+    for n in range(12):
+        land(f"{landing}/deltas", f"e{n:02d}.json", [doc(f"n{n}", 200 + n)], False, 200 + n)
+        land(f"{landing}/deltas", f"e{n:02d}-idle.json", [], False, 200 + n)
+    log, control = str(tmp_path / "log"), str(tmp_path / "control")
+    args = (spark, landing, log_sink(log), save_catalog(spark, landing, log), control, "s1", "r1")
+    done = sync_once(*args)
+    assert (done.delta_pages_fetched, done.events_written, done.final_checkpoint["delta_cursor"]) == (26, 17, 211)
+    assert sync_once(*args).events_written == 0
+
+
+def test_load_names_do_not_collide():
+    starts = ("after-1769724309738171280", "after-1784114922098870447")
+    names = {load_name("delta", source, start) for source in ("app", "ap") for start in starts}
+    assert len(names) == 4 and load_name("delta", "app", starts[0]) in names
+
+
+def stream_deltas(spark, landing, sink, catalog, control, source, checkpoint, **options):
+    pages = stream_pages(spark, f"{landing}/deltas", "delta", max_files=1)
+    stream_ingest.start(pages, "delta", sink, catalog, control, source, "r1", checkpoint, **options).awaitTermination()
+
+
+def test_two_streams_share_a_log(spark, tmp_path, landing):
+    log, control = str(tmp_path / "log"), str(tmp_path / "control")
+    catalog = save_catalog(spark, landing, log)
+    with pytest.raises(Exception, match="wait for its snapshot"):
+        stream_deltas(spark, landing, log_sink(log), catalog, control, "a", str(tmp_path / "cp-early"))
+    for source in ("a", "b"):
+        pages = stream_pages(spark, f"{landing}/snapshot", "snapshot")
+        stream_ingest.start(pages, "snapshot", log_sink(log), catalog, control, source, "r1", str(tmp_path / f"cp-s{source}")).awaitTermination()
+        stream_deltas(spark, landing, log_sink(log), catalog, control, source, str(tmp_path / f"cp-{source}"))
+    assert read_log(spark, log).count() == 10
+    # A new checkpoint folder reads the pages again; the checkpoint does not go back.
+    before = read_history(spark, control, "a").count()
+    stream_deltas(spark, landing, log_sink(log), catalog, control, "a", str(tmp_path / "cp-again"))
+    assert read_log(spark, log).count() == 12 and read_history(spark, control, "a").count() == before
+    land(f"{landing}/deltas", "d9.json", [doc("u5", 300), 7], False, 300)
+    bad = str(tmp_path / "bad")
+    stream_deltas(spark, landing, log_sink(log), catalog, control, "a", str(tmp_path / "cp-a"), on_error="quarantine", quarantine=bad)
+    assert [r["error"] for r in spark.read.parquet(bad).collect()] == ["not_an_object"]
+
+
+def test_silver_after_a_checkpoint_reset(spark, tmp_path):
+    """A stream that starts over adds its changes, also behind a compacted base."""
+    source, table = str(tmp_path / "source"), silver.ChangeTable(str(tmp_path / "silver"), ["target", "k"], ["seq"], "gone")
+    schema = "target string, k string, seq bigint, gone boolean"
+
+    def feed(rows, checkpoint):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
+        silver.start(stream, table, str(tmp_path / checkpoint), compact=False).awaitTermination()
+
+    feed([("t", "k0", 1, False), ("007", "k1", 1, False)], "cp1")
+    feed([("t", "k2", 1, False), ("t", "k0", 2, True)], "cp1")
+    table.compact(spark, force=True)
+    feed([("t", "k9", 3, False), ("007", "k1", 0, True)], "cp2")
+    want = {("t", "k2"), ("007", "k1"), ("t", "k9")}
+    assert {(r["target"], r["k"]) for r in table.current(spark).collect()} == want
+    table.compact(spark, force=True)
+    assert table.drop_folded(spark) > 0
+    one = table.current(spark, F.col("target") == "007")
+    assert [r["k"] for r in one.collect()] == ["k1"]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(target" in plan
+
+
+def test_publish_that_dies_leaves_the_views_whole(spark, tmp_path, landing, monkeypatch):
+    names = ("log", "control", "staging", "bucket")
+    paths = ServicePaths(landing, *(str(tmp_path / n) for n in names), "x")
+    run_rounds(spark, paths, "s1", "r1", 1)
+    register_published_views(spark, paths.bucket, "x")
+    before = sorted(map(str, spark.table("users").collect()))
+    land(f"{landing}/deltas", "d3.json", [doc("u1", 160, name="Zoe")], False, 170)
+    real = publish_plan._copy
+    calls = []
+
+    def dying(session, origin, target):
+        def copy():
+            calls.append(target)
+            if "/current/" in target:
+                session.range(0).selectExpr("id AS broken").write.mode("overwrite").parquet(target)
+                raise ConnectionError("lost half way")
+            real(session, origin, target)()
+        return copy
+
+    monkeypatch.setattr(publish_plan, "_copy", dying)
+    with pytest.raises(ConnectionError):
+        run_rounds(spark, paths, "s1", "r2", 1)
+    assert any("/current/" in target for target in calls)
+    assert sorted(map(str, spark.table("users").collect())) == before
+    register_published_views(spark, paths.bucket, "x")
+    assert [r["name"] for r in spark.table("users").collect()] == ["Zoe"]

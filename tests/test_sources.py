@@ -72,15 +72,15 @@ def test_table_filter_prunes_directories(spark, tmp_path):
 
 def test_batch_names_follow_the_checkpoint(spark):
     frame = spark.createDataFrame(
-        [("initial_snapshot", 100, "cursor-1", None), ("delta_tail", None, None, 200)],
+        [("initial_snapshot", 17, "at:b/3", None), ("delta_tail", None, None, 905)],
         "phase string, snapshot bigint, cursor string, delta bigint",
     )
     got = [r[0] for r in frame.select(batch_name(F.col("phase"), F.col("snapshot"), F.col("cursor"), F.col("delta"))).collect()]
-    first = '{"version":1,"sync_state":{"phase":"initial_snapshot","snapshot":100,"cursor":"cursor-1"}}'
-    second = '{"version":1,"sync_state":{"phase":"delta_tail","cursor":200}}'
+    first = '{"version":1,"sync_state":{"phase":"initial_snapshot","snapshot":17,"cursor":"at:b/3"}}'
+    second = '{"version":1,"sync_state":{"phase":"delta_tail","cursor":905}}'
     assert got == [
-        f"initial_snapshot-100-{hashlib.sha256(first.encode()).hexdigest()[:16]}",
-        f"delta_tail-200-{hashlib.sha256(second.encode()).hexdigest()[:16]}",
+        f"initial_snapshot-17-{hashlib.sha256(first.encode()).hexdigest()[:16]}",
+        f"delta_tail-905-{hashlib.sha256(second.encode()).hexdigest()[:16]}",
     ]
 
 
@@ -105,12 +105,12 @@ def test_checkpoint_history(spark, tmp_path):
     path = str(tmp_path / "control")
     assert read_history(spark, path).isEmpty()
     steps = spark.createDataFrame(
-        [("initial_snapshot", 456, "cursor-123", None, 0), ("delta_tail", None, None, 2, 1)],
+        [("initial_snapshot", 31, "page/7", None, 0), ("delta_tail", None, None, 64, 1)],
         "phase string, snapshot_ts bigint, snapshot_cursor string, delta_cursor bigint, write_seq bigint",
     )
     append_checkpoints(steps, path, "s", "r", "h")
     newest = resume_checkpoint(read_history(spark, path), "s").first()
-    assert (newest["phase"], newest["delta_cursor"], newest["schema_hash"]) == ("delta_tail", 2, "h")
+    assert (newest["phase"], newest["delta_cursor"], newest["schema_hash"]) == ("delta_tail", 64, "h")
     assert resume_checkpoint(read_history(spark, path), "other").first() is None
     with pytest.raises(Exception, match="unknown checkpoint phase"):
         append_checkpoints(steps.withColumn("phase", F.lit("later")), path, "s", "r")
@@ -139,6 +139,7 @@ def test_page_bounds(spark, tmp_path):
     assert tuple(page_summary(pages_after(pages, "cursor", 1), "cursor").first()) == (3, 9, 4, False)
     assert tuple(page_summary(pages_after(pages, "cursor", 4), "cursor").first()) == (2, 11, 6, False)
     assert tuple(page_summary(pages_after(pages, "cursor", 6), "cursor").first()) == (0, 0, None, False)
+    assert tuple(page_summary(pages_after(pages, "cursor", 1, past_ends=True), "cursor").first()) == (5, 20, 6, False)
     with pytest.raises(ValueError):
         pages_after(pages, "cursor", 1, 0)
     snapshot = spark.createDataFrame([(True, 5, None)], "has_more boolean, snapshot bigint, cursor string")
@@ -169,7 +170,8 @@ def test_empty_append_is_a_no_op(spark, tmp_path):
 def test_lag_and_counts(spark):
     frame = spark.createDataFrame([(datetime(2024, 1, 1, 0, 0, 0),)], "updated_at timestamp")
     assert float(frame.select(lag_minutes("updated_at", datetime(2024, 1, 1, 0, 1, 40))).first()[0]) == 1.67
-    counts = count_tables({"b": spark.range(3), "a": spark.range(0)})
+    assert count_tables(spark, {}).dtypes == [("table_name", "string"), ("row_count", "bigint")]
+    counts = count_tables(spark, {"b": spark.range(3), "a": spark.range(0)})
     assert sorted(map(tuple, counts.collect())) == [("a", 0), ("b", 3)]
 
 

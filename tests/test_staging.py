@@ -29,17 +29,17 @@ def frame(spark, rows):
 
 def first_batch():
     return [
-        event("", "users", "users:1", 10, {"name": "Ada"}, batch="initial_snapshot-100-a", position=0),
-        event("", "users", "users:2", 11, {"name": "Ben", "age": 20}, batch="initial_snapshot-100-a", position=1),
-        event("workflow", "events", "events:1", 12, {"kind": "queued"}, batch="initial_snapshot-100-a", position=2),
+        event("", "boats", "b7", 3, {"port": "Lund"}, batch="s-1", position=0),
+        event("", "boats", "b8", 4, {"port": "Oslo", "draft": 4}, batch="s-1", position=1),
+        event("", "boats", "b9", 4, {"port": "Kiel", "draft": 2}, batch="s-1", position=2),
+        event("yard/dock", "repairs", "r1", 5, {"done": False}, batch="s-1", position=3),
     ]
 
 
 def second_batch():
-    changed = {"name": "Ada Lovelace", "age": 10.5, "meta": {"tier": "pro"}}
     return [
-        event("", "users", "users:1", 20, changed, batch="delta_tail-200-b", position=0),
-        event("", "users", "users:2", 21, None, batch="delta_tail-200-b", position=1),
+        event("", "boats", "b9", 8, None, batch="t-2", position=0),
+        event("", "boats", "b7", 9, {"draft": 3.25, "crew": ["Mia", 2], "port": "Umeå"}, batch="t-2", position=1),
     ]
 
 
@@ -49,55 +49,73 @@ def test_current_state_tables(spark, tmp_path):
     write_load(frame(spark, second_batch()), log, "two")
     summary = materialise(spark, log, root)
     assert summary.mode == "full_rebuild"
-    assert (summary.files_read, summary.events_read) == (2, 5)
-    assert (summary.tables_materialized, summary.rows_materialized) == (2, 2)
+    assert (summary.files_read, summary.events_read) == (2, 6)
+    assert (summary.tables_materialized, summary.rows_materialized) == (2, 3)
 
-    users = read_staging(spark, root, "", "users")
-    assert users.columns == [
-        "_component_path", "_table_name", "_document_id", "_timestamp", "_schema_fingerprint",
-        "age", "meta", "name", "_document_json",
+    boats = read_staging(spark, root, "", "boats")
+    assert boats.columns[5:] == ["crew", "draft", "port", "_document_json"]
+    assert [(r["_document_id"], r["crew"], r["draft"], r["port"]) for r in boats.orderBy("_document_id").collect()] == [
+        ("b7", '["Mia",2]', 3.25, "Umeå"), ("b8", None, 4.0, "Oslo"),
     ]
-    assert dict(users.dtypes)["age"] == "double"
-    row = users.collect()[0]
-    assert (row["_document_id"], row["age"], row["name"]) == ("users:1", 10.5, "Ada Lovelace")
-    assert '"tier":"pro"' in row["meta"]
-    assert [t["relative_path"] for t in staging_tables(spark, root)] == ["_root/users.parquet", "workflow/events.parquet"]
+    assert [t["relative_path"] for t in staging_tables(spark, root)] == ["_root/boats.parquet", "yard/dock/repairs.parquet"]
+
+
+def test_replaced_load_is_staged_again(spark, tmp_path):
+    """A run that died, was staged, and is repeated under its name with more pages."""
+    log, root = str(tmp_path / "log"), str(tmp_path / "staging")
+    write_load(frame(spark, first_batch()[:2]), log, "one")
+    assert materialise(spark, log, root).rows_materialized == 2
+    write_load(frame(spark, first_batch()[1:]), log, "one")
+    again = materialise(spark, log, root)
+    assert (again.mode, again.events_read, again.rows_materialized) == ("full_rebuild", 3, 3)
+    assert materialise(spark, log, root).affected_tables == 0
+
+
+def test_names_that_differ_in_case_have_columns_of_their_own(spark, tmp_path):
+    log, root = str(tmp_path / "log"), str(tmp_path / "staging")
+    write_load(frame(spark, [
+        event("", "odd", "d", 1, {"Name": 1, "name": "x", "NAME": True, "name__2": 5, "_Timestamp": 9}),
+        event("", "plain", "d", 1, {"a": 1}),
+    ]), log, "one")
+    assert materialise(spark, log, root).tables_materialized == 2
+    row = read_staging(spark, root, "", "odd").first().asDict()
+    assert (row["NAME"], row["Name__3"], row["name__4"], row["name__2"], row["_Timestamp__2"]) == (True, 1, "x", 5, 9)
 
 
 def test_incremental_touches_only_affected_tables(spark, tmp_path):
     log, root = str(tmp_path / "log"), str(tmp_path / "staging")
     payload = json.dumps({
-        "users": {"type": "object", "properties": {"_creationTime": {"type": "number"}, "name": {"type": "string"}}},
-        "events": {"type": "object", "properties": {"_creationTime": {"type": "number"}, "kind": {"type": "string"}}},
+        "boats": {"properties": {"port": {"type": "string"}}},
+        "repairs": {"type": "object", "properties": {"_creationTime": {"type": "number"}, "part": {"type": "string"}}},
     })
     catalog = catalog_from_payload(spark.createDataFrame([(payload,)], "value string"))
     write_catalog(catalog, schema_catalog_path(log))
-    write_load(frame(spark, [event("", "users", "users:1", 10, {"name": "Ada"}, batch="b1")]), log, "one")
+    write_load(frame(spark, [event("", "boats", "b7", 3, {"port": "Lund"}, batch="b1")]), log, "one")
     assert load_ids(spark, log) == ["one"]
     first = materialise(spark, log, root)
     assert (first.mode, first.tables_materialized) == ("full_rebuild", 1)
     before = staging_tables(spark, root)[0]
 
-    write_load(frame(spark, [event("workflow", "events", "events:1", 20, {"kind": "q"}, batch="b2")]), log, "two")
+    write_load(frame(spark, [event("yard", "repairs", "r1", 5, {"part": "keel"}, batch="b2")]), log, "two")
     second = materialise(spark, log, root)
     assert second.mode == "incremental"
     assert (second.files_read, second.events_read, second.new_raw_files) == (2, 2, 1)
     assert (second.affected_tables, second.tables_materialized, second.rows_materialized) == (1, 1, 1)
     assert staging_tables(spark, root)[0] == before
-    events = read_staging(spark, root, "workflow", "events")
-    assert events.columns[5:] == ["_creationTime", "kind", "_document_json"]
-    assert dict(events.dtypes)["_creationTime"] == "double"
+    repairs = read_staging(spark, root, "yard", "repairs")
+    assert repairs.columns[5:] == ["_creationTime", "part", "_document_json"]
+    assert dict(repairs.dtypes)["_creationTime"] == "double"
 
     idle = materialise(spark, log, root)
     assert (idle.mode, idle.files_read, idle.affected_tables) == ("incremental", 0, 0)
 
-    extended = payload.replace('"kind": {"type": "string"}', '"kind": {"type": "string"}, "n": {"type": "integer"}')
+    extended = payload.replace('"part": {"type": "string"}', '"part": {"type": "string"}, "n": {"type": "integer"}')
     write_catalog(catalog_from_payload(spark.createDataFrame([(extended,)], "value string")), schema_catalog_path(log))
     rebuilt = materialise(spark, log, root)
     assert (rebuilt.mode, rebuilt.tables_materialized) == ("full_rebuild", 2)
-    assert dict(read_staging(spark, root, "workflow", "events").dtypes)["n"] == "bigint"
+    assert dict(read_staging(spark, root, "yard", "repairs").dtypes)["n"] == "bigint"
     assert drop_old_versions(spark, root) > 0
-    assert read_staging(spark, root, "", "users").count() == 1
+    assert read_staging(spark, root, "", "boats").count() == 1
 
 
 def test_emptied_table_and_late_upsert(spark, tmp_path):
@@ -144,6 +162,6 @@ def test_replay_replaces_a_load(spark, tmp_path):
     log = str(tmp_path / "log")
     assert write_load(frame(spark, first_batch()), log, "one")
     assert write_load(frame(spark, first_batch()), log, "one")
-    assert read_log(spark, log).count() == 3
+    assert read_log(spark, log).count() == 4
     assert not write_load(frame(spark, []), log, "empty")
     assert load_ids(spark, log) == ["one"]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidefold.functions.jsontext import MARK, object_entries, parse_marked, shape, unmark_decimals
+from tidefold.functions.jsontext import MARK, is_wrapped, object_entries, parse_marked, shape, unmark_decimals, unmark_text
 from tidefold.schemas import (
     BRONZE_COLUMNS,
     CDC_CREATION_TIME,
@@ -36,7 +36,7 @@ FAIL, QUARANTINE = "fail", "quarantine"
 def _text_problem(name: str) -> Column:
     """Missing and wrong-typed metadata are told apart; a wrapped number is not a string."""
     value, kind = F.col(f"_value{name}"), F.col(f"_shape{name}")
-    is_text = (kind == "STRING") & ~value.startswith(MARK)
+    is_text = (kind == "STRING") & ~is_wrapped(value)
     return F.when(kind.isNull(), f"missing:{name}").when(~is_text, f"invalid:{name}")
 
 
@@ -49,7 +49,7 @@ def read_metadata(df: DataFrame, value: str = "value", creation_time: bool = Fal
     """Add the event columns and `error`, on request also `creation_time`, to rows of raw document text.
 
     `error` is NULL for a valid document, else the first problem in the order
-    not-an-object, component, table, id, timestamp. Nothing is dropped here.
+    not-an-object, repeated-key, component, table, id, timestamp. Nothing is dropped here.
 
     The steps are separate projections: each parsed piece is used several times after it
     is computed, and kept apart it is computed once and the generated code stays small.
@@ -70,6 +70,8 @@ def read_metadata(df: DataFrame, value: str = "value", creation_time: bool = Fal
         | {f"_value{name}": F.try_variant_get("_parsed", f"$.{name}", kind) for name, kind in metadata.items()}
     )
     error = F.coalesce(
+        # An object that is JSON and yet not parsed names a key twice.
+        F.when(F.col("_parsed").isNull() & is_object & F.get_json_object(value, "$").isNotNull(), "repeated_key"),
         F.when(F.col("_parsed").isNull(), "not_an_object"),
         _text_problem(META_COMPONENT),
         _text_problem(META_TABLE),
@@ -82,16 +84,16 @@ def read_metadata(df: DataFrame, value: str = "value", creation_time: bool = Fal
     valid = F.col("error").isNull()
     kept = F.map_filter(object_entries("_parsed"), lambda key, _: ~key.startswith("_") | (key == META_CREATION_TIME))
     produced = {
-        "component_path": F.when(valid, F.col(f"_value{META_COMPONENT}")),
-        "table_name": F.when(valid, F.col(f"_value{META_TABLE}")),
-        "document_id": F.when(valid, F.col(f"_value{META_ID}")),
+        "component_path": F.when(valid, unmark_text(F.col(f"_value{META_COMPONENT}"))),
+        "table_name": F.when(valid, unmark_text(F.col(f"_value{META_TABLE}"))),
+        "document_id": F.when(valid, unmark_text(F.col(f"_value{META_ID}"))),
         "timestamp": F.when(valid, F.col(f"_value{META_TS}")),
         "op": F.when(valid, F.when(F.col("_delete"), DELETE).otherwise(UPSERT)),
         "document": F.when(valid & ~F.col("_delete"), F.to_json(kept)),
     }
     if creation_time:
         text, kind = F.col(f"_value{META_CREATION_TIME}"), F.col(f"_shape{META_CREATION_TIME}")
-        is_number = kind.isin("BIGINT", "DOUBLE") | kind.startswith("DECIMAL") | text.startswith(MARK)
+        is_number = kind.isin("BIGINT", "DOUBLE") | kind.startswith("DECIMAL") | is_wrapped(text)
         number = F.replace(text, F.lit(MARK), F.lit("")).try_cast("double")
         produced["creation_time"] = F.when(valid & is_number, number)
     events = checked.withColumns(produced)

@@ -10,6 +10,9 @@ string, the quote it adds ends that string in front of the mark, which no JSON a
 parsing fails and the careful wrapping takes over. That one walks the text token by token
 (`\G`, possessive quantifiers only), so strings are skipped whole, nothing backtracks or
 recurses, and documents of any length pass.
+
+A mark that a document already holds, as a character or as a JSON escape, is first followed by
+a second one that no wrapped number has there, and that is taken out again at the end.
 """
 
 from __future__ import annotations
@@ -17,7 +20,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MARK = "\ue000"
+MARK, FOREIGN = "\ue000", "\ue001"
+_FOREIGN_MARK = MARK + FOREIGN
+# The escape \ue000 behind an even number of backslashes.
+_ESCAPED_MARK = r"(?<!\\)((?:\\\\)*)\\u[eE]000"
 _INTEGRAL_DECIMAL = r"-?[0-9]++\.0++(?![0-9eE])"
 _QUICK = r"([:\[,]\s*+)(-?[0-9]++\.0++)(?=\s*+[,}\]])"
 _TOKENS_BEFORE = (
@@ -36,18 +42,32 @@ def _col(column: Column | str) -> Column:
 def parse_marked(text: Column | str) -> Column:
     """JSON object or array as a variant in which numbers like `1.0` are marked strings; NULL if it is not JSON."""
     text = _col(text)
+    told_apart = F.regexp_replace(
+        F.replace(text, F.lit(MARK), F.lit(_FOREIGN_MARK)), F.lit(_ESCAPED_MARK), F.lit(f"$1{_FOREIGN_MARK}")
+    )
+    text = F.when(text.contains(MARK) | F.lower(text).contains("\\ue000"), told_apart).otherwise(text)
     wrapped = F.lit(f'$1"{MARK}$2"')
     marked = [F.try_parse_json(F.regexp_replace(text, F.lit(pattern), wrapped)) for pattern in (_QUICK, _CAREFUL)]
-    worth_it = text.contains(".0") & ~text.contains(MARK)
-    return F.when(worth_it, F.coalesce(*marked)).otherwise(F.try_parse_json(text))
+    return F.when(text.contains(".0"), F.coalesce(*marked)).otherwise(F.try_parse_json(text))
 
 
 def unmark_decimals(text: Column | str) -> Column:
+    """JSON text with wrapped numbers as numbers, and foreign marks as they were."""
     text = _col(text)
-    plain = F.regexp_replace(text, F.lit(_MARKED), F.lit("$1"))
+    plain = unmark_text(F.regexp_replace(text, F.lit(_MARKED), F.lit("$1")))
     return F.when(text.contains(MARK), plain).otherwise(text)
 
 
+def unmark_text(text: Column) -> Column:
+    """A plain string value with foreign marks as they were."""
+    return F.replace(text, F.lit(_FOREIGN_MARK), F.lit(MARK))
+
+
+def is_wrapped(text: Column) -> Column:
+    """Whether a string value stands for a number."""
+    return text.startswith(MARK) & ~text.startswith(_FOREIGN_MARK)
+
+
 def canonical_json(text: Column | str) -> Column:
     """Compact, key-sorted JSON text; NULL for text that is not JSON."""
     return unmark_decimals(F.to_json(parse_marked(text)))
@@ -58,13 +78,11 @@ def object_entries(variant: Column | str) -> Column:
     return _col(variant).try_cast("map<string,variant>")
 
 
-def variant_path(name: str) -> str:
-    """JSON path of one top-level member, whatever characters its name has."""
-    if "'" not in name:
-        return f"$['{name}']"
-    if '"' not in name:
-        return f'$["{name}"]'
-    raise ValueError(f"field name holds both kinds of quotes: {name}")
+def member(variant: Column | str, name: str) -> Column:
+    """One top-level member as a variant, whatever characters its name has."""
+    if "'" not in name and "\\" not in name:
+        return F.try_variant_get(_col(variant), f"$['{name}']", "variant")
+    return F.try_element_at(object_entries(variant), F.lit(name))
 
 
 def shape(variant: Column | str) -> Column:

@@ -102,29 +102,29 @@ def explode_fields(df: DataFrame, document: str, keep: list[str]) -> DataFrame:
     return members.withColumn("_shape", shape("value")).withColumn("flag", shape_flag("_shape")).drop("_shape")
 
 
-def schema_field_flags(catalog: DataFrame, max_depth: int = 8) -> DataFrame:
+def schema_field_flags(catalog: DataFrame) -> DataFrame:
     """Flags that a JSON-schema catalog seeds: (table_name, field, flags).
 
-    Kinds join as a lattice, so a union is the `or` of its branches however they nest.
-    Unions nested deeper than `max_depth` are an error, never silently cut.
+    Kinds join as a lattice, so a union is the `or` of its branches however they nest. A node
+    says what it is by its `type`, else by its union branches; these are unfolded level by
+    level until no branch is left. The catalog has a few rows per table, and a level is one
+    small job.
     """
     properties = F.expr("try_variant_get(try_parse_json(schema_json), '$.properties', 'variant')")
-    fields = catalog.select("table_name", F.explode(object_entries(properties)).alias("field", "node")).where(
+    level = catalog.select("table_name", F.explode(object_entries(properties)).alias("field", "node")).where(
         ~F.col("field").isin(SCHEMA_METADATA_FIELDS + RESERVED_STAGING_COLUMNS)
     )
-    flags = F.when(F.col("field") == META_CREATION_TIME, FLOAT).otherwise(_schema_flags(F.col("node"), max_depth))
-    return fields.select("table_name", "field", flags.alias("flags"))
-
-
-def _schema_flags(node: Column, depth: int) -> Column:
-    """Flags of one schema node: its `type` if it has one, else what its union branches say."""
-    named = F.try_variant_get(node, "$.type", "variant")
-    branches = F.coalesce(*[F.try_variant_get(node, f"$.{union}", "array<variant>") for union in ("anyOf", "oneOf")])
-    if depth == 0:
-        unfolded = F.when(branches.isNotNull(), F.raise_error(F.lit("schema union nested too deep")).cast("int"))
-    else:
-        unfolded = F.aggregate(branches, F.lit(0), lambda seen, branch: seen.bitwiseOR(_schema_flags(branch, depth - 1)))
-    return F.when(named.isNotNull(), _type_flags(named)).otherwise(F.coalesce(unfolded, F.lit(0)))
+    named = F.try_variant_get("node", "$.type", "variant")
+    branches = F.coalesce(*[F.try_variant_get("node", f"$.{union}", "array<variant>") for union in ("anyOf", "oneOf")])
+    own = F.when(F.col("field") == META_CREATION_TIME, FLOAT).when(named.isNotNull(), _type_flags(named)).otherwise(0)
+    flags = None
+    while True:
+        found = level.select("table_name", "field", own.alias("flags"))
+        flags = found if flags is None else flags.union(found)
+        unions = level.where((F.col("field") != META_CREATION_TIME) & named.isNull() & (F.size(branches) > 0))
+        if unions.isEmpty():
+            return flags.groupBy("table_name", "field").agg(F.bit_or("flags").alias("flags"))
+        level = unions.select("table_name", "field", F.explode(branches).alias("node"))
 
 
 def _type_flags(named: Column) -> Column:

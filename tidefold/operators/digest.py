@@ -28,11 +28,13 @@ def content_digest(
 ) -> DataFrame:
     """Per key: `row_count` and `sha256` over the content of all its rows, in one pass.
 
-    `row_hash` gives the hash of one row; the default is xxhash64 over the other columns.
+    `row_hash` gives the hash of one row; the default is xxhash64 over the other columns and,
+    because it skips NULLs, over which of them are NULL.
     `also` are further aggregates for the same pass, such as a size.
     """
     if row_hash is None:
-        row_hash = F.xxhash64(*[name for name in df.columns if name not in keys])
+        hashed_columns = [F.col(f"`{name}`") for name in df.columns if name not in keys]
+        row_hash = F.xxhash64(*hashed_columns, *[column.isNull() for column in hashed_columns])
     hashed = df.withColumn("_hash", row_hash.cast("decimal(38,0)"))
     summed = hashed.groupBy(*keys).agg(F.count("*").alias("row_count"), F.sum("_hash").alias("_sum"), *also)
     digest = digest_text(F.col("row_count"), F.col("_sum")).alias("sha256")

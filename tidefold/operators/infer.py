@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidefold.functions.jsontext import shape, variant_path
+from tidefold.functions.jsontext import member, shape
 from tidefold.functions.kinds import (
     BOOL,
     SPARK_TYPE_OF_KIND,
@@ -52,16 +52,31 @@ def staging_columns(current: DataFrame, seeds: DataFrame | None = None) -> DataF
     )
 
 
-def check_column_names(names: Sequence[str], case_sensitive: bool) -> None:
-    """Refuse names that Spark could not tell apart, before any data is written."""
-    seen: dict[str, str] = {}
-    for name in names:
-        folded = name if case_sensitive else name.lower()
-        if folded in seen:
-            raise ValueError(
-                f"columns {seen[folded]!r} and {name!r} differ in case only: set spark.sql.caseSensitive=true"
-            )
-        seen[folded] = name
+def column_names(fields: Sequence[str], taken: Sequence[str], case_sensitive: bool) -> dict[str, str]:
+    """Column name of each field.
+
+    Spark may not tell names apart that differ in case only. The first in name order keeps its
+    name, the others get the suffix `__2`, `__3` and so on, so every field has its column.
+    """
+    def folded(name: str) -> str:
+        return name if case_sensitive else name.lower()
+
+    used = {folded(name) for name in taken}
+    named: dict[str, str] = {}
+    reserved = {folded(field) for field in fields}
+    for field in sorted(fields):
+        name, number = field, 2
+        while folded(name) in used or (name != field and folded(name) in reserved):
+            name, number = f"{field}__{number}", number + 1
+        used.add(folded(name))
+        named[field] = name
+    return named
+
+
+def _parsed_fields(document: str, schema: T.StructType) -> Column:
+    """Fields of a document by position: f0, f1, … Values are matched by the exact names in `schema`."""
+    numbered = T.StructType([T.StructField(f"f{i}", f.dataType) for i, f in enumerate(schema.fields)])
+    return F.from_json(document, schema).cast(numbered)
 
 
 def project_staging(current: DataFrame, columns: Sequence[tuple[str, str]]) -> DataFrame:
@@ -72,10 +87,9 @@ def project_staging(current: DataFrame, columns: Sequence[tuple[str, str]]) -> D
     widens integers to DOUBLE, and gives strings unquoted and nested values as JSON text.
     """
     ordered = sorted(columns)
-    spark = current.sparkSession
-    check_column_names(
-        [*STAGING_LEADING, *(name for name, _ in ordered), *STAGING_TRAILING],
-        spark.conf.get("spark.sql.caseSensitive") == "true",
+    named = column_names(
+        [name for name, _ in ordered], [*STAGING_LEADING, *STAGING_TRAILING],
+        current.sparkSession.conf.get("spark.sql.caseSensitive") == "true",
     )
     base = current.select(
         F.col("component_path").alias("_component_path"),
@@ -88,10 +102,10 @@ def project_staging(current: DataFrame, columns: Sequence[tuple[str, str]]) -> D
     if not ordered:
         return base
     schema = T.StructType([T.StructField(name, _TYPES[SPARK_TYPE_OF_KIND[kind]]) for name, kind in ordered])
-    parsed = base.withColumn("_fields", F.from_json("_document_json", schema))
+    parsed = base.withColumn("_fields", _parsed_fields("_document_json", schema))
     return parsed.select(
         *STAGING_LEADING,
-        *[F.col("_fields").getField(name).alias(name) for name, _ in ordered],
+        *[F.col("_fields").getField(f"f{i}").alias(named[name]) for i, (name, _) in enumerate(ordered)],
         *STAGING_TRAILING,
     )
 
@@ -105,9 +119,8 @@ def project_bronze(
     else pay for it: as numbers they become 1 and 0, as text `True` and `False`.
     """
     ordered = sorted(columns)
-    check_column_names(
-        [*keep, *(name for name, _, _ in ordered)],
-        rows.sparkSession.conf.get("spark.sql.caseSensitive") == "true",
+    named = column_names(
+        [name for name, _, _ in ordered], keep, rows.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
     )
     if not ordered:
         return rows.select(*keep)
@@ -115,20 +128,21 @@ def project_bronze(
     schema = T.StructType(
         [T.StructField(name, _TYPES["string" if name in mixed else type_name]) for name, type_name, _ in ordered]
     )
-    parsed = rows.withColumn("_fields", F.from_json(document, schema))
+    parsed = rows.withColumn("_fields", _parsed_fields(document, schema))
     if any(name in mixed and type_name == "string" for name, type_name, _ in ordered):
         parsed = parsed.withColumn("_variant", F.try_parse_json(document))
 
-    def column(name: str, type_name: str) -> Column:
-        value = F.col("_fields").getField(name)
+    def column(i: int, name: str, type_name: str) -> Column:
+        value = F.col("_fields").getField(f"f{i}")
         if name not in mixed:
             return value
         if type_name == "string":
-            member = F.try_variant_get("_variant", variant_path(name), "variant")
-            return F.when(shape(member) == "BOOLEAN", F.initcap(value)).otherwise(value)
+            return F.when(shape(member("_variant", name)) == "BOOLEAN", F.initcap(value)).otherwise(value)
         return F.when(value == "true", "1").when(value == "false", "0").otherwise(value).try_cast(type_name)
 
-    return parsed.select(*keep, *[column(name, type_name).alias(name) for name, type_name, _ in ordered])
+    return parsed.select(
+        *keep, *[column(i, name, type_name).alias(named[name]) for i, (name, type_name, _) in enumerate(ordered)]
+    )
 
 
 def bronze_fields(df: DataFrame, document: str, keys: Sequence[str]) -> DataFrame:

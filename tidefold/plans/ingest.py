@@ -9,7 +9,8 @@ that died in between is repeated under the same name and replaces what it had wr
 
 from __future__ import annotations
 
-import zlib
+import hashlib
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -23,7 +24,7 @@ from tidefold.plans.staging import schema_catalog_path
 from tidefold.schemas import CATALOG_SCHEMA, DELTA_TAIL, INITIAL_SNAPSHOT
 from tidefold.session import broadcast_if_bounded, path_exists
 from tidefold.sources.bronze import append_bronze
-from tidefold.sources.catalog import read_catalog, read_schema_file, write_catalog
+from tidefold.sources.catalog import catalog_hash, read_catalog, read_schema_file, write_catalog
 from tidefold.sources.changelog import write_load
 from tidefold.sources.control import append_checkpoints, read_history
 from tidefold.sources.pages import DELTA, PAGE_ORDER, SNAPSHOT, documents, pages_after, read_pages, with_checkpoint
@@ -47,6 +48,11 @@ class SyncSummary:
     final_checkpoint: Row | None = None
 
 
+def load_name(kind: str, *parts: object) -> str:
+    """Name of a load: different for every source and start, the same when a run is repeated."""
+    return f"{kind}-{hashlib.sha256(json.dumps(parts, default=str).encode()).hexdigest()}"
+
+
 def log_sink(log: str) -> Sink:
     """Write events to the change log."""
 
@@ -73,7 +79,10 @@ def save_catalog(spark: SparkSession, landing: str, log: str) -> DataFrame:
     """Persist the landed schemas next to the log and return the catalog; empty without schemas."""
     landed = f"{landing}/schemas.json"
     if path_exists(spark, landed):
-        write_catalog(read_schema_file(spark, landed), schema_catalog_path(log))
+        found = read_schema_file(spark, landed)
+        # Readers of an unchanged catalog are not disturbed.
+        if catalog_hash(found) != catalog_hash(read_catalog(spark, schema_catalog_path(log))):
+            write_catalog(found, schema_catalog_path(log))
     catalog = read_catalog(spark, schema_catalog_path(log))
     return spark.createDataFrame([], CATALOG_SCHEMA) if catalog is None else catalog
 
@@ -94,8 +103,12 @@ def sync_once(
 ) -> SyncSummary:
     """Bring everything that has landed into the sink and advance the checkpoint.
 
-    Deltas are read only once the snapshot is complete.
+    Deltas are read only once the snapshot is complete, and then to the last page that has
+    landed, however many polls the backlog holds. With `on_error="quarantine"` bad documents
+    are kept below the folder `quarantine`, which is required.
     """
+    if on_error == QUARANTINE and quarantine is None:
+        raise ValueError("quarantine mode needs a folder for the documents it leaves out")
     catalog = broadcast_if_bounded(catalog.select("table_name", "fingerprint"))
     summary = SyncSummary()
 
@@ -105,24 +118,27 @@ def sync_once(
             return 0
         order = PAGE_ORDER[kind]
         pages = with_checkpoint(read_pages(spark, folder, kind), kind)
-        headers = pages_after(pages.drop("values"), order, after, max_pages).persist(StorageLevel.MEMORY_AND_DISK)
+        slim = pages.withColumn("filled", F.size("values") > 0).drop("values")
+        headers = pages_after(slim, order, after, max_pages, past_ends=kind == DELTA).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             bounds = headers.agg(
                 F.count("*").alias("n"),
-                F.count_distinct(order).alias("distinct"),
+                # An idle poll repeats the cursor of the one before and brings nothing.
+                F.count_if("filled").alias("filled"),
+                F.count_distinct(F.when(F.col("filled"), F.col(order))).alias("distinct"),
                 F.min(order).alias("low"),
                 F.max(order).alias("high"),
             ).first()
             if not bounds["n"]:
                 return 0
-            if bounds["distinct"] != bounds["n"]:
+            if bounds["distinct"] != bounds["filled"]:
                 raise ValueError(f"{kind} pages are not told apart by {order}")
             due = pages.where(F.col(order).between(bounds["low"], bounds["high"]))
             values = documents(due, table)
             events = normalise(values, on_error=on_error, creation_time=sink.wants_creation_time)
-            load_id = f"{kind}-{zlib.crc32(f'{source_id}|{start}'.encode()):08x}"
+            load_id = load_name(kind, source_id, start)
             summary.events_written += sink.write(with_fingerprint(events, catalog), load_id)
-            if on_error == QUARANTINE and quarantine is not None:
+            if on_error == QUARANTINE:
                 bad = quarantined(values)
                 bad.write.mode("overwrite").parquet(f"{quarantine}/load_id={load_id}")
             steps = headers.orderBy(order).withColumn("write_seq", F.monotonically_increasing_id())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidefold.functions.names import logical_name
@@ -114,12 +114,12 @@ def _counts(rows: DataFrame) -> DataFrame:
     return rows.groupBy("table_name").agg(F.count("*").alias("row_count"))
 
 
-def count_tables(tables: dict[str, DataFrame]) -> DataFrame:
-    """Row counts of separately stored tables, as one union of one-row counts."""
+def count_tables(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
+    """Row counts of separately stored tables, as one union of one-row counts; typed and empty without tables."""
     counts: DataFrame | None = None
     for name, rows in sorted(tables.items()):
         one = rows.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count")
         counts = one if counts is None else counts.unionByName(one)
     if counts is None:
-        raise ValueError("no tables to count")
+        return spark.createDataFrame([], "table_name string, row_count bigint")
     return counts

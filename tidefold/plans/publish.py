@@ -14,7 +14,7 @@ from tidefold.operators.select import with_ordinal
 from tidefold.schemas import MANIFEST_ENTRY_COLUMNS
 from tidefold.session import remove_path, run_jobs
 from tidefold.sources.manifest import latest_manifest, write_manifest
-from tidefold.sources.views import register_views
+from tidefold.sources.views import quoted, register_views
 
 
 @dataclass
@@ -54,13 +54,16 @@ def publish(
     prefix: str = "",
     publish_id: str | None = None,
     threads: int = 8,
+    mirror: bool = True,
 ) -> PublishSummary:
     """Copy changed tables, then point to them, then remove what is gone.
 
     `inventory` has relative_path, sha256, bytes and uri, one row per table. The order is
-    versioned copies, current copies, the manifest, the latest manifest, deletions: whatever
-    point a failure hits, the latest manifest names only data that exists. A manifest is
-    written even when no table changed.
+    versioned copies, the manifest, the latest manifest, current copies, deletions. Versioned
+    copies are never overwritten, and readers of the latest manifest and the views use them
+    alone: whatever point a failure hits, they see the old state or the new one, whole. The
+    `current` folder mirrors the newest versions for readers that know a path only; with
+    `mirror=False` it is left out. A manifest is written even when no table changed.
     """
     published_ms = int(time.time() * 1000) if publish_id is None or not publish_id.isdigit() else int(publish_id)
     publish_id = publish_id or str(published_ms)
@@ -78,12 +81,14 @@ def publish(
         summary = publish_summary(diff).first()
 
         run_jobs(spark, [_copy(spark, row["uri"], _location(bucket, "", row["versioned_key"])) for row in uploads], threads)
-        run_jobs(spark, [_copy(spark, row["uri"], _location(bucket, "", row["key"])) for row in uploads], threads)
         manifests = manifests_path(bucket, prefix)
         stored = f"{manifests}/{publish_id}.json"
         write_manifest(entries.coalesce(1), stored, publish_id, published_ms, bucket, clean_prefix(prefix))
         written = spark.read.schema(entries.schema).json(stored)
         write_manifest(written.coalesce(1), f"{manifests}/latest.json", publish_id, published_ms, bucket, clean_prefix(prefix))
+        if mirror:
+            copies = [(_location(bucket, "", row["versioned_key"]), _location(bucket, "", row["key"])) for row in uploads]
+            run_jobs(spark, [_copy(spark, version, current) for version, current in copies], threads)
         for key in stale:
             remove_path(spark, _location(bucket, "", key))
     finally:
@@ -109,11 +114,18 @@ def source_map(manifest: DataFrame) -> DataFrame:
 def register_published_views(
     spark: SparkSession, bucket: str, prefix: str = "", database: str | None = None
 ) -> list[str]:
-    """One view per published table, and `__source_map` over the manifest itself."""
+    """One view per published table over its versioned copy, and `__source_map` over the manifest itself.
+
+    In a database the views are persistent, and so is `__source_map`: it is a table there,
+    because a manifest is replaced while views are read.
+    """
     manifest = latest_manifest(spark, manifests_path(bucket, prefix))
-    named = manifest.select(view_name("relative_path").alias("view"), "current_key").orderBy("view").collect()
+    named = manifest.select(view_name("relative_path").alias("view"), "versioned_key").orderBy("view").collect()
     names = register_views(
-        spark, [(row["view"], _location(bucket, "", row["current_key"])) for row in named], database
+        spark, [(row["view"], _location(bucket, "", row["versioned_key"])) for row in named], database
     )
-    source_map(manifest).createOrReplaceTempView("__source_map")
+    if database is None:
+        source_map(manifest).createOrReplaceTempView("__source_map")
+    else:
+        source_map(manifest).coalesce(1).write.mode("overwrite").saveAsTable(f"{quoted(database)}.__source_map")
     return names

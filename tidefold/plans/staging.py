@@ -32,7 +32,7 @@ from tidefold.operators.select import affected_tables
 from tidefold.schemas import DELETE, IDENTITY, LOG_FILE_SCHEMA, ORDERING
 from tidefold.session import list_names, partition_values, remove_path, run_jobs
 from tidefold.sources.catalog import catalog_hash, read_catalog
-from tidefold.sources.changelog import LOG_KEYS, load_ids, read_log
+from tidefold.sources.changelog import LOG_KEYS, load_marks, read_log
 
 FULL_REBUILD, INCREMENTAL = "full_rebuild", "incremental"
 
@@ -48,7 +48,7 @@ _ENTRY = {
     "columns": "string",
 }
 _LEDGER = (
-    "schema_hash string, mode string, load struct<load_id: string, batches: bigint, events: bigint>, "
+    "schema_hash string, mode string, load struct<load_id: string, batches: bigint, events: bigint, mark: bigint>, "
     f"entry struct<{', '.join(f'{name}: {kind}' for name, kind in _ENTRY.items())}>"
 )
 
@@ -70,7 +70,7 @@ class Ledger:
 
     version: int
     schema_hash: str | None
-    loads: dict[str, tuple[int, int]] = field(default_factory=dict)
+    loads: dict[str, tuple[int, int, int]] = field(default_factory=dict)  # batches, events, mark
     tables: dict[tuple[str, str], dict] = field(default_factory=dict)
 
 
@@ -92,7 +92,7 @@ def read_ledger(spark: SparkSession, root: str) -> Ledger | None:
     ledger = Ledger(version, None)
     for row in rows:
         if row["load"] is not None:
-            ledger.loads[row["load"]["load_id"]] = (row["load"]["batches"], row["load"]["events"])
+            ledger.loads[row["load"]["load_id"]] = (row["load"]["batches"], row["load"]["events"], row["load"]["mark"])
         elif row["entry"] is not None:
             entry = row["entry"].asDict()
             ledger.tables[entry["component_path"], entry["table_name"]] = entry
@@ -164,17 +164,21 @@ def materialise(
 ) -> StagingSummary:
     """Bring the staging tables up to date with the log.
 
-    Everything is rebuilt when asked for, when there is no earlier state, or when the schema
-    catalog changed. Otherwise only tables named in new loads are touched, and without new
+    Everything is rebuilt when asked for, when there is no earlier state, when the schema
+    catalog changed, or when a load that was already processed has been replaced. Otherwise only tables named in new loads are touched, and without new
     loads nothing is.
     """
     catalog = read_catalog(spark, schema_catalog_path(log))
     schema_hash = catalog_hash(catalog)
     previous = read_ledger(spark, root)
-    present = load_ids(spark, log)
+    marks = load_marks(spark, log)
+    present = list(marks)
     version = previous.version + 1 if previous else 1
 
     reusable = incremental and previous is not None and previous.schema_hash == schema_hash
+    if reusable:
+        # What a replaced load held before is part of the stored state and cannot be taken out.
+        reusable = all(marks.get(load, mark) == mark for load, (_, _, mark) in previous.loads.items())
     if reusable:
         new_loads = sorted(set(present) - set(previous.loads))
         if not new_loads:
@@ -234,12 +238,12 @@ def materialise(
             writes.append(_table_writer(spark, root, version, key, row["relative_path"], typed))
     run_jobs(spark, writes, threads)
 
-    loads = {row["load_id"]: (row["batches"], row["events"]) for row in counts}
-    new_files = sum(batches for batches, _ in loads.values())
+    loads = {row["load_id"]: (row["batches"], row["events"], marks[row["load_id"]]) for row in counts}
+    new_files = sum(batches for batches, _, _ in loads.values())
     if reusable:
         loads = {**previous.loads, **loads}
         for load in new_loads:
-            loads.setdefault(load, (0, 0))
+            loads.setdefault(load, (0, 0, marks[load]))
         tables = {**previous.tables, **entries}
     else:
         tables = entries
@@ -248,8 +252,8 @@ def materialise(
     touched_tables = len(entries) if reusable else len(writes)
     return StagingSummary(
         mode=mode,
-        files_read=sum(batches for batches, _ in loads.values()),
-        events_read=sum(events for _, events in loads.values()),
+        files_read=sum(batches for batches, _, _ in loads.values()),
+        events_read=sum(events for _, events, _ in loads.values()),
         new_raw_files=new_files,
         affected_tables=touched_tables,
         tables_materialized=touched_tables,

@@ -233,7 +233,7 @@ _COUNTED = ["customer", "orders", "lineitem", "events", "documents"]
     " union all ".join(f"select '{name}' as table_name, count(*) as row_count from {name}" for name in _COUNTED),
 )
 def union_of_counts(spark, sf_dir):
-    return count_tables({name: table(spark, sf_dir, name) for name in _COUNTED})
+    return count_tables(spark, {name: table(spark, sf_dir, name) for name in _COUNTED})
 
 
 @query(

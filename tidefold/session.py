@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable
@@ -83,14 +84,32 @@ def remove_path(spark: SparkSession, path: str) -> None:
     filesystem.delete(hadoop_path, True)
 
 
+def committed_marks(spark: SparkSession, path: str, column: str) -> dict[str, int]:
+    """Committed values of one partition column, in order, each with the time of its commit.
+
+    One call to the file system, however many values there are. A directory that is written
+    again gets another mark.
+    """
+    found = _parents(spark, path, column, "_SUCCESS")
+    return dict(sorted((name, status.getModificationTime()) for name, status in found))
+
+
+def filled_partitions(spark: SparkSession, path: str, column: str, inner: str) -> set[str]:
+    """Values of one partition column below which there are partitions of `inner`."""
+    return {name for name, _ in _parents(spark, path, column, f"{inner}=*")}
+
+
+def _parents(spark: SparkSession, path: str, column: str, inside: str) -> list[tuple[str, object]]:
+    """(value, file status) for everything that matches `<path>/<column>=<value>/<inside>`."""
+    escaped = re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+    filesystem, pattern = _filesystem(spark, f"{escaped}/{column}=*/{inside}")
+    statuses = filesystem.globStatus(pattern) or []
+    return [(status.getPath().getParent().getName()[len(column) + 1:], status) for status in statuses]
+
+
 def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
-    """Values of one partition column whose directory was committed (`_SUCCESS` present)."""
-    prefix = f"{column}="
-    return [
-        name[len(prefix):]
-        for name in list_names(spark, path)
-        if name.startswith(prefix) and path_exists(spark, f"{path}/{name}/_SUCCESS")
-    ]
+    """Values of one partition column whose directory was committed (`_SUCCESS` present), in order."""
+    return list(committed_marks(spark, path, column))
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -119,6 +138,17 @@ def with_adaptive_execution(batch: DataFrame) -> DataFrame:
     return batch
 
 
+def query_id(spark: SparkSession) -> str:
+    """Identifier of the streaming query whose micro-batch is being processed.
+
+    It is stored in the query's checkpoint: a restart keeps it, a new checkpoint has another.
+    """
+    found = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not found:
+        raise RuntimeError("no micro-batch is being processed here")
+    return found
+
+
 def run_jobs(spark: SparkSession, jobs: Iterable[Callable[[], object]], threads: int = 8) -> list[object]:
     """Submit independent Spark jobs from a few driver threads and wait for all of them."""
     with ThreadPoolExecutor(max_workers=threads) as pool:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidefold.functions.jsontext import canonical_json, object_entries, parse_marked, unmark_decimals
+from tidefold.functions.jsontext import canonical_json, object_entries, parse_marked, unmark_decimals, unmark_text
 from tidefold.operators.digest import digest_text, sha_number
 from tidefold.schemas import CATALOG_SCHEMA
 from tidefold.session import path_exists
@@ -20,7 +20,7 @@ def catalog_from_payload(payload: DataFrame, column: str = "value") -> DataFrame
     tables = payload.select(
         F.explode(object_entries(parse_marked(column))).alias("table_name", "schema")
     ).where(~F.col("table_name").startswith("$"))
-    text = tables.select("table_name", unmark_decimals(F.to_json("schema")).alias("schema_json"))
+    text = tables.select(unmark_text(F.col("table_name")).alias("table_name"), unmark_decimals(F.to_json("schema")).alias("schema_json"))
     return with_fingerprints(text)
 
 

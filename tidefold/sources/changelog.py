@@ -21,7 +21,7 @@ from tidefold.schemas import (
     RAW_LOG_SCHEMA,
     UPSERT,
 )
-from tidefold.session import list_names, partition_values, remove_path
+from tidefold.session import committed_marks, list_names, partition_values, remove_path
 
 LOG_KEYS = ["component_key", "table_key"]
 
@@ -67,6 +67,11 @@ def write_load(events: DataFrame, log: str, load_id: str) -> bool:
     return True
 
 
+def load_marks(spark: SparkSession, log: str) -> dict[str, int]:
+    """Complete loads of the log, each with a mark that changes when the load is replaced."""
+    return committed_marks(spark, log, "load_id")
+
+
 def load_ids(spark: SparkSession, log: str) -> list[str]:
     """Complete loads of the log, in name order."""
     return partition_values(spark, log, "load_id")

@@ -82,16 +82,20 @@ def with_checkpoint(pages: DataFrame, kind: str) -> DataFrame:
     return staged.withColumn("batch", name)
 
 
-def pages_after(pages: DataFrame, order: str, after: object = None, max_pages: int | None = None) -> DataFrame:
+def pages_after(
+    pages: DataFrame, order: str, after: object = None, max_pages: int | None = None, past_ends: bool = False
+) -> DataFrame:
     """Pages past a cursor, up to the first one that says there is no more, at most `max_pages`.
 
-    The bounds are found on the order column alone; page contents stay where they are.
+    Every poll of a delta feed ends in such a page, so a backlog of polls has many of them;
+    `past_ends` reads on behind them to the last page that has landed. The bounds are found on the order column alone; page contents stay where they are.
     """
     if max_pages is not None and max_pages <= 0:
         raise ValueError(f"max_pages must be positive, got {max_pages}")
     pending = pages if after is None else pages.where(F.col(order) > F.lit(after))
-    final = pending.where(~F.col("has_more")).agg(F.min(order).alias("bound"))
-    pending = pending.where(F.col(order) <= F.coalesce(final.scalar(), F.col(order)))
+    if not past_ends:
+        final = pending.where(~F.col("has_more")).agg(F.min(order).alias("bound"))
+        pending = pending.where(F.col(order) <= F.coalesce(final.scalar(), F.col(order)))
     if max_pages is not None:
         reached = pending.select(order).orderBy(order).limit(max_pages).agg(F.max(order).alias("bound"))
         pending = pending.where(F.col(order) <= reached.scalar())

@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from tidefold.functions.events import normalise, with_fingerprint
-from tidefold.plans.ingest import Sink
-from tidefold.session import with_adaptive_execution
-from tidefold.sources.control import append_checkpoints
-from tidefold.sources.pages import PAGE_ORDER, documents, with_checkpoint
+from tidefold.functions.events import FAIL, QUARANTINE, normalise, quarantined, with_fingerprint
+from tidefold.operators.checkpoints import resume_checkpoint
+from tidefold.plans.ingest import Sink, load_name
+from tidefold.schemas import DELTA_TAIL
+from tidefold.session import broadcast_if_bounded, query_id, with_adaptive_execution
+from tidefold.sources.control import append_checkpoints, read_history
+from tidefold.sources.pages import DELTA, PAGE_ORDER, documents, with_checkpoint
 
 
 def start(
@@ -24,18 +26,38 @@ def start(
     checkpoint: str,
     table: str | None = None,
     continuous_every: str | None = None,
+    on_error: str = FAIL,
+    quarantine: str | None = None,
 ) -> StreamingQuery:
-    """Each micro-batch is one load, named after its id: a repeated batch replaces itself.
+    """Each micro-batch is one load, named after source, query and batch: a repeated batch replaces itself.
 
-    The data of a batch is written first, the checkpoints its pages lead to after.
+    Two sources, or one source read again with a new checkpoint folder, never share a name.
+    The data of a batch is written first, the checkpoints its pages lead to after; pages that
+    land late, or come again, do not move the checkpoint back. A delta batch fails as long as
+    the snapshot is incomplete, and is taken up again when the query is restarted.
     """
+    if on_error == QUARANTINE and quarantine is None:
+        raise ValueError("quarantine mode needs a folder for the documents it leaves out")
+    fingerprints = broadcast_if_bounded(catalog.select("table_name", "fingerprint"))
 
     def land(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        at = resume_checkpoint(read_history(spark, control), source_id).first()
+        in_tail = at is not None and at["phase"] == DELTA_TAIL
+        if kind == DELTA and not in_tail:
+            raise ValueError(f"deltas of {source_id} wait for its snapshot")
         known = with_checkpoint(with_adaptive_execution(batch), kind)
-        events = normalise(documents(known, table), creation_time=sink.wants_creation_time)
-        sink.write(with_fingerprint(events, catalog), f"{kind}-stream-{batch_id:010d}")
+        load_id = load_name(kind, source_id, query_id(spark), batch_id)
+        values = documents(known, table)
+        events = normalise(values, on_error=on_error, creation_time=sink.wants_creation_time)
+        sink.write(with_fingerprint(events, fingerprints), load_id)
+        if on_error == QUARANTINE:
+            quarantined(values).write.mode("overwrite").parquet(f"{quarantine}/load_id={load_id}")
         steps = known.drop("values").orderBy(PAGE_ORDER[kind]).withColumn("write_seq", F.monotonically_increasing_id())
-        append_checkpoints(steps, control, source_id, run_id)
+        if kind == DELTA:
+            steps = steps.where(F.col("delta_cursor") > F.lit(at["delta_cursor"]))
+        if kind == DELTA or not in_tail:
+            append_checkpoints(steps, control, source_id, run_id)
 
     writer = pages.writeStream.foreachBatch(land).option("checkpointLocation", checkpoint)
     if continuous_every is None:
