@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -102,10 +104,17 @@ def read_metadata(df: DataFrame, value: str = "value", creation_time: bool = Fal
 
 
 def normalise(
-    df: DataFrame, value: str = "value", on_error: str = FAIL, creation_time: bool = False
+    df: DataFrame,
+    value: str = "value",
+    on_error: str = FAIL,
+    creation_time: bool = False,
+    fields: Sequence[str] | None = None,
 ) -> DataFrame:
     """Valid change events; the raw text is dropped, other columns are kept.
 
+    `fields` names the event columns that are needed; the others are not worked out, and
+    without `document` no document is rebuilt.
+
     `fail` stops the job at the first bad document, `quarantine` leaves bad documents out
     of this result; `quarantined` gives exactly those.
 
@@ -115,11 +124,10 @@ def normalise(
     checked = read_metadata(df, value, creation_time)
     if on_error == FAIL:
         message = F.concat(F.lit("bad source document: "), F.col("error"))
-        failing = F.when(F.col("error").isNull(), F.col("op")).otherwise(F.raise_error(message).cast("string"))
-        checked, keep = checked.withColumn("op", failing), F.lit(True)
+        keep = F.col("error").isNull() | F.raise_error(message).cast("boolean")
     else:
         keep = F.col("error").isNull()
-    produced = [*EVENT_COLUMNS, "creation_time"] if creation_time else EVENT_COLUMNS
+    produced = list(fields or ([*EVENT_COLUMNS, "creation_time"] if creation_time else EVENT_COLUMNS))
     carried = [name for name in df.columns if name != value]
     return checked.select(*carried, F.inline(F.when(keep, F.array(F.struct(*produced)))))
 

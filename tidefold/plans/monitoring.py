@@ -95,12 +95,12 @@ def table_row_counts(bronze: DataFrame, silver: DataFrame) -> DataFrame:
 
     Inputs are row sets with a `table_name` column, or ready counts (table_name, row_count).
     """
-    left = _counts(bronze).select(
+    left = rows_per_table(bronze).select(
         logical_name("table_name").alias("logical_table"),
         F.col("table_name").alias("bronze_table"),
         F.col("row_count").alias("bronze_row_count"),
     )
-    right = _counts(silver).select(
+    right = rows_per_table(silver).select(
         F.col("table_name").alias("logical_table"),
         F.col("table_name").alias("silver_table"),
         F.col("row_count").alias("silver_row_count"),
@@ -108,7 +108,14 @@ def table_row_counts(bronze: DataFrame, silver: DataFrame) -> DataFrame:
     return left.join(right, "logical_table", "full").orderBy("logical_table")
 
 
-def _counts(rows: DataFrame) -> DataFrame:
+def logical_table_names(bronze: DataFrame, silver: DataFrame) -> DataFrame:
+    """Names of all logical tables that either layer lists."""
+    left = bronze.select(logical_name("table_name").alias("logical_table"))
+    return left.union(silver.select(F.col("table_name").alias("logical_table"))).distinct()
+
+
+def rows_per_table(rows: DataFrame) -> DataFrame:
+    """Rows of each table of one layer; ready counts pass unchanged."""
     if "row_count" in rows.columns:
         return rows.select("table_name", "row_count")
     return rows.groupBy("table_name").agg(F.count("*").alias("row_count"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidefold.functions.events import bronze_rows, normalise, read_metadata, with_fingerprint
-from tidefold.functions.kinds import bronze_type, explode_fields, flag_kind, schema_field_flags
+from tidefold.functions.kinds import BOOL, TEXT, bronze_type, explode_fields, flag_kind, schema_field_flags
 from tidefold.functions.names import bronze_table_name
 from tidefold.operators.fold import apply_changes, current_state, fold_log, live
 from tidefold.operators.infer import observed_flags, project_bronze, project_staging, staging_columns
@@ -105,7 +105,7 @@ def metadata_validation(spark, sf_dir):
 
 @query("prj3_operation", f"select ord, op from {RAW_VALID}")
 def operation(spark, sf_dir):
-    return normalise(RAWDOC.frame(spark, sf_dir), on_error="quarantine").select("ord", "op")
+    return normalise(RAWDOC.frame(spark, sf_dir), on_error="quarantine", fields=["op"])
 
 
 @query(
@@ -237,12 +237,13 @@ def typed_projection(spark, sf_dir):
 
 @query(
     "prj8_typed_projection_mixed",
-    f"""select {_STAGED}, accounts_mix as mix, document as _document_json
+    f"""select {_STAGED}, cast(creation_time as double) as "_creationTime", cents, accounts_mix as mix, props_text as props, whole, document as _document_json
         from {RAW_VALID} where table_name = 'accounts' and document is not null""",
 )
 def typed_projection_mixed(spark, sf_dir):
     accounts = live(raw_events(spark, sf_dir)).where("table_name = 'accounts'")
-    return project_staging(accounts, [("mix", "JsonUtf8")])
+    inferred = staging_columns(accounts).select("field", "kind").distinct().collect()
+    return project_staging(accounts, [(row["field"], row["kind"]) for row in inferred])
 
 
 @query(
@@ -378,7 +379,8 @@ def counts_of_loads(spark, sf_dir):
         count(*) as row_count from {RAW_VALID} group by 1""",
 )
 def routed_event_counts(spark, sf_dir):
-    return routed_counts(raw_events(spark, sf_dir).select(bronze_table_name("component_path", "table_name").alias("target")))
+    named = normalise(RAWDOC.frame(spark, sf_dir), on_error="quarantine", fields=["component_path", "table_name"])
+    return routed_counts(named.select(bronze_table_name("component_path", "table_name").alias("target")))
 
 
 # --- type-1 apply ---------------------------------------------------------------------------
@@ -412,3 +414,33 @@ def apply_changes_by_document(spark, sf_dir):
         rows, [CDC_DOCUMENT_ID], [CDC_SEQUENCE_NUM, "batch", "position"], CDC_IS_DELETED,
         [*SILVER_DROPPED_COLUMNS, "batch", "position"],
     )
+
+
+# --- documents with unusual keys ----------------------------------------------------------
+
+
+@query(
+    "prj2_repeated_keys",
+    "select event_id as ord, case when event_id % 3 = 0 then 'repeated_key' else 'ok' end as status from events",
+)
+def repeated_keys(spark, sf_dir):
+    """A document that names a key twice is told apart from one that is no object."""
+    value = """concat('{"_component":"","_table":"t","_id":"i","_ts":', cast(event_id as string),
+        case when event_id % 3 = 0 then ',"k":1,"k":2' else ',"k":1' end, '}')"""
+    rows = table(spark, sf_dir, "events").selectExpr("event_id as ord", f"{value} as value")
+    return read_metadata(rows).select("ord", F.coalesce("error", F.lit("ok")).alias("status"))
+
+
+@query(
+    "prj9_quoted_names",
+    "select event_id as ord, case when event_id % 2 = 0 then 'True' else event_type end as odd from events",
+)
+def quoted_names(spark, sf_dir):
+    """A field whose name holds both kinds of quotes, with booleans and text in it."""
+    name = """it's "odd" name"""
+    text = F.to_json(F.struct(F.col("event_type").alias(name)))
+    flag = F.to_json(F.struct(F.lit(True).alias(name)))
+    value = F.when(F.col("event_id") % 2 == 0, flag).otherwise(text)
+    rows = table(spark, sf_dir, "events").select(F.col("event_id").alias("ord"), value.alias("document"))
+    typed = project_bronze(rows, "document", [(name, "string", BOOL | TEXT)], ["ord"])
+    return typed.toDF("ord", "odd")

@@ -19,11 +19,13 @@ from tidefold.plans.monitoring import (
     count_tables,
     dashboard_measures,
     lag_minutes,
+    logical_table_names,
     sync_summary,
     table_count,
     table_inventory,
     table_row_counts,
 )
+from tidefold.plans.monitoring import rows_per_table as rows_per_table_of
 from tidefold.queries.inputs import CAT_B, CAT_S, CKPT, LOG_E, live_sql, log_rows, table
 from tidefold.queries.registry import query
 from tidefold.schemas import CHECKPOINT_COLUMNS, INITIAL_SNAPSHOT
@@ -48,9 +50,19 @@ def checkpoint_latest_view(spark, sf_dir):
     return spark.table("connector_checkpoint_latest")
 
 
+def _stored_history(spark, sf_dir) -> str:
+    """The history as a control table on disk."""
+    path = scratch_path(spark, "control")
+    rows = CKPT.frame(spark, sf_dir).withColumn("updated_at", F.col("updated_at").cast("timestamp"))
+    rows.withColumn("write_seq", F.monotonically_increasing_id()).write.parquet(path)
+    return path
+
+
 @query("src9_checkpoint_history", f"select {_NAMES} from {CKPT.sql} where source_id = 'src7'")
 def checkpoint_history(spark, sf_dir):
-    return CKPT.frame(spark, sf_dir).where(F.col("source_id") == "src7")
+    return read_history(spark, _stored_history(spark, sf_dir), "src7").select(*CHECKPOINT_COLUMNS).withColumn(
+        "updated_at", F.col("updated_at").cast(dict(CKPT.frame(spark, sf_dir).dtypes)["updated_at"])
+    )
 
 
 @query(
@@ -72,11 +84,9 @@ def recent(spark, sf_dir):
 
 @query("mon3_recent_checkpoints", _RECENT)
 def recent_view(spark, sf_dir):
-    CKPT.frame(spark, sf_dir).createOrReplaceTempView("connector_checkpoint")
-    return spark.sql(
-        """select source_id, phase, snapshot_ts, delta_cursor, run_id, updated_at from connector_checkpoint
-           order by updated_at desc, run_id desc limit 50"""
-    )
+    recent_checkpoints(read_history(spark, _stored_history(spark, sf_dir))).createOrReplaceTempView("recent_checkpoints")
+    kind = dict(CKPT.frame(spark, sf_dir).dtypes)["updated_at"]
+    return spark.table("recent_checkpoints").withColumn("updated_at", F.col("updated_at").cast(kind))
 
 
 @query("srt5_smoke_check", f"select source_id, phase, updated_at from {_LATEST} order by updated_at desc, source_id limit 5")
@@ -192,9 +202,7 @@ def bronze_silver_outer(spark, sf_dir):
     f"select regexp_replace(table_name, '__cdc$', '') as logical_table from {CAT_B.sql} union select table_name from {CAT_S.sql}",
 )
 def logical_names(spark, sf_dir):
-    bronze = CAT_B.frame(spark, sf_dir).select(logical_name("table_name").alias("logical_table"))
-    silver = CAT_S.frame(spark, sf_dir).select(F.col("table_name").alias("logical_table"))
-    return bronze.union(silver).distinct()
+    return logical_table_names(CAT_B.frame(spark, sf_dir), CAT_S.frame(spark, sf_dir))
 
 
 _TARGET = "concat('src__', case component_path when '' then 'app' when 'r2/cache' then 'r2_cache' else component_path end, '__', table_name, '__cdc')"
@@ -222,7 +230,7 @@ def row_counts(spark, sf_dir):
 @query("agg11_rows_per_table", f"select {_TARGET} as table_name, count(*) as row_count from {LOG_E.sql} group by 1")
 def rows_per_table(spark, sf_dir):
     bronze, _ = _layers(spark, sf_dir)
-    return bronze.groupBy("table_name").agg(F.count("*").alias("row_count"))
+    return rows_per_table_of(bronze)
 
 
 _COUNTED = ["customer", "orders", "lineitem", "events", "documents"]

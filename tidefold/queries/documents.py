@@ -29,11 +29,14 @@ def canonical_text(spark, sf_dir):
 
 @query(
     "prj7_canonical_text_documents",
-    "select doc_id, sha256(concat('{\"n\":', cast(n_chars as varchar), ',\"t\":\"', regexp_replace(text, '[^a-zA-Z ]', '', 'g'), '\"}')) as digest from documents",
+    "select doc_id, sha256(concat('{\"n\":', cast(n_chars as varchar), ',\"t\":', cast(to_json(text) as varchar), '}')) as digest from documents",
 )
 def canonical_documents(spark, sf_dir):
-    words = F.regexp_replace("text", "[^a-zA-Z ]", "")
-    loose = F.concat(F.lit('{"t": "'), words, F.lit('", "n" : '), F.col("n_chars").cast("string"), F.lit(" }"))
+    """Whole texts: quotes, line ends, letters of all languages."""
+    text = "substr(to_json(struct(text as t)), 6, length(to_json(struct(text as t))) - 6)"
+    loose = F.concat(
+        F.lit('{ "t" :  '), F.expr(text), F.lit(', "n" : '), F.col("n_chars").cast("string"), F.lit(" }")
+    )
     return table(spark, sf_dir, "documents").select("doc_id", F.sha2(canonical_json(loose), 256).alias("digest"))
 
 
@@ -189,3 +192,37 @@ def change_log_files(spark, sf_dir):
     )
     events.write.parquet(path)
     return read_change_files(spark, path).drop("batch", "position")
+
+
+@query(
+    "prj26_deep_unions",
+    """select concat('part_', cast(p_partkey as varchar)) as table_name, 'f' as field,
+        case p_size % 3 when 0 then 'Int64' when 1 then 'Utf8' else 'Float64' end as kind from part""",
+)
+def deep_unions(spark, sf_dir):
+    """A type below twelve levels of unions, in turn anyOf and oneOf."""
+    node = F.expr("concat('{\"type\":\"', case p_size % 3 when 0 then 'integer' when 1 then 'string' else 'number' end, '\"}')")
+    for level in range(12):
+        union = "anyOf" if level % 2 else "oneOf"
+        node = F.concat(F.lit(f'{{"{union}":[{{"type":"null"}},'), node, F.lit("]}"))
+    schema = F.concat(F.lit('{"properties":{"f":'), node, F.lit("}}"))
+    catalog = table(spark, sf_dir, "part").select(
+        F.concat(F.lit("part_"), F.col("p_partkey").cast("string")).alias("table_name"), schema.alias("schema_json")
+    )
+    return schema_field_flags(catalog).select("table_name", "field", staging_kind("flags").alias("kind"))
+
+
+@query(
+    "src11_null_positions",
+    "select c_mktsegment as segment, 2 as digests from customer group by 1",
+)
+def null_positions(spark, sf_dir):
+    """Values that move between columns of which the other is NULL change the digest."""
+    rows = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("segment"), F.col("c_name").alias("name"))
+    nothing = F.lit(None).cast("string")
+    sides = [
+        content_digest(rows.select("segment", *[v.alias(n) for n, v in zip("ab", pair)]), ["segment"])
+        for pair in ((F.col("name"), nothing), (nothing, F.col("name")))
+    ]
+    both = sides[0].union(sides[1])
+    return both.groupBy("segment").agg(F.count_distinct("sha256").cast("int").alias("digests"))

@@ -5,12 +5,15 @@ Everything is written below the session's shared folder and read back.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidefold.functions.names import logical_name
 from tidefold.operators.select import select_flow_tables, unprocessed
 from tidefold.plans.ingest import Sink, bronze_sink, log_sink, sync_once
+from tidefold.plans.monitoring import count_tables, table_row_counts
 from tidefold.plans.publish import manifests_path, publish, register_published_views
 from tidefold.plans.service import ServicePaths, run_round
 from tidefold.plans.staging import materialise, read_staging, staging_inventory, staging_tables
@@ -194,6 +197,63 @@ def sync_counts(spark, sf_dir):
     )
 
 
+@query("snk1_two_sources_one_log", f"select source, count(*) as events from (values ('s1'), ('s2')) t(source), {LOG_E.sql} e group by 1")
+def two_sources(spark, sf_dir):
+    """Two sources sync the same pages into one log, each with its own checkpoints."""
+    landing, log, control = _landing(spark, sf_dir), scratch_path(spark, "log"), scratch_path(spark, "control")
+    catalog, before, counts = spark.createDataFrame([], CATALOG_SCHEMA), set(), []
+    for source in ("s1", "s2"):
+        sync_once(spark, landing, log_sink(log), catalog, control, source, "r1")
+        loads = [load for load in load_ids(spark, log) if load not in before]
+        before.update(loads)
+        counts.append(read_log(spark, log, loads).agg(F.count("*").alias("events")).select(F.lit(source).alias("source"), "events"))
+    return counts[0].union(counts[1])
+
+
+@query("str6_replaced_load_restaged", f"select table_name, count(*) as rows from {live_sql(LOG_E.sql)} group by 1")
+def replaced_load(spark, sf_dir):
+    """A load is staged, then replaced under its name by a larger one, and staged again."""
+    log, root = scratch_path(spark, "log"), scratch_path(spark, "staging")
+    events = log_rows(LOG_E, spark, sf_dir)
+    for part in (events.where("position % 2 = 0"), events):
+        write_load(part, log, "one")
+        materialise(spark, log, root)
+    return _all_tables(spark, root).groupBy(F.col("_table_name").alias("table_name")).agg(F.count("*").alias("rows"))
+
+
+@query(
+    "str7_backlog",
+    """select count(*) as pages, count(*) as events, 1 as runs from orders where o_orderkey % 100 = 0""",
+)
+def backlog(spark, sf_dir):
+    """Every page ends a poll; one run takes them all."""
+    landing, log, control = (scratch_path(spark, name) for name in ("landing", "log", "control"))
+    orders = table(spark, sf_dir, "orders").where("o_orderkey % 100 = 0")
+    page = """concat('{"values":[{"_component":"","_table":"orders","_id":"', cast(o_orderkey as string), '","_ts":', cast(o_orderkey as string),
+        ',"total":', cast(o_totalprice as string), '}],"hasMore":false,"cursor":', cast(o_orderkey + 1000 as string), '}')"""
+    orders.selectExpr(f"{page} as value").write.text(f"{landing}/deltas")
+    last = spark.createDataFrame([('{"values":[],"hasMore":false,"snapshot":1,"cursor":null}',)], "value string")
+    last.coalesce(1).write.text(f"{landing}/snapshot")
+    done = _sync(spark, landing, log_sink(log), control)
+    assert _sync(spark, landing, log_sink(log), control, run_id="r2").delta_pages_fetched == 0
+    row = (done.delta_pages_fetched, read_log(spark, log).count(), 1)
+    return spark.createDataFrame([row], "pages bigint, events bigint, runs int")
+
+
+@query("str3_two_streams_one_log", f"select 2 * count(*) as events, 4 as loads from {LOG_E.sql}")
+def two_streams(spark, sf_dir):
+    """Two sources streamed into one log keep their batches apart."""
+    landing, log, control = _landing(spark, sf_dir), scratch_path(spark, "log"), scratch_path(spark, "control")
+    catalog = spark.createDataFrame([], CATALOG_SCHEMA)
+    for source in ("s1", "s2"):
+        for kind, folder in ((SNAPSHOT, "snapshot"), (DELTA, "deltas")):
+            pages = stream_pages(spark, f"{landing}/{folder}", kind, max_files=100_000)
+            checkpoint = scratch_path(spark, "stream")
+            stream_ingest.start(pages, kind, log_sink(log), catalog, control, source, "r1", checkpoint).awaitTermination()
+    counted = read_log(spark, log).agg(F.count("*").alias("events"), F.count_distinct("load_id").cast("int").alias("loads"))
+    return counted
+
+
 @query("str3_streaming_ingest", _LOGGED)
 def streaming_ingest(spark, sf_dir):
     landing, log, control = _landing(spark, sf_dir), scratch_path(spark, "log"), scratch_path(spark, "control")
@@ -258,12 +318,32 @@ def full_rebuild(spark, sf_dir):
     return _all_tables(spark, root)
 
 
-@query("snk2_staging_table_write", f"select * from ({_TYPED_E}) where _component_path = '' and _table_name = 'users'")
+@query("snk2_staging_table_write", _TYPED_E)
 def staging_table_write(spark, sf_dir):
     log, root = scratch_path(spark, "log"), scratch_path(spark, "staging")
     write_load(log_rows(LOG_E, spark, sf_dir), log, "all")
     materialise(spark, log, root)
-    return read_staging(spark, root, "", "users")
+    keys = [(entry["component_path"], entry["table_name"]) for entry in staging_tables(spark, root)]
+    return reduce(DataFrame.unionByName, [read_staging(spark, root, *key) for key in keys])
+
+
+_CASE_DOC = """concat('{"Name":', cast(user_id as string), ',"name":"', event_type, '","NAME":', cast(event_id as string), '.5}')"""
+
+
+@query(
+    "snk2_case_names",
+    """select event_id as "_timestamp", cast(event_id + 0.5 as double) as "NAME", user_id as "Name__2", event_type as "name__3" from events""",
+)
+def case_names(spark, sf_dir):
+    """Fields that differ in case only each get a column, and other tables are not disturbed."""
+    log, root = scratch_path(spark, "log"), scratch_path(spark, "staging")
+    events = table(spark, sf_dir, "events").selectExpr(
+        "'' as component_path", "'odd' as table_name", "cast(event_id as string) as document_id", "event_id as timestamp",
+        "'upsert' as op", "cast(null as string) as schema_fingerprint", f"{_CASE_DOC} as document", "'b' as batch", "event_id as position",
+    )
+    write_load(events.union(events.withColumn("table_name", F.lit("other"))), log, "all")
+    assert materialise(spark, log, root).tables_materialized == 2
+    return read_staging(spark, root, "", "odd").select("_timestamp", "NAME", "Name__2", "name__3")
 
 
 @query(
@@ -273,12 +353,11 @@ def staging_table_write(spark, sf_dir):
         document as _document_json from {live_sql(LOG_L.sql)}""",
 )
 def incremental_staging(spark, sf_dir):
-    """Late years first, applied load by load; equal to folding everything at once."""
+    """A load per ship year, the latest first, staged one by one; equal to folding everything at once."""
     log, root = scratch_path(spark, "log"), scratch_path(spark, "staging")
     events = LOG_L.frame(spark, sf_dir)
-    late = F.col("ship_year") >= "1996"
-    for name, part in (("late", late), ("early", ~late)):
-        write_load(events.where(part), log, name)
+    for year in sorted((row["ship_year"] for row in events.select("ship_year").distinct().collect()), reverse=True):
+        write_load(events.where(F.col("ship_year") == year), log, year)
         materialise(spark, log, root)
     return _all_tables(spark, root).select("_table_name", "_document_id", "_timestamp", "part", "cents", "_document_json")
 
@@ -287,6 +366,7 @@ def incremental_staging(spark, sf_dir):
     "agg6_materialise_summary",
     f"""select 'incremental' as mode, 2 as files_read, count(*) as events_read, 1 as new_raw_files,
         count(distinct table_name) filter (op = 'upsert') as affected_tables,
+        count(distinct table_name) filter (op = 'upsert') as tables_materialized,
         (select count(*) from {live_sql(LOG_L.sql)}) as rows_materialized from {LOG_L.sql}""",
 )
 def materialise_summary(spark, sf_dir):
@@ -298,11 +378,11 @@ def materialise_summary(spark, sf_dir):
         summary = materialise(spark, log, root)
     row = (
         summary.mode, summary.files_read, summary.events_read, summary.new_raw_files,
-        summary.affected_tables, summary.rows_materialized,
+        summary.affected_tables, summary.tables_materialized, summary.rows_materialized,
     )
     return spark.createDataFrame(
         [row],
-        "mode string, files_read int, events_read bigint, new_raw_files int, affected_tables bigint, rows_materialized bigint",
+        "mode string, files_read int, events_read bigint, new_raw_files int, affected_tables bigint, tables_materialized bigint, rows_materialized bigint",
     )
 
 
@@ -332,6 +412,21 @@ def publish_write(spark, sf_dir):
     return counts
 
 
+@query("snk7_republish", f"select concat(c, '/', t, '.parquet') as relative_path, row_count from {_STAGED_COUNTS}")
+def republish(spark, sf_dir):
+    """Half of the log is published, then all of it; versions of both publishes stay, the manifest names the second."""
+    log, root, bucket = scratch_path(spark, "log"), scratch_path(spark, "staging"), scratch_path(spark, "bucket")
+    events = log_rows(LOG_E, spark, sf_dir)
+    for number, part in enumerate((events.where("position % 2 = 0"), events.where("position % 2 = 1")), 1):
+        write_load(part, log, str(number))
+        materialise(spark, log, root)
+        publish(spark, staging_inventory(spark, root), bucket, "exports", publish_id=str(number))
+    entries = latest_manifest(spark, manifests_path(bucket, "exports")).select("relative_path", "versioned_key").collect()
+    return count_tables(
+        spark, {entry["relative_path"]: spark.read.parquet(f"{bucket}/{entry['versioned_key']}") for entry in entries}
+    ).withColumnRenamed("table_name", "relative_path")
+
+
 def _view_rows(spark, names: list[str]) -> DataFrame:
     rows = None
     for name in names:
@@ -442,8 +537,9 @@ def _streamed_silver(spark, sf_dir):
     events = log_rows(LOG_E, spark, sf_dir).withColumn("creation_time", F.lit(None).cast("double"))
     ids = table(spark, sf_dir, "events").selectExpr("event_id", "event_type")
     typed = events.join(ids, events["position"] == ids["event_id"])
-    for load, kind in enumerate(["purchase", "error", "view", "signup", "click"]):
-        append_bronze(typed.where(F.col("event_type") == kind), root, str(load), "s1", "r1")
+    parts = [(kind, odd) for kind in ("purchase", "error", "view", "signup", "click") for odd in (1, 0)]
+    for load, (kind, odd) in enumerate(parts):
+        append_bronze(typed.where((F.col("event_type") == kind) & (F.col("event_id") % 2 == odd)), root, str(load), "s1", "r1")
     current = silver.silver_table(store)
     silver.start(stream_bronze_rows(spark, root, max_files=12), current, scratch_path(spark, "stream")).awaitTermination()
     return current, root
@@ -461,12 +557,35 @@ def streaming_apply_changes(spark, sf_dir):
 
 @query(
     "snk11_silver_table",
-    f"""select document_id as _cdc_document_id, cast(json_extract(document, '$.k') as bigint) as k
-        from {live_sql(LOG_E.sql)} where component_path = '' and table_name = 'users'""",
+    f"""select {_TARGET} as target, document_id as _cdc_document_id, cast(json_extract(document, '$.k') as bigint) as k
+        from {live_sql(LOG_E.sql)}""",
 )
 def silver_target(spark, sf_dir):
+    """All silver tables, each read from its own partition of the store."""
     current, root = _streamed_silver(spark, sf_dir)
-    return silver.read_silver(spark, current, root, "src__app__users__cdc")
+    targets = [row["target"] for row in routed_counts(read_bronze_rows(spark, root)).collect()]
+    tables = [
+        silver.read_silver(spark, current, root, name).select(F.lit(name).alias("target"), CDC_DOCUMENT_ID, "k") for name in sorted(targets)
+    ]
+    return reduce(DataFrame.unionByName, tables)
+
+
+@query(
+    "str1_stream_restart",
+    f"select {_TARGET} as target, document_id as _cdc_document_id, document from {live_sql(LOG_E.sql)}",
+)
+def stream_restart(spark, sf_dir):
+    """The stream starts over with a new checkpoint folder, behind a compacted base."""
+    root, store = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    events = log_rows(LOG_E, spark, sf_dir).withColumn("creation_time", F.lit(None).cast("double"))
+    current = silver.silver_table(store)
+    for load, odd in enumerate((1, 0)):
+        # The second stream sees the second load only, as after a clean-up of old files.
+        part = f"{root}/{load}"
+        append_bronze(events.where(F.col("position") % 2 == odd), part, str(load), "s1", "r1")
+        silver.start(stream_bronze_rows(spark, part), current, scratch_path(spark, "stream")).awaitTermination()
+        current.compact(spark, force=odd == 1)
+    return current.current(spark).select("target", CDC_DOCUMENT_ID, F.col("_cdc_raw_document_json").alias("document"))
 
 
 @query(
@@ -487,12 +606,17 @@ def flows_per_table(spark, sf_dir):
 
 @query(
     "mon5_layer_row_counts",
-    f"""select regexp_replace({_TARGET}, '__cdc$', '') as logical_table, count(*) as bronze_row_count from {LOG_E.sql} group by 1""",
+    f"""select b.logical_table, bronze_row_count, silver_row_count from
+        (select regexp_replace({_TARGET}, '__cdc$', '') as logical_table, count(*) as bronze_row_count from {LOG_E.sql} group by 1) b
+        full join (select regexp_replace({_TARGET}, '__cdc$', '') as logical_table, count(*) as silver_row_count
+        from {live_sql(LOG_E.sql)} group by 1) s on b.logical_table = s.logical_table""",
 )
 def layer_row_counts(spark, sf_dir):
-    events = log_rows(LOG_E, spark, sf_dir).withColumn("creation_time", F.lit(None).cast("double"))
-    counts = append_bronze(events, scratch_path(spark, "bronze"), "1", "s1", "r1")
-    return counts.select(logical_name("target").alias("logical_table"), F.col("row_count").alias("bronze_row_count"))
+    """Rows of the stored bronze layer next to those of the streamed silver layer."""
+    current, root = _streamed_silver(spark, sf_dir)
+    bronze = routed_counts(read_bronze_rows(spark, root)).withColumnRenamed("target", "table_name")
+    rows = silver.silver_counts(current.current(spark), logical_name("target"))
+    return table_row_counts(bronze, rows).select("logical_table", "bronze_row_count", "silver_row_count")
 
 
 # --- JSON lines -------------------------------------------------------------------------------

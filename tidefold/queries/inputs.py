@@ -157,29 +157,38 @@ CKPT = Derived(
     },
 )
 
-_LISTED = """case when s_nationkey = 1 then concat('__internal_', cast(s_suppkey as string))
+_SHARED_NAME = "'supplier_', cast(cast(floor(s_suppkey / 3) as bigint) as string)"
+_LISTED = f"""case when s_nationkey = 1 then concat('__internal_', cast(s_suppkey as string))
     when s_nationkey = 2 then concat('event_log_', cast(s_suppkey as string))
-    else concat(lower(replace(s_name, '#', '_')), '__cdc') end"""
+    else concat({_SHARED_NAME}, '__cdc') end"""
+_DATE = """case s_suppkey % 3 when 0 then timestamp '2024-{month}-01 00:00:00' when 1 then timestamp '2024-{month}-17 08:30:00'
+    else timestamp '2024-{month}-09 21:00:00' end"""
 # Bronze and silver table listings, with internal tables, event logs and views among them.
 CAT_B = Derived(
     "supplier",
     lambda d: {
         "table_name": _LISTED,
         "table_type": "case when s_nationkey in (5, 10, 15) then 'VIEW' when s_nationkey in (6, 7) then 'EXTERNAL' else 'MANAGED' end",
-        "created": "timestamp '2024-01-01 00:00:00'",
-        "last_altered": "timestamp '2024-02-01 00:00:00'",
+        "created": _DATE.format(month="01"),
+        "last_altered": _DATE.format(month="02"),
         "suppkey": "s_suppkey",
         "nationkey": "s_nationkey",
     },
     "s_nationkey <> 3",
 )
+# The same listing with one row per table.
+CAT_ONE = Derived(
+    "supplier",
+    lambda d: {**CAT_B.columns(d), "table_name": _LISTED.replace(_SHARED_NAME, "lower(replace(s_name, '#', '_'))")},
+    "s_nationkey <> 3",
+)
 CAT_S = Derived(
     "supplier",
     lambda d: {
-        "table_name": "lower(replace(s_name, '#', '_'))",
+        "table_name": f"concat({_SHARED_NAME})",
         "table_type": "'MANAGED'",
-        "created": "timestamp '2024-01-01 00:00:00'",
-        "last_altered": "timestamp '2024-03-01 00:00:00'",
+        "created": _DATE.format(month="01"),
+        "last_altered": _DATE.format(month="03"),
         "suppkey": "s_suppkey",
     },
     "s_nationkey <> 4",

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidefold.functions import names
 from tidefold.operators.select import is_listed_table, longest_prefix, select_flow_tables
-from tidefold.queries.inputs import CAT_B, CKPT, table
+from tidefold.queries.inputs import CAT_B, CAT_ONE, CKPT, table
 from tidefold.queries.registry import query
 
 _BRONZE_ID = """(select {key}, case when t = '' then 'root' else t end as s from
@@ -152,7 +152,7 @@ def listed_tables(spark, sf_dir):
 
 
 _CHOSEN = f"""(select *, case when nationkey = 8 then concat('own_', cast(suppkey as varchar)) else regexp_replace(table_name, '__cdc$', '') end as target_table
-    from {CAT_B.sql} where table_type <> 'VIEW' and table_name like '%\\_\\_cdc' escape '\\'
+    from {CAT_ONE.sql} where table_type <> 'VIEW' and table_name like '%\\_\\_cdc' escape '\\'
     and table_name in (select concat(lower(replace(s_name, '#', '_')), '__cdc') from supplier where s_acctbal > 0)
     and table_name not in (select concat(lower(replace(s_name, '#', '_')), '__cdc') from supplier where s_nationkey = 7))"""
 
@@ -177,7 +177,7 @@ def _flow_tables(spark, sf_dir):
         F.lit(None).cast("string").alias("flow_override"),
     )
     return select_flow_tables(
-        CAT_B.frame(spark, sf_dir),
+        CAT_ONE.frame(spark, sf_dir),
         include=suppliers.where("s_acctbal > 0"),
         exclude=suppliers.where("s_nationkey = 7"),
         overrides=overrides,

@@ -52,7 +52,7 @@ def append_bronze(
         remove_path(spark, target)
         return spark.createDataFrame([], "target string, row_count bigint")
     fields = bronze_fields(stored, CDC_RAW_DOCUMENT_JSON, ["target"])
-    fields.coalesce(1).write.mode("overwrite").parquet(f"{root}/fields/load_id={load_id}")
+    fields.repartition(1).write.mode("overwrite").parquet(f"{root}/fields/load_id={load_id}")
     return routed_counts(stored)
 
 
