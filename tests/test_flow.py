@@ -8,6 +8,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from tidefold.operators.select import required_flow_tables
 from tidefold.plans import publish as publish_plan
 from tidefold.plans.ingest import bronze_sink, load_name, log_sink, save_catalog, sync_once
 from tidefold.plans.publish import manifests_path, needs_publish, publish, register_published_views
@@ -18,6 +19,7 @@ from tidefold.sources.changelog import read_log
 from tidefold.sources.control import read_history
 from tidefold.sources.manifest import latest_manifest
 from tidefold.sources.pages import stream_pages
+from tidefold.sources.views import list_tables
 from tidefold.streaming import ingest as stream_ingest
 from tidefold.streaming import silver
 
@@ -261,3 +263,18 @@ def test_publish_that_dies_leaves_the_views_whole(spark, tmp_path, landing, monk
     assert sorted(map(str, spark.table("users").collect())) == before
     register_published_views(spark, paths.bucket, "x")
     assert [r["name"] for r in spark.table("users").collect()] == ["Zoe"]
+
+
+def test_views_are_registered_with_their_times(spark, tmp_path, landing):
+    paths = ServicePaths(landing, *(str(tmp_path / n) for n in ("log", "control", "staging", "bucket")), "x")
+    run_rounds(spark, paths, "s1", "r1", 1)
+    registry = str(tmp_path / "registry")
+    allowed = spark.createDataFrame([(str(tmp_path),)], "url string")
+    for _ in range(2):
+        assert register_published_views(spark, paths.bucket, "x", locations=allowed, registry=registry) == ["users", "workflow__events"]
+    times = {r["table_name"]: r for r in list_tables(spark, registry=registry).collect()}
+    assert times["users"]["created"] < times["users"]["last_altered"]
+    with pytest.raises(Exception, match="no location covers"):
+        register_published_views(spark, paths.bucket, "x", locations=allowed.withColumn("url", F.lit("s3://elsewhere")))
+    with pytest.raises(ValueError, match="no bronze table"):
+        required_flow_tables(list_tables(spark))

@@ -31,23 +31,35 @@ def fold_onto(
     order: Sequence[str],
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """The fold of `base` and `changes`, where `base` already has one row per key.
+    """The fold of `base` and `changes`, where `base` already has one row per key."""
+    untouched, folded = split_fold(base, changes, keys, order, max_bytes)
+    return folded if untouched is None else untouched.unionByName(folded)
+
+
+def split_fold(
+    base: DataFrame,
+    changes: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    max_bytes: int = BROADCAST_BYTES,
+) -> tuple[DataFrame | None, DataFrame]:
+    """The same fold in two parts: base rows that no change touches, and the others folded.
 
     With few changes only the touched rows of the base are folded: the changed keys are
     measured, broadcast, and the rest of the base passes through without a shuffle. With many
-    changes everything is folded at once. The result is the same.
+    changes everything is folded at once and there is no first part.
     """
     columns = base.columns
     changes = changes.select(*columns)
     changed_keys = changes.select(*[F.col(key).alias(f"_{key}") for key in keys])
     # Measured with repeats, so that measuring is one narrow scan without a shuffle.
     if not fits_broadcast(changed_keys, max_bytes):
-        return latest_by(base.unionByName(changes), keys, order)
+        return None, latest_by(base.unionByName(changes), keys, order)
     changed_keys = F.broadcast(changed_keys.distinct())
     match = reduce(and_, [F.col(key).eqNullSafe(F.col(f"_{key}")) for key in keys])
     untouched = base.join(changed_keys, match, "left_anti")
     touched = base.join(changed_keys, match, "left_semi")
-    return untouched.unionByName(latest_by(touched.unionByName(changes), keys, order))
+    return untouched, latest_by(touched.unionByName(changes), keys, order)
 
 
 def fold_log(log: DataFrame, order: Sequence[str] = ORDERING) -> DataFrame:

@@ -50,6 +50,11 @@ def select_flow_tables(
     )
 
 
+def required_flow_tables(listing: DataFrame, **choices: DataFrame | None) -> DataFrame:
+    """The selection a pipeline is made from; selecting nothing is an error."""
+    return require_rows(select_flow_tables(listing, **choices), "no bronze table is selected for a flow")
+
+
 def require_rows(df: DataFrame, message: str) -> DataFrame:
     """The same rows; an error when there are none."""
     if df.isEmpty():

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidefold.functions.names import view_name
 from tidefold.operators.diff import DELETED, is_upload, manifest_diff, next_manifest_entries, publish_summary
-from tidefold.operators.select import with_ordinal
+from tidefold.operators.select import longest_prefix, require_covered, with_ordinal
 from tidefold.schemas import MANIFEST_ENTRY_COLUMNS
 from tidefold.session import remove_path, run_jobs
 from tidefold.sources.manifest import latest_manifest, write_manifest
@@ -112,17 +112,27 @@ def source_map(manifest: DataFrame) -> DataFrame:
 
 
 def register_published_views(
-    spark: SparkSession, bucket: str, prefix: str = "", database: str | None = None
+    spark: SparkSession,
+    bucket: str,
+    prefix: str = "",
+    database: str | None = None,
+    locations: DataFrame | None = None,
+    registry: str | None = None,
 ) -> list[str]:
     """One view per published table over its versioned copy, and `__source_map` over the manifest itself.
 
     In a database the views are persistent, and so is `__source_map`: it is a table there,
-    because a manifest is replaced while views are read.
+    because a manifest is replaced while views are read. `locations(url)` are the storage
+    locations that may be read; a bucket that none of them covers is an error. `registry` is a
+    folder in which the registrations are recorded, for `list_tables`.
     """
+    if locations is not None:
+        roots = spark.createDataFrame([(_location(bucket, prefix),)], "root string")
+        require_covered(longest_prefix(roots, locations)).collect()
     manifest = latest_manifest(spark, manifests_path(bucket, prefix))
     named = manifest.select(view_name("relative_path").alias("view"), "versioned_key").orderBy("view").collect()
     names = register_views(
-        spark, [(row["view"], _location(bucket, "", row["versioned_key"])) for row in named], database
+        spark, [(row["view"], _location(bucket, "", row["versioned_key"])) for row in named], database, registry
     )
     if database is None:
         source_map(manifest).createOrReplaceTempView("__source_map")

@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 
 from tidefold.plans.ingest import SyncSummary, log_sink, save_catalog, sync_once
 from tidefold.plans.publish import PublishSummary, needs_publish, publish
-from tidefold.plans.staging import StagingSummary, materialise, read_ledger, staging_inventory
+from tidefold.plans.staging import StagingSummary, drop_old_versions, materialise, read_ledger, staging_inventory
 from tidefold.sources.catalog import catalog_hash
 
 
@@ -35,7 +35,10 @@ def should_publish(staging: StagingSummary) -> bool:
 
 
 def run_round(spark: SparkSession, paths: ServicePaths, source_id: str, run_id: str, iteration: int = 1) -> RoundSummary:
-    """The catalog is stored before any event; publishing is skipped when the target is current."""
+    """The catalog is stored before any event; publishing is skipped when the target is current.
+
+    Versions of staging tables that nothing refers to any more are deleted at the end.
+    """
     catalog = save_catalog(spark, paths.landing, paths.log)
     sync = sync_once(
         spark, paths.landing, log_sink(paths.log), catalog, paths.control, source_id, run_id,
@@ -47,6 +50,7 @@ def run_round(spark: SparkSession, paths: ServicePaths, source_id: str, run_id:
         inventory = staging_inventory(spark, paths.staging)
         if should_publish(staging) or needs_publish(spark, inventory, paths.bucket, paths.prefix):
             published = publish(spark, inventory, paths.bucket, paths.prefix)
+        drop_old_versions(spark, paths.staging)
     return RoundSummary(iteration, sync, staging, published)
 
 

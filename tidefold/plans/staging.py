@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tidefold.functions.kinds import schema_field_flags
 from tidefold.functions.names import directory_key, directory_key_text, staging_path
 from tidefold.operators.digest import digest_text
-from tidefold.operators.fold import fold_log, fold_onto, live
+from tidefold.operators.fold import fold_log, live, split_fold
 from tidefold.operators.infer import project_staging, staging_columns
 from tidefold.operators.select import affected_tables
 from tidefold.schemas import DELETE, IDENTITY, LOG_FILE_SCHEMA, ORDERING
@@ -145,18 +145,23 @@ def _read_state(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return spark.read.schema(LOG_FILE_SCHEMA).parquet(*paths)
 
 
-def write_state(folded: DataFrame, path: str) -> None:
+def write_state(folded: DataFrame, path: str, untouched: DataFrame | None = None) -> None:
     """Store a folded state by table.
 
     Rebalancing splits a table that holds much of the data over many files and keeps small
-    tables in one file each.
+    tables in one file each. Rows that passed the fold untouched come from files of one table
+    and are written from where they are read, without a shuffle.
     """
-    rows = folded.select(
-        *LOG_FILE_SCHEMA.fieldNames(),
-        directory_key("component_path").alias("component_key"),
-        directory_key("table_name").alias("table_key"),
-    )
-    rows.hint("rebalance", *LOG_KEYS).write.mode("overwrite").partitionBy(*LOG_KEYS).parquet(path)
+    def keyed(rows: DataFrame) -> DataFrame:
+        return rows.select(
+            *LOG_FILE_SCHEMA.fieldNames(),
+            directory_key("component_path").alias("component_key"),
+            directory_key("table_name").alias("table_key"),
+        )
+
+    keyed(folded).hint("rebalance", *LOG_KEYS).write.mode("overwrite").partitionBy(*LOG_KEYS).parquet(path)
+    if untouched is not None:
+        keyed(untouched).write.mode("append").partitionBy(*LOG_KEYS).parquet(path)
 
 
 def materialise(
@@ -195,12 +200,13 @@ def materialise(
         fresh = read_log(spark, log, present)
 
     events = fresh.select(*LOG_FILE_SCHEMA.fieldNames())
+    untouched = None
     if stored:
-        folded = fold_onto(_read_state(spark, stored), events, IDENTITY, ORDERING)
+        untouched, folded = split_fold(_read_state(spark, stored), events, IDENTITY, ORDERING)
     else:
         folded = fold_log(events)
     state_path = f"{root}/state/version={version:010d}"
-    write_state(folded, state_path)
+    write_state(folded, state_path, untouched)
     state = _read_state(spark, [state_path])
     seeds = None if catalog is None else schema_field_flags(catalog)
     statistics, columns, counts = run_jobs(
