@@ -19,6 +19,8 @@ CACHE_PIECES = 700_000
 _CUT = re.compile(r"(?<=\S) ")
 _ODD_BLANK = re.compile(r"\s ")
 _TAIL = ".,;:!?"
+# Lower case that depends on the neighbours or adds a mark; what Python alone takes for white space.
+_ODD_LOWER = "Σİ\x1c\x1d\x1e\x1f"
 
 
 def _byte_letters() -> dict[int, int]:
@@ -88,6 +90,9 @@ class PieceEncoder:
         return self.plain(" " + piece)
 
     def encode(self, text: str) -> bytes:
+        if self.lowers and not any(odd in text for odd in _ODD_LOWER) and unicodedata.is_normalized("NFC", text):
+            # White space and case make no difference here, so they need no pieces of their own.
+            return b"".join(map(self.pieces.__getitem__, text.lower().split()))
         pieces = _CUT.split(text) if _ODD_BLANK.search(text) or text[:1] == " " else text.split(" ")
         first = self.plain(pieces[0]) if pieces[0] else b""
         return first + b"".join(map(self.pieces.__getitem__, pieces[1:]))
