@@ -91,23 +91,29 @@ def _links(passages: DataFrame) -> DataFrame:
 
 
 def _roots(nodes: DataFrame) -> DataFrame:
-    """Rows (id, parent, root, depth) by pointer doubling over `nodes(id, parent)`; parents are older, so it ends."""
-    walked = materialise(
+    """Rows (id, parent, root, depth) by pointer doubling over `nodes(id, parent)`; parents are older, so it ends.
+
+    A message whose pointer has reached the start of its conversation is done and takes no part
+    in further rounds; only the deep rest of long conversations does.
+    """
+    start = materialise(
         nodes.select("id", "parent", F.coalesce("parent", "id").alias("root"), F.when(F.col("parent").isNull(), 0).otherwise(1).alias("depth")),
         "quote-walk",
     )
+    done, active = start.where("parent IS NULL"), start.where("parent IS NOT NULL")
     while True:
-        above = walked.select(F.col("id").alias("above"), F.col("root").alias("next_root"), F.col("depth").alias("more"))
-        joined = materialise(
-            walked.join(above, walked["root"] == above["above"]).select(
+        above = done.union(active).select(F.col("id").alias("above"), F.col("root").alias("next_root"), F.col("depth").alias("more"))
+        stepped = materialise(
+            active.join(above, active["root"] == above["above"]).select(
                 "id", "parent", F.col("next_root").alias("root"), (F.col("depth") + F.col("more")).alias("depth"),
-                (F.col("next_root") != walked["root"]).alias("moved"),
+                (F.col("next_root") != active["root"]).alias("moved"),
             ),
             "quote-walk",
         )
-        walked = joined.drop("moved")
-        if joined.where("moved").isEmpty():
-            return walked
+        done = done.union(stepped.where("NOT moved").drop("moved"))
+        active = stepped.where("moved").drop("moved")
+        if active.isEmpty():
+            return done
 
 
 def link_quotes(messages: DataFrame, id_col: str = "id", text_col: str = "text", thread_col: str = "thread") -> DataFrame:
