@@ -7,7 +7,9 @@ coordinates at exactly zero. What is left is at most `DIMENSIONS` weights and is
 whole text of the table is scored where it lies, without a shuffle.
 
 The sample is the `TRAINING_ROWS` labelled rows with the smallest hash of their identifier,
-rows held out (crc32 of the identifier as text modulo 5 is 0) excluded. Labels are the only
+rows held out (crc32 of the identifier as text modulo 5 is 0) excluded, and of these in order
+as many as have `TRAINING_COORDINATES` features together, which bounds the memory of the one
+training task when texts are very long. Labels are the only
 thing learnt from; identifier, language and source are no features.
 
 Defined cases: a null or empty text has no features, its score is that of the bias alone; a
@@ -31,6 +33,7 @@ from tidefold.llm.common import utf8
 
 DIMENSIONS = 1 << 20
 TRAINING_ROWS = 16_384
+TRAINING_COORDINATES = 50_000_000
 EPOCHS = 6
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 8.0, 0.0
 FOLDS = 5
@@ -108,12 +111,12 @@ def _training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = [np.unique(features(t.as_py())) for t in batch.column(2)]
+            lists = [np.unique(features(t.as_py())).astype(np.int32) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(lists, pa.list_(pa.int64()))], names=["order", "label", "at"]
+                [batch.column(0), batch.column(1), pa.array(lists, pa.list_(pa.int32()))], names=["order", "label", "at"]
             )
 
-    return joined.mapInArrow(run, "order long, label int, at array<long>")
+    return joined.mapInArrow(run, "order long, label int, at array<int>")
 
 
 def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -124,10 +127,12 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = []
+        rows, held = [], 0
         for batch in batches:
-            at = batch.column(2)
-            rows.extend((label, at[i].values.to_numpy()) for i, label in enumerate(batch.column(1).to_pylist()))
+            for label, at in zip(batch.column(1).to_pylist(), batch.column(2)):
+                held += len(at)
+                if held <= TRAINING_COORDINATES:
+                    rows.append((label, at.values.to_numpy().copy()))
         if rows:
             weights, bias = train_ftrl(rows)
             used = np.flatnonzero(weights)
