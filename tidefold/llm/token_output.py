@@ -60,11 +60,17 @@ def _serialised(ids: bytes, width: int) -> bytes:
 
 def train_dictionary(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
                      sample_docs: int = DICTIONARY_DOCS, doc_chars: int = DICTIONARY_DOC_CHARS) -> bytes:
-    """Dictionary from the `sample_docs` short documents with the smallest hash; empty if they are too few."""
-    sample = (
-        _bodies(docs, id_col, text_col).where(F.length("body") <= doc_chars)
-        .orderBy(F.xxhash64("doc_id", "body")).limit(sample_docs)
-    )
+    """Dictionary from the `sample_docs` short documents with the smallest hash; empty if they are too few.
+
+    The greatest of these hashes is found first, so that only hashes meet in one task and not
+    the texts of every task's candidates. Rows that repeat identifier and text share a hash; the
+    second limit keeps even these from growing the sample beyond twice its size.
+    """
+    short = _bodies(docs, id_col, text_col).where(F.length("body") <= doc_chars).withColumn("rank", F.xxhash64("doc_id", "body"))
+    bound = short.select("rank").orderBy("rank").limit(sample_docs).agg(F.max("rank")).first()[0]
+    if bound is None:
+        return b""
+    sample = short.where(F.col("rank") <= bound).limit(2 * sample_docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = encoder(tokenizer_path)
