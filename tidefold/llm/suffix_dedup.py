@@ -13,8 +13,8 @@ anchor; only segments with the same anchor content can share a window.
    smaller than their successors directly, the others induced by scanning the buckets of first bytes
    in order. Neighbours with a common prefix of `MATCH` bytes are repeats.
 3. An anchor with more than `HOT_SEGMENTS` distinct segments (a passage in very many texts, with
-   other words around it) would put them all in one task. Its segments are halved, and halved
-   again, each time dealt by the bytes that all windows of a half share, until few are together.
+   other words around it) would put them all in one task. Its segments are cut, and cut again,
+   each time dealt by the bytes that all windows of a part share, until few are together.
 
 Segments, counts and intervals are written tables. Work per text byte is constant apart from the
 sorting, which runs over bounded batches.
@@ -41,6 +41,7 @@ from tidefold.llm.common import materialise, utf8
 MATCH = 400
 GRAM = 32
 HOT_SEGMENTS = 512
+PARTS = 8
 SORT_BYTES = 512 * 1024
 _SCAN_BYTES = 4 * 1024 * 1024
 _PLACE_BITS = 24
@@ -255,7 +256,7 @@ def _cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
-def _halve_rows(match: int, size: int):
+def _part_rows(match: int, size: int):
     """Blocks of windows to the parts of aligned ranges of `size`, keyed by what such a range has in common.
 
     A window is known by how far it reaches ahead of its anchor, so equal windows are in the
@@ -288,16 +289,17 @@ def _halve_rows(match: int, size: int):
     return run
 
 
-_HALF_DDL = "anchor long, segment binary, copies long, offset int, lead int, bytes binary, key binary, content binary"
+_PART_DDL = "anchor long, segment binary, copies long, offset int, lead int, bytes binary, key binary, content binary"
 
 
 def _repeated_in_hot(segments: DataFrame, match: int, hot_segments: int, sort_bytes: int) -> DataFrame:
     """Rows (anchor, segment, runs) for anchors with too many segments for one task.
 
-    Blocks of windows are halved and dealt anew by what all windows of a half have in common.
-    Halves alone under their key are done, and so are keys whose halves are all equal; keys
-    with few halves are suffix-sorted; what is left is halved again, down to single windows,
-    which are equal under a key. A level at most doubles the rows that reach it.
+    Blocks of windows are cut and dealt anew by what all windows of a part have in common.
+    Parts alone under their key are done, and so are keys whose parts are all equal; keys with
+    few parts are suffix-sorted; what is left is cut again, down to single windows, which are
+    equal under a key. A level cuts a row into `PARTS` at most, and at a border between shared
+    and own text mostly one of them is left.
     """
     n_windows = F.length("bytes") - (match - 1)
     whole = F.array(F.struct(F.col("offset").alias("first"), (F.col("offset") + n_windows).alias("stop")))
@@ -310,18 +312,18 @@ def _repeated_in_hot(segments: DataFrame, match: int, hot_segments: int, sort_by
     found = blocks.select("anchor", "segment", whole.alias("runs")).where("false")
     size = 1 << (match - 1).bit_length()
     while not blocks.isEmpty():
-        size //= 2
-        halves = materialise(blocks.mapInArrow(_halve_rows(match, size), _HALF_DDL), "suffix-halves")
+        size = max(1, size // PARTS)
+        parts = materialise(blocks.mapInArrow(_part_rows(match, size), _PART_DDL), "suffix-parts")
         keys = materialise(
-            halves.groupBy("key").agg(
+            parts.groupBy("key").agg(
                 F.count("*").alias("n"), F.sum("copies").alias("times"), (F.min("content") == F.max("content")).alias("all_equal")
             ).where("times > 1"),
             "suffix-keys",
         )
-        dealt = materialise(halves.join(keys, "key"), "suffix-dealt")
+        dealt = materialise(parts.join(keys, "key"), "suffix-dealt")
         equal = dealt.where("all_equal").select("anchor", "segment", whole.alias("runs"))
         few = dealt.where(~F.col("all_equal") & (F.col("n") <= hot_segments))
-        # Equal halves under one key are sorted once.
+        # Equal parts under one key are sorted once.
         sorted_runs = (
             few.select(F.xxhash64("key").alias("anchor"), F.concat("key", "content").alias("segment"), "bytes")
             .dropDuplicates(["anchor", "segment"])
