@@ -79,7 +79,7 @@ def quoting_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.concat(F.lit(marks), F.replace(F.col(column), F.lit("\n"), F.lit("\n" + marks)), F.lit("\n"))
 
     return quoted.select(
-        (F.col("conv_id") * 1_000_000 + F.col("turn")).alias("id"), F.col("conv_id").cast("string").alias("thread"),
+        F.when(F.col("conv_id").isNotNull() & F.col("turn").isNotNull(), F.struct("conv_id", "turn")).alias("id"), F.col("conv_id").cast("string").alias("thread"),
         F.concat(
             F.coalesce(F.when(F.col("one_before").isNotNull(), quote("two_before", "> > ")), F.lit("")),
             F.coalesce(quote("one_before", "> "), F.lit("")), "text",
@@ -111,7 +111,13 @@ SELECT l.conv_id * 1000000 + l.turn AS id, l.conv_id * 1000000 + l.parent_turn A
 FROM linked l JOIN walk w USING (conv_id, turn)
 """)
 def op3_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return link_quotes(quoting_messages(spark, sf_dir))
+    linked = link_quotes(quoting_messages(spark, sf_dir))
+
+    def number(name: str):
+        """As the SQL numbers messages; from turn 1,000,000 on only conversation and turn tell them apart."""
+        return (F.col(f"{name}.conv_id") * 1_000_000 + F.col(f"{name}.turn")).alias(name)
+
+    return linked.select(number("id"), number("parent"), number("conversation"), "depth", "n_quoted", "body")
 
 
 @query("op4_separator_scan")

@@ -22,6 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructType
 
 from tidefold.llm.common import let, materialise
 
@@ -120,10 +121,13 @@ def link_quotes(messages: DataFrame, id_col: str = "id", text_col: str = "text",
     """One row per message: id, parent, conversation (id of its first message), depth, n_quoted, body.
 
     `body` is the text without quoted passages. Rows are sorted by conversation and id, which is
-    the order of replies; identifiers grow with time.
+    the order of replies; identifiers grow with time. They are numbers, or structs whose order is
+    that of time.
     """
+    id_type = messages.schema[id_col].dataType
+    id_type = id_type if isinstance(id_type, StructType) else LongType()
     plain = materialise(
-        messages.where(F.col(f"`{id_col}`").isNotNull()).groupBy(F.col(f"`{id_col}`").cast("long").alias("id")).agg(
+        messages.where(F.col(f"`{id_col}`").isNotNull()).groupBy(F.col(f"`{id_col}`").cast(id_type).alias("id")).agg(
             F.min(F.struct(F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"), F.col(f"`{thread_col}`").alias("thread"))).alias("m")
         ).select("id", "m.text", "m.thread"),
         "quote-messages",
