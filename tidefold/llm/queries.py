@@ -111,7 +111,7 @@ SELECT l.conv_id * 1000000 + l.turn AS id, l.conv_id * 1000000 + l.parent_turn A
 FROM linked l JOIN walk w USING (conv_id, turn)
 """)
 def op3_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    linked = link_quotes(quoting_messages(spark, sf_dir))
+    linked = link_quotes(quoting_messages(spark, sf_dir), blank_answers=True)
 
     def number(name: str):
         """As the SQL numbers messages; from turn 1,000,000 on only conversation and turn tell them apart."""

@@ -4,8 +4,9 @@ A message may quote earlier ones with `>` marks, nested to any depth. Its lines
 passages, runs of lines of one quote level; a passage is normalised (lower case, blanks
 collapsed) and hashed. Hashes of quoted passages are joined to those of the messages' own
 passages: a passage belongs to the earliest message that has it, first within the thread the
-message came in, else anywhere before it. The innermost answer, the latest message quoted at
-level one, is the parent. Following parents by doubling gives each message its conversation and
+message came in, else anywhere before it. A passage that matches nowhere as a whole is looked up
+by paragraphs, and a message's own paragraphs can be quoted alone. The latest message quoted at
+the lowest level that has a match is the parent. Following parents by doubling gives each message its conversation and
 depth; the messages of a conversation in order of time, without their quotes, are the result.
 
 Own passages are one row per hash and thread before the join, so a passage that many messages
@@ -69,26 +70,54 @@ def _passages(messages: DataFrame) -> DataFrame:
     return exploded.select(
         "thread", "id", "place", F.col("p.level").alias("level"), F.col("p.body").alias("body"),
         normalised(F.col("p.body")).alias("plain"),
-    ).withColumn("hash", F.md5("plain"))
+    )
+
+
+def _units(passages: DataFrame) -> DataFrame:
+    """Rows (thread, id, place, level, whole, hash): whole passages, and the paragraphs of those with several."""
+    parts = F.filter(F.transform(F.split("body", r"\n[\x20\x09-\x0D]*\n"), normalised), lambda part: part != "")
+    exploded = passages.where("plain != ''").select(
+        "thread", "id", "place", "level", "plain",
+        F.explode(let(parts, lambda several: F.concat(
+            F.array(F.lit(None).cast("string")), F.when(F.size(several) > 1, F.array_distinct(several)).otherwise(F.array().cast("array<string>"))
+        ))).alias("part"),
+    )
+    return exploded.select(
+        "thread", "id", "place", "level", F.col("part").isNull().alias("whole"), F.md5(F.coalesce("part", "plain")).alias("hash")
+    )
 
 
-def _links(passages: DataFrame) -> DataFrame:
-    """Rows (id, parent): the latest message that a level-one passage belongs to."""
+def _links(passages: DataFrame, blank_answers: bool) -> DataFrame:
+    """Rows (id, parent): the latest message that a passage of the lowest level with a match belongs to."""
+    units = materialise(_units(passages), "quote-units")
     own = materialise(
-        passages.where("level = 0 AND plain != ''").groupBy("hash", "thread").agg(F.min("id").alias("origin")), "quote-own"
+        units.where("level = 0").groupBy("hash", "thread").agg(F.min("id").alias("part"), F.min(F.when(F.col("whole"), F.col("id"))).alias("whole")),
+        "quote-own",
     )
-    anywhere = materialise(own.groupBy("hash").agg(F.min("origin").alias("far_origin")), "quote-far")
-    quoted = passages.where("level = 1 AND plain != ''").select("id", "hash", "thread")
-    near = own.select("hash", F.col("thread").alias("own_thread"), "origin")
+    far = own.groupBy("hash").agg(F.min("part").alias("far_part"), F.min("whole").alias("far_whole"))
+    far = materialise(far, "quote-far")
+    quoted = units.where("level > 0").select("id", "place", "level", F.col("whole").alias("run"), "hash", "thread")
+    if blank_answers:
+        blank = materialise(passages.where("level = 1 AND plain = ''").select("id").distinct(), "quote-blank")
+        quoted = quoted.where("level = 1").union(quoted.where("level > 1").join(blank, "id", "left_anti").select(*quoted.columns))
+    near = own.select("hash", F.col("thread").alias("own_thread"), "part", "whole")
+
+    def earlier(name: str) -> Column:
+        return F.when(F.col(name) < F.col("id"), F.col(name))
+
     in_thread = materialise(
         quoted.join(near, (quoted["hash"] == near["hash"]) & quoted["thread"].eqNullSafe(near["own_thread"]), "left")
-        .select("id", quoted["hash"], F.when(F.col("origin") < F.col("id"), F.col("origin")).alias("origin")),
+        .select("id", "place", "level", "run", quoted["hash"], earlier("part").alias("part"), earlier("whole").alias("whole")),
         "quote-near",
     )
-    found = in_thread.join(anywhere, "hash", "left").select(
-        "id", F.coalesce("origin", F.when(F.col("far_origin") < F.col("id"), F.col("far_origin"))).alias("parent")
+    found = in_thread.join(far, "hash", "left").select(
+        "id", "place", "level", F.when(F.col("run"), F.coalesce("whole", earlier("far_whole"))).alias("whole"),
+        F.coalesce("part", earlier("far_part")).alias("part"),
     )
-    return found.where("parent IS NOT NULL").groupBy("id").agg(F.max("parent").alias("parent"))
+    # A passage's own match comes before those of its paragraphs.
+    placed = found.groupBy("id", "level", "place").agg(F.coalesce(F.max("whole"), F.max("part")).alias("parent"))
+    levels = placed.where("parent IS NOT NULL").groupBy("id", "level").agg(F.max("parent").alias("parent"))
+    return levels.groupBy("id").agg(F.min_by("parent", "level").alias("parent"))
 
 
 def _roots(nodes: DataFrame) -> DataFrame:
@@ -117,12 +146,14 @@ def _roots(nodes: DataFrame) -> DataFrame:
             return done
 
 
-def link_quotes(messages: DataFrame, id_col: str = "id", text_col: str = "text", thread_col: str = "thread") -> DataFrame:
+def link_quotes(messages: DataFrame, id_col: str = "id", text_col: str = "text", thread_col: str = "thread",
+                blank_answers: bool = False) -> DataFrame:
     """One row per message: id, parent, conversation (id of its first message), depth, n_quoted, body.
 
     `body` is the text without quoted passages. Rows are sorted by conversation and id, which is
     the order of replies; identifiers grow with time. They are numbers, or structs whose order is
-    that of time.
+    that of time. With `blank_answers` a blank passage at level one quotes a message without text,
+    and what lies deeper does not stand in for it.
     """
     id_type = messages.schema[id_col].dataType
     id_type = id_type if isinstance(id_type, StructType) else LongType()
@@ -133,7 +164,7 @@ def link_quotes(messages: DataFrame, id_col: str = "id", text_col: str = "text",
         "quote-messages",
     )
     passages = materialise(_passages(plain), "quote-passages")
-    links = _links(passages)
+    links = _links(passages, blank_answers)
     bodies = passages.groupBy("id").agg(
         F.count_if(F.col("level") > 0).alias("n_quoted"),
         F.array_join(
