@@ -75,3 +75,16 @@ def test_edited_copy_goes_and_chain_end_stays(spark, sf_dir):
     docs = spark.createDataFrame([(i, t, "en", "s", 9) for i, t in enumerate(texts)], SCHEMA)
     got = sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, sf_dir).collect())
     assert got == [0, 2, 4]
+
+
+def test_repeated_rows_leave_one(spark, sf_dir):
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(900)}" for _ in range(200)]
+    text, near, other = " ".join(base), " ".join(_edited(rng, base, 2)), "something else altogether"
+    rows = [(1, text), (1, text), (1, text.upper()), (1, other), (None, other), (None, other), (2, near), (2, near), (3, "x"), (None, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 9) for i, t in rows], SCHEMA)
+    exact = corpus_pipeline.drop_exact_copies(spark, docs, sf_dir)
+    got = sorted((r.doc_id or 0, (r.text or "").lower()) for r in exact.collect())
+    assert got == sorted([(1, text), (1, other), (2, near), (3, "x"), (0, "")])
+    left = corpus_pipeline.drop_near_copies(spark, docs, sf_dir).collect()
+    assert sorted((r.doc_id or 0, (r.text or "").lower()[:9]) for r in left) == sorted([(1, text[:9]), (1, other[:9]), (3, "x"), (0, "")])
