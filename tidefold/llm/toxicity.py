@@ -7,9 +7,9 @@ coordinates at exactly zero. What is left is at most `DIMENSIONS` weights and is
 whole text of the table is scored where it lies, without a shuffle.
 
 The sample is the `TRAINING_ROWS` labelled rows with the smallest hash of their identifier,
-rows held out (crc32 of the identifier as text modulo 5 is 0) excluded, and of these in order
-as many as have `TRAINING_COORDINATES` features together, which bounds the memory of the one
-training task when texts are very long. Labels are the only
+rows held out (crc32 of the identifier as text modulo 5 is 0) excluded. Their features lie in a
+file of the one training task, which reads it once an epoch, so its memory does not grow with the
+length of the texts. Labels are the only
 thing learnt from; identifier, language and source are no features.
 
 Defined cases: a null or empty text has no features, its score is that of the bias alone; a
@@ -20,7 +20,9 @@ labelled row every score is 0; an empty table gives no rows; other columns are i
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import numpy as np
 import pandas as pd
@@ -33,7 +35,6 @@ from tidefold.llm.common import utf8
 
 DIMENSIONS = 1 << 20
 TRAINING_ROWS = 16_384
-TRAINING_COORDINATES = 50_000_000
 EPOCHS = 6
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 8.0, 0.0
 FOLDS = 5
@@ -119,6 +120,20 @@ def _training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: st
     return joined.mapInArrow(run, "order long, label int, at array<int>")
 
 
+def _stored(batches: Iterator[pa.RecordBatch], spill: BinaryIO) -> list[tuple[int, np.ndarray]]:
+    """All rows (label, coordinates) of (order, label, at); the coordinates lie in the file `spill`."""
+    ends, labels, held = [0], [], 0
+    for batch in batches:
+        for label, at in zip(batch.column(1).to_pylist(), batch.column(2)):
+            spill.write(at.values.to_numpy().astype(np.int32).tobytes())
+            held += len(at)
+            labels.append(label)
+            ends.append(held)
+    spill.flush()
+    mapped = np.memmap(spill, np.int32, "r") if held else np.zeros(0, np.int32)
+    return [(label, mapped[a:b]) for label, a, b in zip(labels, ends, ends[1:])]
+
+
 def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    label_col: str = "toxic", limit: int = TRAINING_ROWS) -> pd.DataFrame:
     """Non-zero weights as (feature, weight); feature -1 is the bias.
@@ -127,18 +142,14 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, held = [], 0
-        for batch in batches:
-            for label, at in zip(batch.column(1).to_pylist(), batch.column(2)):
-                held += len(at)
-                if held <= TRAINING_COORDINATES:
-                    rows.append((label, at.values.to_numpy().copy()))
-        if rows:
-            weights, bias = train_ftrl(rows)
-            used = np.flatnonzero(weights)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.append(used, -1)), pa.array(np.append(weights[used], bias))], names=["feature", "weight"]
-            )
+        with tempfile.TemporaryFile() as spill:
+            rows = _stored(batches, spill)
+            if rows:
+                weights, bias = train_ftrl(rows)
+                used = np.flatnonzero(weights)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.append(used, -1)), pa.array(np.append(weights[used], bias))], names=["feature", "weight"]
+                )
 
     rows = _training_rows(docs, labels, id_col, text_col, label_col, limit)
     one = rows.repartition(1).sortWithinPartitions("order", F.xxhash64("at"))
