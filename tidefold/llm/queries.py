@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidefold.llm.common import materialise, table
 from tidefold.llm.exact_dedup import exact_dedup
+from tidefold.llm.hard_negatives import HARD_NEGATIVES_SQL, hard_negatives
 from tidefold.llm.mixing import MIX_SQL, mix
 from tidefold.llm.packing import pack
 from tidefold.llm.quotes import link_quotes
@@ -138,3 +139,11 @@ def op8_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_token_output")
 def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
+@query("op11_hard_negatives", HARD_NEGATIVES_SQL)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    )
+    return hard_negatives(vectors, F.col("vec_id") % 100 == 0)
