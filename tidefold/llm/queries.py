@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidefold.llm.common import materialise, table
+from tidefold.llm.divergence import DIVERGENCE_SQL, source_divergence
 from tidefold.llm.exact_dedup import exact_dedup
 from tidefold.llm.hard_negatives import HARD_NEGATIVES_SQL, hard_negatives
 from tidefold.llm.mixing import MIX_SQL, mix
@@ -147,3 +148,8 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
         "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     )
     return hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
+@query("op12_source_divergence", DIVERGENCE_SQL)
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
