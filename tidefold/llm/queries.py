@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidefold.llm.common import materialise, table
+from tidefold.llm.decontamination import DECONTAMINATION_SQL, decontaminate
 from tidefold.llm.divergence import DIVERGENCE_SQL, source_divergence
 from tidefold.llm.exact_dedup import exact_dedup
 from tidefold.llm.hard_negatives import HARD_NEGATIVES_SQL, hard_negatives
@@ -153,3 +154,8 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_source_divergence", DIVERGENCE_SQL)
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence(table(spark, sf_dir, "documents"))
+
+
+@query("op13_decontamination", DECONTAMINATION_SQL)
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
