@@ -2,18 +2,20 @@
 
 Which terms are frequent enough is found by iceberg refinement of byte prefixes. A term is in a
 document only if each of its prefixes is, so a prefix in too few distinct documents of a language
-has no kept term below it. Level by level the prefixes grow (to 2, 4, 8, 16, ... bytes): each
-level counts, per language, the documents that hold an extension of a prefix that survived, and
-drops what falls below the threshold. A term that ends within a level is complete, and kept if its
-own count suffices; the refinement ends when no open prefix is left, after as many levels as the
+has no kept term below it. Level by level the prefixes grow (to 4, 8, 16, ... bytes): each level
+counts, per language, the documents that hold an extension of a prefix that survived, and drops
+what falls below the threshold. A term that ends within a level is complete, and kept if its own
+count suffices; the refinement ends when no open prefix is left, after as many levels as the
 longest frequent prefix needs. Most of the vocabulary of a large corpus occurs once or twice; it
 goes at short prefixes, of which there are few.
 
-Documents are split into distinct terms with counts once, in a written table. Counts are summed
-per batch of documents before they leave a task, so what is shuffled grows with the distinct
-prefixes of a batch and a hot language or source is many partial sums. Shares are whole numbers
-and all arithmetic is exact. Pairs of sources are compared in tiles: a task holds a bounded
-number of sources and, in expectation, of terms, and adds up absolute differences.
+Documents are split into distinct terms with counts once, in a written table in which those of
+one language and source lie together, so that a task's sums are few; a hot source is many tasks.
+Tasks know what survived from a bitmap of fixed size, whatever the number of survivors: a prefix
+that passes by chance cannot reach the threshold, and occurrences are joined with the kept terms.
+Shares are whole numbers and all arithmetic is exact. Pairs of sources are compared in tiles: a
+task holds a bounded number of sources and, in expectation, of terms, and adds up absolute
+differences.
 
 Defined cases: null texts, languages and sources count as ''; a text without terms still makes
 its (language, source) a group; rows that repeat an identifier are documents of their own; ties
@@ -26,9 +28,12 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401 - used as pa.compute
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,12 +41,16 @@ from tidefold.llm.common import materialise, utf8
 from tidefold.session import broadcast_if_bounded
 
 MIN_DOCUMENTS = 30
-FIRST_LEVEL = 2
+FIRST_LEVEL = 4
 SHARE_SCALE = 1_000_000_000
 SMOOTHING = 5
 TOP_TERMS = 50
 TILE_SOURCES = 128
 TILE_TERMS = 2048
+# The bitmap of what survived, what a task looks at at once, and sums that it holds.
+FILTER_BITS = 1 << 25
+SLICE_BYTES = 1 << 22
+SUMMED_ROWS = 1 << 20
 
 # Letters of terms, A-Z already in lower case: every byte of a character beyond ASCII is one.
 _LETTERS = bytes(
@@ -55,95 +64,195 @@ def terms_of(text: bytes) -> list[bytes]:
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct terms in byte order, each followed by a blank, and their counts as 32-bit numbers."""
     for batch in batches:
-        starts, terms, counts = [0], [], []
+        blobs, counts = [], []
         for text in batch.column(2):
             found = Counter(terms_of(text.as_py()))
-            terms += found.keys()
-            counts += found.values()
-            starts.append(len(terms))
-        starts = pa.array(starts, pa.int32())
+            terms = sorted(found)
+            blobs.append(b" ".join([*terms, b""]))
+            counts.append(np.fromiter(map(found.get, terms), "<i4", len(terms)).tobytes())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.ListArray.from_arrays(starts, pa.array(terms, pa.binary())),
-             pa.ListArray.from_arrays(starts, pa.array(counts, pa.int64()))], names=["lang", "source", "terms", "counts"],
+            [batch.column(0), batch.column(1), pa.array(blobs, pa.binary()), pa.array(counts, pa.binary())],
+            names=["lang", "source", "terms", "counts"],
         )
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows, at most SLICE_BYTES of terms at a time unless one document has more."""
+    for batch in batches:
+        ends = np.cumsum(pa.compute.binary_length(batch.column(2)).to_numpy())
+        at = 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            n = max(1, int(np.searchsorted(ends, before + SLICE_BYTES, side="right")) - at)
+            yield batch.slice(at, n)
+            at += n
+
+
+@dataclass
+class Terms:
+    """The terms of some documents as places in one buffer: `docs` and `langs` number what each is of."""
+
+    data: np.ndarray
+    starts: np.ndarray
+    lengths: np.ndarray
+    docs: np.ndarray
+    langs: np.ndarray
+    names: list[str]
+
+    def take(self, chosen: np.ndarray) -> Terms:
+        return replace(self, **{name: getattr(self, name)[chosen] for name in ("starts", "lengths", "docs", "langs")})
+
+
+def _terms(batch: pa.RecordBatch) -> Terms:
+    """Terms of a batch, the blank at its end being part of each."""
+    blobs = batch.column(2)
+    data = np.frombuffer(b"".join(blobs.to_pylist()) + bytes(8), np.uint8)
+    ends = np.flatnonzero(data == 0x20) + 1
+    starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
+    docs = np.searchsorted(np.cumsum(pa.compute.binary_length(blobs).to_numpy()), starts, side="right")
+    langs, names = _coded(batch.column(0))
+    return Terms(data, starts, ends - starts, docs, langs[docs], names)
+
+
 def _coded(column: pa.Array) -> tuple[np.ndarray, list]:
     """Codes of the values, and the values by code."""
     coded = column.dictionary_encode()
     return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_pylist()
 
 
-def _flat(batch: pa.RecordBatch, column: str) -> tuple[np.ndarray, pa.Array]:
-    """Place of the document of each term, and the flat values of a list column."""
-    lists = batch.column(batch.schema.get_field_index(column))
-    return np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy())), lists.flatten()
+def _words(terms: Terms, at: int, lengths: np.ndarray) -> np.ndarray:
+    """Bytes `at` to `at + 8` of each term as one number, zeros beyond `lengths`."""
+    words = np.zeros(len(lengths), np.uint64)
+    for byte in range(8):
+        there = at + byte < lengths
+        if not there.any():
+            break
+        words |= np.where(there, terms.data[np.where(there, terms.starts + (at + byte), 0)], 0).astype(np.uint64) << np.uint64(56 - 8 * byte)
+    return words
+
 
+def _hashes(terms: Terms, lengths: np.ndarray) -> np.ndarray:
+    """A place in the bitmap for (language, first `lengths` bytes) of each term."""
+    names = np.array([xxhash.xxh64_intdigest(name.encode()) for name in terms.names], np.uint64)
+    hashes = names[terms.langs]
+    at, left = 0, np.arange(len(lengths))
+    while len(left):
+        some = terms.take(left)
+        mixed = (hashes[left] ^ _words(some, at, lengths[left])) * np.uint64(0x9E3779B97F4A7C15)
+        hashes[left] = mixed ^ (mixed >> np.uint64(29))
+        at += 8
+        left = left[lengths[left] > at]
+    return hashes & np.uint64(FILTER_BITS - 1)
 
-def _extensions(below: int, level: int):
-    """Rows (lang, parent, prefix, open, n): documents of a batch with a term longer than `below` bytes that
-    extends `parent`, its first `below` bytes, to `prefix`, its first `level` bytes; open if it goes on."""
+
+def _bitmap(keys: DataFrame) -> np.ndarray:
+    """Bits of `keys(lang, prefix)`, collected as at most FILTER_BITS / 64 numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, flat = _flat(batch, "terms")
-            terms, known = _coded(flat)
-            langs, lang_names = _coded(batch.column(0))
-            numbers: dict[tuple[bytes, bool], int] = {}
-            code = np.array(
-                [numbers.setdefault((t[:level], len(t) > level), len(numbers)) if len(t) > below else -1 for t in known], np.int64
-            )
-            found = code[terms] if len(known) else np.zeros(0, np.int64)
-            wanted, size = found >= 0, max(1, len(numbers))
-            once = np.unique(docs[wanted] * size + found[wanted])
-            keys, n = np.unique(langs[once // size] * size + once % size, return_counts=True)
-            prefixes = list(numbers)
-            texts = [prefixes[k] for k in (keys % size).tolist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang_names[k] for k in (keys // size).tolist()], pa.string()),
-                 pa.array([p[:below] for p, _ in texts], pa.binary()), pa.array([p for p, _ in texts], pa.binary()),
-                 pa.array([o for _, o in texts], pa.bool_()), pa.array(n.astype(np.int64))],
-                names=["lang", "parent", "prefix", "open", "n"],
-            )
-
-    return run
-
-
-def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (lang, source, term, n): occurrences in a batch."""
-    for batch in batches:
-        docs, flat = _flat(batch, "terms")
-        counts = _flat(batch, "counts")[1].to_numpy(zero_copy_only=False)
-        terms, known = _coded(flat)
-        langs, lang_names = _coded(batch.column(0))
-        sources, source_names = _coded(batch.column(1))
-        size = max(1, len(known))
-        keys, place = np.unique((langs * len(source_names) + sources)[docs] * size + terms, return_inverse=True)
-        n = np.zeros(len(keys), np.int64)
-        np.add.at(n, place, counts)
-        groups = (keys // size).tolist()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([lang_names[g // len(source_names)] for g in groups], pa.string()),
-             pa.array([source_names[g % len(source_names)] for g in groups], pa.string()),
-             pa.array([known[k] for k in (keys % size).tolist()], pa.binary()), pa.array(n)],
-            names=["lang", "source", "term", "n"],
-        )
+            blobs = batch.column(1).to_pylist()
+            lengths = np.array([len(b) for b in blobs], np.int64)
+            langs, names = _coded(batch.column(0))
+            starts = np.cumsum(lengths) - lengths
+            at = _hashes(Terms(np.frombuffer(b"".join(blobs) + bytes(8), np.uint8), starts, lengths, langs, langs, names), lengths)
+            bits = (np.uint64(1) << (at & np.uint64(63))).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array((at >> np.uint64(6)).astype(np.int64)), pa.array(bits)], names=["place", "bits"])
+
+    rows = keys.select("lang", "prefix").mapInArrow(run, "place long, bits long").groupBy("place").agg(F.bit_or("bits").alias("bits")).collect()
+    words = np.zeros(FILTER_BITS // 64, np.int64)
+    words[[r.place for r in rows]] = [r.bits for r in rows]
+    return words.view(np.uint64)
+
+
+def _known(bitmap: np.ndarray, terms: Terms, lengths: np.ndarray) -> np.ndarray:
+    at = _hashes(terms, lengths)
+    return (bitmap[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) > 0
+
+
+def _binary(terms: Terms, lengths: np.ndarray) -> pa.Array:
+    """The first `lengths` bytes of each term."""
+    offsets = np.concatenate([[0], np.cumsum(lengths)])
+    places = np.arange(offsets[-1]) + np.repeat(terms.starts - offsets[:-1], lengths)
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(terms.data[places])])
+
+
+def _summed(parts: Iterator[pa.Table], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """Sums of n by `keys` over many small tables, passed on whenever SUMMED_ROWS are held."""
+    held, n = [], 0
+
+    def total() -> pa.Table:
+        return pa.concat_tables(held).group_by(keys, use_threads=False).aggregate([("n", "sum")]).rename_columns([*keys, "n"])
+
+    for part in parts:
+        held.append(part.group_by(keys, use_threads=False).aggregate([("n", "sum")]).rename_columns([*keys, "n"]))
+        n += held[-1].num_rows
+        if n >= SUMMED_ROWS:
+            held = [total()]
+            n = held[0].num_rows
+            if n >= SUMMED_ROWS // 2:
+                yield from held.pop().to_batches()
+                n = 0
+    if held:
+        yield from total().to_batches()
+
+
+def _extensions(below: int, level: int, alive):
+    """Rows (lang, prefix, n): documents with a term that goes beyond an open prefix of `below` bytes,
+    by its first `level` bytes."""
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        for batch in _slices(batches):
+            terms = _terms(batch)
+            if alive is not None:
+                terms = terms.take(np.flatnonzero(terms.lengths > below))
+                terms = terms.take(np.flatnonzero(_known(alive.value, terms, np.full(len(terms.starts), below))))
+            lengths = np.minimum(terms.lengths, level)
+            # Terms of a document are in order, so those with a prefix in common are neighbours.
+            new = np.ones(len(lengths), bool)
+            new[1:] = (terms.docs[1:] != terms.docs[:-1]) | (lengths[1:] != lengths[:-1])
+            for at in range(0, level, 8):
+                words = _words(terms, at, lengths)
+                new[1:] |= words[1:] != words[:-1]
+            terms, lengths = terms.take(np.flatnonzero(new)), lengths[new]
+            names = pa.array(terms.names, pa.string()).take(pa.array(terms.langs))
+            yield pa.table({"lang": names, "prefix": _binary(terms, lengths), "n": np.ones(len(lengths), np.int64)})
+
+    return lambda batches: _summed(parts(batches), ["lang", "prefix"])
+
+
+def _occurrences(kept):
+    """Rows (lang, source, term, n) for terms that may be kept."""
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        for batch in _slices(batches):
+            terms = _terms(batch)
+            counts = np.frombuffer(b"".join(batch.column(3).to_pylist()), "<i4")
+            chosen = np.flatnonzero(_known(kept.value, terms, terms.lengths - 1))
+            terms, counts = terms.take(chosen), counts[chosen]
+            yield pa.table({
+                "lang": pa.array(terms.names, pa.string()).take(pa.array(terms.langs)), "source": batch.column(1).take(pa.array(terms.docs)),
+                "term": _binary(terms, terms.lengths - 1), "n": counts.astype(np.int64),
+            })
+
+    return lambda batches: _summed(parts(batches), ["lang", "source", "term"])
 
 
 def frequent_terms(documents: DataFrame, min_documents: int = MIN_DOCUMENTS, first_level: int = FIRST_LEVEL) -> DataFrame:
-    """Rows (lang, term) of `documents(lang, terms)`: terms in at least `min_documents` documents of their language."""
-    lists = documents.select("lang", "terms")
+    """Rows (lang, prefix): the terms in at least `min_documents` of `documents(lang, source, terms, counts)` of a language."""
+    context = documents.sparkSession.sparkContext
     below, level, alive, kept = 0, first_level, None, []
-    while alive is None or not alive.isEmpty():
-        found = lists.mapInArrow(_extensions(below, level), "lang string, parent binary, prefix binary, open boolean, n long")
-        if alive is not None:
-            found = found.join(broadcast_if_bounded(alive), ["lang", "parent"], "left_semi")
-        counted = found.groupBy("lang", "parent", "prefix", "open").agg(F.sum("n").alias("n")).where(F.col("n") >= min_documents)
-        counted = materialise(counted.select("lang", "prefix", "open"), "divergence-prefixes")
-        kept.append(counted.where("NOT open").select("lang", F.col("prefix").alias("term")))
-        alive = counted.where("open").select("lang", F.col("prefix").alias("parent"))
-        below, level = level, 2 * level
+    ends = F.substring("prefix", -1, 1) == F.lit(b" ")
+    while True:
+        found = documents.mapInArrow(_extensions(below, level, alive), "lang string, prefix binary, n long")
+        counted = found.groupBy("lang", "prefix").agg(F.sum("n").alias("n")).where(F.col("n") >= min_documents)
+        counted = materialise(counted.select("lang", "prefix", ends.alias("complete")), "divergence-prefixes")
+        kept.append(counted.where("complete").select("lang", F.expr("substring(prefix, 1, length(prefix) - 1)").alias("prefix")))
+        bits = _bitmap(counted.where("NOT complete"))
+        if not bits.any():
+            break
+        alive, below, level = context.broadcast(bits), level, 2 * level
     whole = kept[0]
     for more in kept[1:]:
         whole = whole.union(more)
@@ -160,7 +269,8 @@ def _share(count: Column, total: Column, n_terms: Column) -> Column:
 def _tile_differences(rows: pa.Table) -> pa.Table:
     """Sums over the terms of a tile of |p - q|, for sources of its one side against those of its other.
 
-    Rows without a term name the sources; `side` is 1 and 2 for the two sides, 3 for both.
+    Rows without a term name the sources, with all kept terms of the tile as `n`; `side` is 1 and 2
+    for the two sides, 3 for both. Terms that none of these sources has differ by their smoothed shares.
     """
     schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("item", pa.string()), ("value", pa.int64())])
     names = rows.filter(pa.compute.is_null(rows["term"]))
@@ -176,29 +286,34 @@ def _tile_differences(rows: pa.Table) -> pa.Table:
     kind = np.int64 if counts.size == 0 or int(counts.max()) < 1 << 32 else object
     under = np.array([[t + SMOOTHING * v] for t, v in zip(totals, n_terms)], kind)
     shares = (1 + SHARE_SCALE * (counts.astype(kind) + SMOOTHING) // np.maximum(under, 1)).astype(np.int64)
+    none = (1 + SHARE_SCALE * SMOOTHING // np.maximum(under[:, 0], 1)).astype(np.int64)
+    unseen = max(names["n"].to_pylist()) - len(known)
     one, two = np.flatnonzero(sides & 1), np.flatnonzero(sides & 2)
     out = []
     for a in one.tolist():
-        sums = np.abs(shares[two] - shares[a]).sum(axis=1).tolist()
+        sums = (np.abs(shares[two] - shares[a]).sum(axis=1) + unseen * np.abs(none[two] - none[a])).tolist()
         out += [(a, b, v) for b, v in zip(two.tolist(), sums) if b != a]
         out += [(b, a, v) for b, v in zip(two.tolist(), sums) if b != a and not (sides[a] == 3)]
     lang = rows["lang"][0].as_py()
     return pa.Table.from_pylist([{"lang": lang, "source": sources[a], "item": sources[b], "value": v} for a, b, v in out], schema=schema)
 
 
-def _pairs(counts: DataFrame, groups: DataFrame, tile_sources: int, tile_terms: int) -> DataFrame:
+def _pairs(counts: DataFrame, kept: DataFrame, groups: DataFrame, tile_sources: int, tile_terms: int) -> DataFrame:
     """Rows (lang, source, item, value): all pairs of different sources of a language.
 
-    `counts(lang, source, term, n)` holds what occurs, `groups(lang, source, total, n_terms)` all groups.
+    `counts(lang, source, term, n)` holds what occurs, `kept(lang, term)` all kept terms, and
+    `groups(lang, source, total, n_terms)` all groups.
     """
     sizes = groups.groupBy("lang").agg(F.ceil(F.count("*") / tile_sources).alias("n_tiles"))
     known = groups.join(sizes, "lang").withColumn("tile", F.pmod(F.xxhash64("source"), F.col("n_tiles")))
     known = materialise(known.withColumn("n_blocks", F.greatest(F.lit(1), F.ceil(F.col("n_terms") / tile_terms))), "divergence-groups")
-    marks = known.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1))).select(
-        "lang", "source", F.lit(None).cast("binary").alias("term"), F.lit(None).cast("long").alias("n"), "total", "n_terms", "tile", "n_tiles", "block"
-    )
+    block = F.pmod(F.xxhash64("term"), F.col("n_blocks")).alias("block")
+    blocks = kept.join(broadcast_if_bounded(known.select("lang", "n_blocks").distinct()), "lang").groupBy("lang", block).agg(F.count("*").alias("n"))
+    marks = known.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_blocks") - 1))).join(
+        broadcast_if_bounded(blocks), ["lang", "block"], "left"
+    ).select("lang", "source", F.lit(None).cast("binary").alias("term"), F.coalesce("n", F.lit(0)).alias("n"), "total", "n_terms", "tile", "n_tiles", "block")
     facts = counts.join(broadcast_if_bounded(known), ["lang", "source"]).select(
-        "lang", "source", "term", "n", "total", "n_terms", "tile", "n_tiles", F.pmod(F.xxhash64("term"), F.col("n_blocks")).alias("block")
+        "lang", "source", "term", "n", "total", "n_terms", "tile", "n_tiles", block
     )
     dealt = marks.union(facts).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_tiles") - 1)))
     dealt = dealt.withColumn("one", F.least("tile", "other")).withColumn("two", F.greatest("tile", "other"))
@@ -218,16 +333,21 @@ def source_divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "
     shares. Part `term`: the kept terms that a source uses more than its language, the first
     `top_terms` by how much more.
     """
+    texts = docs.select(
+        F.coalesce(F.col(f"`{lang_col}`"), F.lit("")).cast("string").alias("lang"),
+        F.coalesce(F.col(f"`{source_col}`"), F.lit("")).cast("string").alias("source"), utf8(text_col).alias("body"),
+    )
     documents = materialise(
-        docs.select(
-            F.coalesce(F.col(f"`{lang_col}`"), F.lit("")).cast("string").alias("lang"),
-            F.coalesce(F.col(f"`{source_col}`"), F.lit("")).cast("string").alias("source"), utf8(text_col).alias("body"),
-        ).mapInArrow(_documents, "lang string, source string, terms array<binary>, counts array<long>"),
+        texts.repartitionByRange("lang", "source", F.xxhash64("body")).mapInArrow(
+            _documents, "lang string, source string, terms binary, counts binary"
+        ),
         "divergence-documents",
     )
     kept = frequent_terms(documents, min_documents, first_level)
     n_terms = kept.groupBy("lang").agg(F.count("*").alias("n_terms"))
-    counts = documents.mapInArrow(_occurrences, "lang string, source string, term binary, n long")
+    bits = documents.sparkSession.sparkContext.broadcast(_bitmap(kept))
+    kept = kept.withColumnRenamed("prefix", "term")
+    counts = documents.mapInArrow(_occurrences(bits), "lang string, source string, term binary, n long")
     counts = counts.join(broadcast_if_bounded(kept), ["lang", "term"], "left_semi")
     counts = materialise(counts.groupBy("lang", "source", "term").agg(F.sum("n").alias("n")), "divergence-counts")
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
@@ -236,7 +356,7 @@ def source_divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "
         groups.select("lang", "source", F.coalesce("total", F.lit(0)).alias("total"), F.coalesce("n_terms", F.lit(0)).alias("n_terms")),
         "divergence-groups",
     )
-    pairs = _pairs(counts, groups, tile_sources, tile_terms).withColumn("part", F.lit("pair"))
+    pairs = _pairs(counts, kept, groups, tile_sources, tile_terms).withColumn("part", F.lit("pair"))
 
     languages = groups.groupBy("lang").agg(F.sum("total").alias("lang_total"))
     in_lang = counts.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"))
