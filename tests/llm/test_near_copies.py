@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 
 import corpus_pipeline
-from tidefold.llm.near_copies import jaccard, shingles, sketch
+from tidefold.llm.near_copies import jaccard, parity_sketch, shingles, sketch, sketched_pairs
 from tidefold.llm.simhash import text_fingerprint
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -88,3 +88,43 @@ def test_repeated_rows_leave_one(spark, sf_dir):
     assert got == sorted([(1, text), (1, other), (2, near), (3, "x"), (0, "")])
     left = corpus_pipeline.drop_near_copies(spark, docs, sf_dir).collect()
     assert sorted((r.doc_id or 0, (r.text or "").lower()[:9]) for r in left) == sorted([(1, text[:9]), (1, other[:9]), (3, "x"), (0, "")])
+
+
+def _group(rng, n, edits):
+    """Edited copies of one text, each with edits of its own: alike to the text, less so to each other."""
+    base = [f"w{rng.randrange(900)}" for _ in range(200)]
+    return [" ".join(_edited(rng, base, edits)) for _ in range(n)]
+
+
+def _met(spark, texts, **sizes):
+    """Pairs that are verified where all texts share a key."""
+    node = "struct<no_id: boolean, doc_id: bigint, tie: bigint>"
+    frame = spark.createDataFrame([((False, i, 0), t.encode()) for i, t in enumerate(texts)], f"node {node}, body binary").repartition(3)
+    active = frame.selectExpr("7L as key", "node")
+    found = [(r["first"].doc_id, r["node"].doc_id) for r in sketched_pairs(active, frame, 0.8, 5, **sizes).collect()]
+    assert len(set(found)) == len(found) and all(a < b for a, b in found)
+    return set(found)
+
+
+def test_pairs_of_an_unlike_group_do_not_grow_with_its_square(spark):
+    rng = random.Random(5)
+    made = {}
+    for n in (100, 400):
+        texts = _group(rng, n, 4)
+        shares = [jaccard(shingles(a.encode()), shingles(b.encode())) for a, b in zip(texts, texts[1:])]
+        assert 0.6 < sum(shares) / len(shares) < 0.76
+        made[n] = len(_met(spark, texts))
+    print("pairs to verify", made)
+    assert made[400] <= 400 and made[400] <= 4 * max(made[100], 25)
+
+
+def test_sketches_miss_nothing(spark):
+    rng = random.Random(6)
+    texts = [t for edits in (1, 3, 4, 5, 8) for t in _group(rng, 12, edits)]
+    texts += [" ".join(t.split()[:n]) for t in texts[:6] for n in (3, 120, 135, 150, 165, 185)] + ["", "one two", "one two", " "]
+    sets = [shingles(t.encode()) for t in texts]
+    alike = {(i, j) for j in range(len(texts)) for i in range(j) if jaccard(sets[i], sets[j]) >= 0.8}
+    assert len({len(parity_sketch(t.encode())[1]) for t in texts}) > 1
+    for sizes in ({}, {"chunk_bytes": 1500}):
+        got = _met(spark, texts, **sizes)
+        assert alike <= got and len(alike) > 100 and len(got) < 1.2 * len(alike)
