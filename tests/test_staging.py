@@ -1,10 +1,14 @@
 from __future__ import annotations
 
+import glob
 import json
+import os
 
 from pyspark.sql import functions as F
 
 from tidefold.plans.staging import (
+    MAX_BUCKETS,
+    buckets_for,
     drop_old_versions,
     materialise,
     read_staging,
@@ -165,3 +169,66 @@ def test_replay_replaces_a_load(spark, tmp_path):
     assert read_log(spark, log).count() == 4
     assert not write_load(frame(spark, []), log, "empty")
     assert load_ids(spark, log) == ["one"]
+
+
+def _state_files(root):
+    return {p for p in glob.glob(f"{root}/state/**/*.parquet", recursive=True)}
+
+
+def _typed_files(root):
+    return {p for p in glob.glob(f"{root}/tables/**/part-*.parquet", recursive=True)}
+
+
+def _many(n, **more):
+    return [event("", "boats", f"b{i}", i + 1, {"draft": i, **more}, batch="m", position=i) for i in range(n)]
+
+
+def test_one_changed_document_rewrites_one_bucket(spark, tmp_path):
+    log, root = str(tmp_path / "log"), str(tmp_path / "staging")
+    write_load(frame(spark, _many(200) + [event("", "other", "o", 1, {"x": 1})]), log, "one")
+    materialise(spark, log, root, bucket_bytes=200)
+    state, typed = _state_files(root), _typed_files(root)
+    assert len(state) > 8
+    write_load(frame(spark, [event("", "boats", "b17", 900, {"draft": 5000}, batch="n")]), log, "two")
+    summary = materialise(spark, log, root, bucket_bytes=200)
+    assert (summary.mode, summary.affected_tables, summary.rows_materialized) == ("incremental", 1, 200)
+    new_state, new_typed = _state_files(root) - state, _typed_files(root) - typed
+    assert len({os.path.dirname(p) for p in new_state}) == 1 and len({os.path.dirname(p) for p in new_typed}) == 1
+    rows = {r["_document_id"]: r["draft"] for r in read_staging(spark, root, "", "boats").collect()}
+    assert rows == {f"b{i}": 5000 if i == 17 else i for i in range(200)}
+
+
+def test_columns_of_untouched_buckets(spark, tmp_path):
+    """An added column touches one bucket, another type or a column that goes the whole table; no state is rewritten for it."""
+    log, root, full = (str(tmp_path / name) for name in ("log", "staging", "full"))
+    write_load(frame(spark, _many(100, name="x")), log, "0")
+    materialise(spark, log, root, bucket_bytes=200)
+    n_buckets = len({os.path.dirname(p) for p in _state_files(root)})
+    changes = [{"draft": 1, "name": "y", "crew": 3}, {"draft": 1.5, "name": "y", "crew": 3}, {"draft": 1.5, "name": "y"}, None]
+    written = []
+    for at, document in enumerate(changes, 1):
+        state, typed = _state_files(root), _typed_files(root)
+        write_load(frame(spark, [event("", "boats", "b3", 500 + at, document, batch="n")]), log, str(at))
+        materialise(spark, log, root, bucket_bytes=200)
+        assert len({os.path.dirname(p) for p in _state_files(root) - state}) == 1
+        written.append(len({os.path.dirname(p) for p in _typed_files(root) - typed}))
+        got = read_staging(spark, root, "", "boats")
+        materialise(spark, log, full, incremental=False, bucket_bytes=1000)
+        wanted = read_staging(spark, full, "", "boats")
+        assert got.dtypes == wanted.dtypes and sorted(got.collect()) == sorted(wanted.collect())
+        keys = ["relative_path", "sha256", "bytes"]
+        assert staging_inventory(spark, root).select(keys).collect() == staging_inventory(spark, full).select(keys).collect()
+    assert n_buckets > 4 and written == [1, n_buckets, n_buckets, n_buckets]
+
+
+def test_a_table_that_outgrew_its_buckets_is_split(spark, tmp_path):
+    log, root = str(tmp_path / "log"), str(tmp_path / "staging")
+    write_load(frame(spark, _many(4)), log, "one")
+    materialise(spark, log, root, bucket_bytes=200)
+    assert staging_tables(spark, root)[0]["n_buckets"] == 1
+    write_load(frame(spark, _many(300)[4:] + [event("", "boats", "b0", 999, None)]), log, "two")
+    materialise(spark, log, root, bucket_bytes=200)
+    (table,) = staging_tables(spark, root)
+    assert table["n_buckets"] > 4 and table["rows"] == 299 and buckets_for(1 << 60, 200) == MAX_BUCKETS
+    assert read_staging(spark, root, "", "boats").count() == 299
+    assert drop_old_versions(spark, root) > 0 and read_staging(spark, root, "", "boats").count() == 299

@@ -102,6 +102,15 @@ def explode_fields(df: DataFrame, document: str, keep: list[str]) -> DataFrame:
     return members.withColumn("_shape", shape("value")).withColumn("flag", shape_flag("_shape")).drop("_shape")
 
 
+def document_kinds(document: Column | str) -> Column:
+    """The fields of a JSON object and the flags of their values as JSON text, equal for documents of like form.
+
+    NULL for documents that are not objects.
+    """
+    shapes = F.transform_values(object_entries(F.try_parse_json(document)), lambda _, value: shape(value))
+    return F.to_json(F.transform_values(shapes, lambda _, text: shape_flag(text)))
+
+
 def schema_field_flags(catalog: DataFrame) -> DataFrame:
     """Flags that a JSON-schema catalog seeds: (table_name, field, flags).
 

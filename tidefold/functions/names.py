@@ -79,6 +79,12 @@ def staging_path(component: Column | str, table: Column | str) -> Column:
     return F.concat(directory, F.lit("/"), _col(table), F.lit(PARQUET_SUFFIX))
 
 
+def staging_path_text(component: str, table: str) -> str:
+    """The same path for names that are known on the driver."""
+    directory = "/".join(part for part in component.split("/") if part) if component else ROOT_DIRECTORY
+    return f"{directory}/{table}{PARQUET_SUFFIX}"
+
+
 def directory_key(value: Column | str) -> Column:
     """Partition directory value: readable, free of characters that need escaping, never empty.
 

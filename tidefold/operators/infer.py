@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,20 +36,18 @@ def staging_columns(current: DataFrame, seeds: DataFrame | None = None) -> DataF
     catalog; they apply to every component with a table of that name. Columns that saw only
     nulls and have no seed are left out.
     """
-    observed = observed_flags(current, "document", ["component_path", "table_name"]).where(
-        ~F.col("field").isin(RESERVED_STAGING_COLUMNS)
-    )
+    observed = observed_flags(current, "document", ["component_path", "table_name"])
+    return merged_columns(observed, current.select("component_path", "table_name").distinct(), seeds)
+
+
+def merged_columns(observed: DataFrame, tables: DataFrame, seeds: DataFrame | None = None) -> DataFrame:
+    """The same from flags (component_path, table_name, field, flags) of any parts of the tables."""
+    keys = ["component_path", "table_name", "field"]
+    observed = observed.where(~F.col("field").isin(RESERVED_STAGING_COLUMNS)).select(*keys, "flags")
     if seeds is not None:
-        tables = current.select("component_path", "table_name").distinct()
-        seeded = tables.join(seeds, "table_name").select("component_path", "table_name", "field", "flags")
-        observed = (
-            observed.unionByName(seeded)
-            .groupBy("component_path", "table_name", "field")
-            .agg(F.bit_or("flags").alias("flags"))
-        )
-    return observed.select("component_path", "table_name", "field", staging_kind("flags").alias("kind")).where(
-        F.col("kind").isNotNull()
-    )
+        observed = observed.unionByName(tables.join(seeds, "table_name").select(*keys, "flags"))
+    merged = observed.groupBy(*keys).agg(F.bit_or("flags").alias("flags"))
+    return merged.select(*keys, staging_kind("flags").alias("kind")).where(F.col("kind").isNotNull())
 
 
 def column_names(fields: Sequence[str], taken: Sequence[str], case_sensitive: bool) -> dict[str, str]:
@@ -79,6 +77,24 @@ def _parsed_fields(document: str, schema: T.StructType) -> Column:
     return F.from_json(document, schema).cast(numbered)
 
 
+def staging_names(spark: SparkSession, columns: Sequence[tuple[str, str]]) -> list[str]:
+    """Column names of the fields of a staging table, in the order of `columns`."""
+    named = column_names(
+        [name for name, _ in columns], [*STAGING_LEADING, *STAGING_TRAILING], spark.conf.get("spark.sql.caseSensitive") == "true"
+    )
+    return [named[name] for name, _ in columns]
+
+
+def staging_schema(spark: SparkSession, columns: Sequence[tuple[str, str]]) -> T.StructType:
+    """Schema of what `project_staging` gives."""
+    ordered = sorted(tuple(c) for c in columns)
+    leading = [T.StructField(name, T.LongType() if name == "_timestamp" else T.StringType()) for name in STAGING_LEADING]
+    typed = [
+        T.StructField(name, _TYPES[SPARK_TYPE_OF_KIND[kind]]) for name, (_, kind) in zip(staging_names(spark, ordered), ordered)
+    ]
+    return T.StructType([*leading, *typed, *[T.StructField(name, T.StringType()) for name in STAGING_TRAILING]])
+
+
 def project_staging(current: DataFrame, columns: Sequence[tuple[str, str]]) -> DataFrame:
     """Typed staging rows of one table.
 
@@ -86,11 +102,8 @@ def project_staging(current: DataFrame, columns: Sequence[tuple[str, str]]) -> D
     `from_json` parses each document once. It takes a value only if its JSON type fits,
     widens integers to DOUBLE, and gives strings unquoted and nested values as JSON text.
     """
-    ordered = sorted(columns)
-    named = column_names(
-        [name for name, _ in ordered], [*STAGING_LEADING, *STAGING_TRAILING],
-        current.sparkSession.conf.get("spark.sql.caseSensitive") == "true",
-    )
+    ordered = sorted(tuple(c) for c in columns)
+    names = staging_names(current.sparkSession, ordered)
     base = current.select(
         F.col("component_path").alias("_component_path"),
         F.col("table_name").alias("_table_name"),
@@ -105,7 +118,7 @@ def project_staging(current: DataFrame, columns: Sequence[tuple[str, str]]) -> D
     parsed = base.withColumn("_fields", _parsed_fields("_document_json", schema))
     return parsed.select(
         *STAGING_LEADING,
-        *[F.col("_fields").getField(f"f{i}").alias(named[name]) for i, (name, _) in enumerate(ordered)],
+        *[F.col("_fields").getField(f"f{i}").alias(name) for i, name in enumerate(names)],
         *STAGING_TRAILING,
     )
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidefold.functions.names import view_name
 from tidefold.operators.diff import DELETED, is_upload, manifest_diff, next_manifest_entries, publish_summary
 from tidefold.operators.select import longest_prefix, require_covered, with_ordinal
+from tidefold.plans.staging import read_table
 from tidefold.schemas import MANIFEST_ENTRY_COLUMNS
 from tidefold.session import remove_path, run_jobs
 from tidefold.sources.manifest import latest_manifest, write_manifest
@@ -58,7 +59,7 @@ def publish(
 ) -> PublishSummary:
     """Copy changed tables, then point to them, then remove what is gone.
 
-    `inventory` has relative_path, sha256, bytes and uri, one row per table. The order is
+    `inventory` has relative_path, sha256, bytes, uris and schema, one row per table. The order is
     versioned copies, the manifest, the latest manifest, current copies, deletions. Versioned
     copies are never overwritten, and readers of the latest manifest and the views use them
     alone: whatever point a failure hits, they see the old state or the new one, whole. The
@@ -73,14 +74,14 @@ def publish(
         uploads = (
             diff.where(is_upload())
             .select("relative_path")
-            .join(inventory.select("relative_path", "uri"), "relative_path")
+            .join(inventory.select("relative_path", "uris", "schema"), "relative_path")
             .join(entries.select("relative_path", "versioned_key", F.col("current_key").alias("key")), "relative_path")
             .collect()
         )
         stale = [row["current_key"] for row in diff.where(F.col("status") == DELETED).select("current_key").collect()]
         summary = publish_summary(diff).first()
 
-        run_jobs(spark, [_copy(spark, row["uri"], _location(bucket, "", row["versioned_key"])) for row in uploads], threads)
+        run_jobs(spark, [_copy(read_table(spark, row), _location(bucket, "", row["versioned_key"])) for row in uploads], threads)
         manifests = manifests_path(bucket, prefix)
         stored = f"{manifests}/{publish_id}.json"
         write_manifest(entries.coalesce(1), stored, publish_id, published_ms, bucket, clean_prefix(prefix))
@@ -88,7 +89,7 @@ def publish(
         write_manifest(written.coalesce(1), f"{manifests}/latest.json", publish_id, published_ms, bucket, clean_prefix(prefix))
         if mirror:
             copies = [(_location(bucket, "", row["versioned_key"]), _location(bucket, "", row["key"])) for row in uploads]
-            run_jobs(spark, [_copy(spark, version, current) for version, current in copies], threads)
+            run_jobs(spark, [_copy(spark.read.parquet(version), current) for version, current in copies], threads)
         for key in stale:
             remove_path(spark, _location(bucket, "", key))
     finally:
@@ -102,8 +103,8 @@ def publish(
     )
 
 
-def _copy(spark: SparkSession, source: str, target: str):
-    return lambda: spark.read.parquet(source).write.mode("overwrite").parquet(target)
+def _copy(rows: DataFrame, target: str):
+    return lambda: rows.write.mode("overwrite").parquet(target)
 
 
 def source_map(manifest: DataFrame) -> DataFrame:

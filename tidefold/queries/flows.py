@@ -11,15 +11,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidefold.functions.names import logical_name
+from tidefold.operators.fold import fold_log, live
 from tidefold.operators.select import select_flow_tables, unprocessed
 from tidefold.plans.ingest import Sink, bronze_sink, log_sink, sync_once
 from tidefold.plans.monitoring import count_tables, table_row_counts
 from tidefold.plans.publish import manifests_path, publish, register_published_views
 from tidefold.plans.service import ServicePaths, run_round
-from tidefold.plans.staging import materialise, read_staging, staging_inventory, staging_tables
+from tidefold.plans.staging import materialise, read_staging, read_table, staging_inventory, staging_tables
 from tidefold.queries.inputs import LOG_E, LOG_L, RAW_VALID, live_sql, log_rows, raw_events, table
 from tidefold.queries.registry import query
-from tidefold.schemas import CATALOG_SCHEMA, CDC_DOCUMENT_ID, RAW_LOG_COLUMNS, RAW_LOG_SCHEMA
+from tidefold.schemas import CATALOG_SCHEMA, CDC_DOCUMENT_ID, LOG_FILE_SCHEMA, RAW_LOG_COLUMNS, RAW_LOG_SCHEMA
 from tidefold.session import scratch_path
 from tidefold.sources.bronze import (
     append_bronze,
@@ -303,7 +304,7 @@ _TYPED_E = f"""select component_path as _component_path, table_name as _table_na
 
 
 def _all_tables(spark, root: str) -> DataFrame:
-    frames = [spark.read.parquet(entry["uri"]) for entry in staging_tables(spark, root)]
+    frames = [read_table(spark, entry) for entry in staging_tables(spark, root)]
     rows = frames[0]
     for other in frames[1:]:
         rows = rows.unionByName(other)
@@ -362,6 +363,34 @@ def incremental_staging(spark, sf_dir):
     return _all_tables(spark, root).select("_table_name", "_document_id", "_timestamp", "part", "cents", "_document_json")
 
 
+_FIRST_ID = f"(select min(document_id) from {live_sql(LOG_L.sql)} where table_name = 'filled')"
+
+
+@query(
+    "str9_one_changed_document",
+    f"""select table_name as _table_name, count(*) as documents,
+        sum(case when document_id = {_FIRST_ID} then 7 else cast(json_extract(document, '$.cents') as bigint) end)::bigint as cents,
+        count(distinct case when document_id = {_FIRST_ID} then 1 end) as rewritten
+        from {live_sql(LOG_L.sql)} group by 1""",
+)
+def one_changed_document(spark, sf_dir):
+    """The whole log is staged, then one document changes: the buckets of each table that its run wrote."""
+    log, root = scratch_path(spark, "log"), scratch_path(spark, "staging")
+    write_load(log_rows(LOG_L, spark, sf_dir), log, "all")
+    materialise(spark, log, root)
+    filled = live(fold_log(read_log(spark, log))).where("table_name = 'filled'")
+    first = filled.agg(F.min_by(F.struct(*LOG_FILE_SCHEMA.fieldNames()), "document_id").alias("r")).select("r.*")
+    write_load(first.withColumn("timestamp", F.col("timestamp") + 1).withColumn("document", F.lit('{"cents":7}')), log, "one")
+    materialise(spark, log, root)
+    tables = reduce(DataFrame.unionByName, [
+        read_table(spark, entry).select("_table_name", "cents", F.input_file_name().alias("file")) for entry in staging_tables(spark, root)
+    ])
+    folder = F.when(F.col("file").contains("/version=0000000002/"), F.regexp_replace("file", "/[^/]*$", ""))
+    return tables.groupBy("_table_name").agg(
+        F.count("*").alias("documents"), F.sum("cents").alias("cents"), F.count_distinct(folder).alias("rewritten")
+    )
+
+
 @query(
     "agg6_materialise_summary",
     f"""select 'incremental' as mode, 2 as files_read, count(*) as events_read, 1 as new_raw_files,
