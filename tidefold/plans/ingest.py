@@ -27,7 +27,8 @@ from tidefold.sources.bronze import append_bronze
 from tidefold.sources.catalog import catalog_hash, read_catalog, read_schema_file, write_catalog
 from tidefold.sources.changelog import write_load
 from tidefold.sources.control import append_checkpoints, read_history
-from tidefold.sources.pages import DELTA, PAGE_ORDER, SNAPSHOT, documents, pages_after, read_pages, with_checkpoint
+from tidefold.sources.landing import due_headers, index_path, read_due, read_index, refresh_index
+from tidefold.sources.pages import DELTA, PAGE_ORDER, SNAPSHOT, documents, with_checkpoint
 
 @dataclass(frozen=True)
 class Sink:
@@ -104,7 +105,8 @@ def sync_once(
     """Bring everything that has landed into the sink and advance the checkpoint.
 
     Deltas are read only once the snapshot is complete, and then to the last page that has
-    landed, however many polls the backlog holds. With `on_error="quarantine"` bad documents
+    landed, however many polls the backlog holds. What is due is found in an index of the landed
+    pages, so a run opens the files that are new and no others. With `on_error="quarantine"` bad documents
     are kept below the folder `quarantine`, which is required.
     """
     if on_error == QUARANTINE and quarantine is None:
@@ -117,23 +119,21 @@ def sync_once(
         if not path_exists(spark, folder):
             return 0
         order = PAGE_ORDER[kind]
-        pages = with_checkpoint(read_pages(spark, folder, kind), kind)
-        slim = pages.withColumn("filled", F.size("values") > 0).drop("values")
-        headers = pages_after(slim, order, after, max_pages, past_ends=kind == DELTA).persist(StorageLevel.MEMORY_AND_DISK)
+        index = index_path(control, folder, kind)
+        found = due_headers(spark, folder, kind, index, after, max_pages, past_ends=kind == DELTA)
+        headers = with_checkpoint(found.withColumn("filled", F.col("events") > 0), kind).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             bounds = headers.agg(
                 F.count("*").alias("n"),
                 # An idle poll repeats the cursor of the one before and brings nothing.
                 F.count_if("filled").alias("filled"),
                 F.count_distinct(F.when(F.col("filled"), F.col(order))).alias("distinct"),
-                F.min(order).alias("low"),
-                F.max(order).alias("high"),
             ).first()
             if not bounds["n"]:
                 return 0
             if bounds["distinct"] != bounds["filled"]:
                 raise ValueError(f"{kind} pages are not told apart by {order}")
-            due = pages.where(F.col(order).between(bounds["low"], bounds["high"]))
+            due = with_checkpoint(read_due(spark, folder, kind, headers), kind)
             values = documents(due, table)
             events = normalise(values, on_error=on_error, creation_time=sink.wants_creation_time)
             load_id = load_name(kind, source_id, start)
@@ -152,7 +152,7 @@ def sync_once(
 
     at = checkpoint()
     if at is None or at["phase"] == INITIAL_SNAPSHOT:
-        after = None if at is None else _snapshot_position(spark, landing, at)
+        after = None if at is None else _snapshot_position(spark, f"{landing}/{_FOLDERS[SNAPSHOT]}", control, at)
         start = "start" if at is None else f"{at['snapshot_ts']}|{at['snapshot_cursor']}"
         summary.snapshot_pages_fetched = run_phase(SNAPSHOT, after, start)
         at = checkpoint()
@@ -165,11 +165,12 @@ def sync_once(
     return summary
 
 
-def _snapshot_position(spark: SparkSession, landing: str, at: Row) -> str:
+def _snapshot_position(spark: SparkSession, folder: str, control: str, at: Row) -> str:
     """File of the page that led to a snapshot checkpoint."""
-    pages = read_pages(spark, f"{landing}/{_FOLDERS[SNAPSHOT]}", SNAPSHOT)
+    index = index_path(control, folder, SNAPSHOT)
+    refresh_index(spark, folder, SNAPSHOT, index)
     same = (F.col("snapshot") == at["snapshot_ts"]) & (F.col("cursor") == at["snapshot_cursor"])
-    page = pages.where(same & F.col("has_more")).agg(F.max("page_file").alias("page_file")).first()
+    page = read_index(spark, index, SNAPSHOT).where(same & F.col("has_more")).agg(F.max("page_file").alias("page_file")).first()
     if page["page_file"] is None:
         raise ValueError(f"no landed page has the snapshot cursor {at['snapshot_cursor']!r}")
     return page["page_file"]

@@ -101,12 +101,16 @@ def filled_partitions(spark: SparkSession, path: str, column: str, inner: str) -
 
 def _parents(spark: SparkSession, path: str, column: str, inside: str) -> list[tuple[str, object]]:
     """(value, file status) for everything that matches `<path>/<column>=<value>/<inside>`."""
-    escaped = re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
-    filesystem, pattern = _filesystem(spark, f"{escaped}/{column}=*/{inside}")
+    filesystem, pattern = _filesystem(spark, f"{glob_escaped(path)}/{column}=*/{inside}")
     statuses = filesystem.globStatus(pattern) or []
     return [(status.getPath().getParent().getName()[len(column) + 1:], status) for status in statuses]
 
 
+def glob_escaped(path: str) -> str:
+    """The path as a pattern that matches it alone."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
     """Values of one partition column whose directory was committed (`_SUCCESS` present), in order."""
     return list(committed_marks(spark, path, column))

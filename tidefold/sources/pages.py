@@ -7,6 +7,8 @@ text, so numbers keep the form they were sent in.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,8 +25,8 @@ _ENVELOPES = {SNAPSHOT: SNAPSHOT_ENVELOPE, DELTA: DELTA_ENVELOPE}
 PAGE_ORDER = {SNAPSHOT: "page_file", DELTA: "cursor"}
 
 
-def read_pages(spark: SparkSession, path: str, kind: str, multi_line: bool = False) -> DataFrame:
-    """One row per page: values, has_more, cursor, page_file, and snapshot for snapshot pages.
+def read_pages(spark: SparkSession, path: str | Sequence[str], kind: str, multi_line: bool = False) -> DataFrame:
+    """One row per page of a folder or of listed files: values, has_more, cursor, page_file, and snapshot for snapshot pages.
 
     A page that is not the JSON it should be fails the job.
     """
@@ -39,7 +41,12 @@ def stream_pages(spark: SparkSession, path: str, kind: str, max_files: int = 100
 
 
 def _named(pages: DataFrame) -> DataFrame:
-    return pages.withColumn("page_file", F.col("_metadata.file_path")).withColumnRenamed("hasMore", "has_more")
+    return pages.withColumn("page_file", plain_file("_metadata.file_path")).withColumnRenamed("hasMore", "has_more")
+
+
+def plain_file(name: str) -> Column:
+    """Name of a file in one form; Spark writes those of the local file system with one slash or three."""
+    return F.regexp_replace(name, "^file:/+", "file:/")
 
 
 def documents(pages: DataFrame, table: str | None = None) -> DataFrame:
