@@ -8,18 +8,21 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from tidefold.operators.infer import project_bronze
 from tidefold.operators.select import required_flow_tables
 from tidefold.plans import publish as publish_plan
 from tidefold.plans.ingest import bronze_sink, load_name, log_sink, save_catalog, sync_once
 from tidefold.plans.publish import manifests_path, needs_publish, publish, register_published_views
 from tidefold.plans.service import ServicePaths, run_rounds
 from tidefold.plans.staging import read_staging, staging_inventory
-from tidefold.sources.bronze import bronze_columns, colliding_targets, read_bronze, read_bronze_rows, stream_bronze_rows
+from tidefold.sources.bronze import append_bronze, bronze_columns, colliding_targets, read_bronze, read_bronze_rows, stream_bronze_rows
+from tidefold.sources import landing as landing_index
 from tidefold.sources.changelog import read_log
 from tidefold.sources.control import read_history
+from tidefold.sources.landing import index_path, read_index, refresh_index
 from tidefold.sources.manifest import latest_manifest
-from tidefold.sources.pages import stream_pages
-from tidefold.sources.views import list_tables
+from tidefold.sources.pages import read_pages, stream_pages
+from tidefold.sources.views import list_tables, quoted
 from tidefold.streaming import ingest as stream_ingest
 from tidefold.streaming import silver
 
@@ -151,6 +154,44 @@ def test_bronze_and_silver(spark, tmp_path, landing):
     assert read_silver_rows(spark, table, bronze, "src__app__users__cdc") == current
 
 
+_ODD = [
+    '{"a":1,"b":1.0,"c":"x","d":true,"e":{"z":1.0,"a":[1,"q"]},"f":null,"it\'s":1,"p.q":"dot","B":7}',
+    '{"a":true,"b":2,"c":5,"d":false,"e":[1.50,{}],"f":1,"it\'s":2.5,"p.q":"1","g":12345678901234567890}',
+    '{"a":-7,"b":1e300,"c":"True","d":null,"e":"text","f":"t","h":1.5,"k":{"deep":{"x":null}}}',
+    '{"c":true,"h":"1.0","e":2.0,"k":"[]"}', '{}', '[1,2]', '"plain"', None,
+]
+
+
+def test_bronze_fields_equal_what_documents_say(spark, tmp_path):
+    root, target = str(tmp_path / "bronze"), "src__app__odd__cdc"
+    rows = [("", "odd", f"d{i}", i, "delete" if d is None else "upsert", None, d, "b", i, 1.5) for i, d in enumerate(_ODD)]
+    events = spark.createDataFrame(rows, "component_path string, table_name string, document_id string, timestamp long, op string, "
+                                         "schema_fingerprint string, document string, batch string, position long, creation_time double")
+    for load, part in enumerate((events.where("position < 1"), events.where("position >= 1"))):
+        append_bronze(part, root, str(load), "s", "r")
+    columns = bronze_columns(spark, root, target)
+    assert {name: kind for name, kind, _ in columns}["h"] == "string" and len(columns) == 12
+    stored = read_bronze_rows(spark, root).where(F.col("target") == target)
+    wanted = project_bronze(stored, "_cdc_raw_document_json", columns, ["position"]).orderBy("position")
+    got = read_bronze(spark, root, target, with_order=True).select([F.col(quoted(c)) for c in wanted.columns]).orderBy("position")
+    assert got.dtypes == wanted.dtypes and got.collect() == wanted.collect()
+
+
+def test_one_field_is_one_column(spark, tmp_path):
+    root = str(tmp_path / "bronze")
+    events = spark.range(50).selectExpr(
+        "'' as component_path", "'t' as table_name", "cast(id as string) as document_id", "id as timestamp", "'upsert' as op",
+        "cast(null as string) as schema_fingerprint", "concat('{\"n\":', id, ',\"o\":{\"a\":', id, '}}') as document", "'b' as batch",
+        "id as position", "cast(null as double) as creation_time",
+    )
+    append_bronze(events, root, "1", "s", "r")
+    for field, kind, total in (("n", "bigint", 1225), ("o", "string", None)):
+        rows = read_bronze(spark, root, "src__app__t__cdc").select(field)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "from_json" not in plan and "parse_json" not in plan and f"ReadSchema: struct<_cdc_fields:struct<0:{kind}>>" in plan
+        assert total is None or rows.agg(F.sum(field)).first()[0] == total
+
+
 def read_silver_rows(spark, table, bronze, target):
     rows = silver.read_silver(spark, table, bronze, target).collect()
     return {r["_cdc_document_id"]: (r["name"], r["age"]) for r in rows}
@@ -182,6 +223,42 @@ def test_backlog_of_polls_is_drained_in_one_run(spark, tmp_path, landing):
     assert sync_once(*args).events_written == 0
 
 
+def test_a_second_run_opens_new_files_only(spark, tmp_path, landing, monkeypatch):
+    opened = []
+
+    def counted(spark, path, kind, *more):
+        frame = read_pages(spark, path, kind, *more)
+        opened.append((kind, sorted(os.path.basename(f) for f in frame.inputFiles())))
+        return frame
+
+    monkeypatch.setattr(landing_index, "read_pages", counted)
+    log, control = str(tmp_path / "log"), str(tmp_path / "control")
+    args = (spark, landing, log_sink(log), save_catalog(spark, landing, log), control, "s1", "r1")
+    first = sync_once(*args)
+    assert first.snapshot_pages_fetched == 2 and {kind for kind, _ in opened} == {"snapshot", "delta"}
+    opened.clear()
+    assert sync_once(*args).events_written == 0 and opened == []
+    land(f"{landing}/deltas", "x 1[2].json", [doc("n1", 300)], False, 300)
+    land(f"{landing}/deltas", "y%2.json", [doc("n2", 301)], False, 301)
+    done = sync_once(*args)
+    assert (done.delta_pages_fetched, done.events_written) == (2, 2)
+    assert opened == [("delta", ["x%201%5B2%5D.json", "y%252.json"])] * 2
+    # Another source reads the same index and all pages.
+    opened.clear()
+    assert sync_once(*args[:-2], "s2", "r1").events_written == first.events_written + 2
+    assert len(opened) == 2
+
+
+def test_a_refresh_twice_counts_once(spark, tmp_path, landing):
+    path = index_path(str(tmp_path / "control"), f"{landing}/deltas", "delta")
+    assert refresh_index(spark, f"{landing}/deltas", "delta", path) > 0
+    once = sorted(read_index(spark, path, "delta").collect())
+    rows = spark.read.parquet(path).withColumn("refresh", F.lit("zz"))
+    rows.write.mode("append").parquet(path)
+    assert sorted(read_index(spark, path, "delta").collect()) == once
+    assert refresh_index(spark, f"{landing}/deltas", "delta", path) == 0
+
+
 def test_load_names_do_not_collide():
     starts = ("after-1769724309738171280", "after-1784114922098870447")
     names = {load_name("delta", source, start) for source in ("app", "ap") for start in starts}

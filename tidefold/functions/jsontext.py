@@ -85,9 +85,40 @@ def member(variant: Column | str, name: str) -> Column:
     return F.try_element_at(object_entries(variant), F.lit(name))
 
 
+def member_as(variant: Column | str, name: str, type_name: str) -> Column:
+    """The same as a value of a type; NULL where it is none."""
+    if "'" not in name and "\\" not in name:
+        return F.try_variant_get(_col(variant), f"$['{name}']", type_name)
+    return F.try_variant_get(member(variant, name), "$", type_name)
+
+
 def shape(variant: Column | str) -> Column:
     """Type of a value as text: BOOLEAN, BIGINT, DECIMAL(p,s), DOUBLE, STRING, ARRAY<…>, OBJECT<…> or VOID.
 
     NULL when the value is absent.
     """
     return F.schema_of_variant(_col(variant))
+
+
+def is_nested(variant: Column | str) -> Column:
+    return shape(variant).startswith("OBJECT") | shape(variant).startswith("ARRAY")
+
+
+def flat_fields(document: Column | str) -> Column:
+    """A JSON object as a variant whose nested members are their JSON text; anything else as it is.
+
+    Members are scalars then, which is what Spark shreds into columns of their own.
+    """
+    document = _col(document)
+    parsed = F.try_parse_json(document)
+    entries = object_entries(parsed)
+
+    def flat(texts: Column) -> Column:
+        members = F.transform_values(
+            entries, lambda name, value: F.when(is_nested(value), F.element_at(texts, name).cast("variant")).otherwise(value)
+        )
+        return F.to_variant_object(members)
+
+    # A lambda variable holds the texts, so the document is read once and not for each member.
+    flattened = F.element_at(F.transform(F.array(F.from_json(document, "map<string,string>")), flat), 1)
+    return F.when(F.exists(F.map_values(entries), is_nested), flattened).otherwise(parsed)

@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidefold.functions.jsontext import member, shape
+from tidefold.functions.jsontext import member, member_as, shape
 from tidefold.functions.kinds import (
     BOOL,
+    FLOAT,
     SPARK_TYPE_OF_KIND,
     explode_fields,
     staging_kind,
@@ -124,12 +125,16 @@ def project_staging(current: DataFrame, columns: Sequence[tuple[str, str]]) -> D
 
 
 def project_bronze(
-    rows: DataFrame, document: str, columns: Sequence[tuple[str, str, int]], keep: Sequence[str]
+    rows: DataFrame, document: str, columns: Sequence[tuple[str, str, int]], keep: Sequence[str], fields: str | None = None
 ) -> DataFrame:
     """`keep` columns followed by the typed user columns of one bronze table.
 
     `columns` are (name, type, flags). Only columns that really mix booleans with something
     else pay for it: as numbers they become 1 and 0, as text `True` and `False`.
+
+    `fields` names a variant with the scalar members of the document, see `flat_fields`. Values come
+    from there, one shredded column each, and the document is not parsed; only text columns that saw
+    numbers with a fraction still need it, because a variant does not tell `1.0` from `1`.
     """
     ordered = sorted(columns)
     named = column_names(
@@ -137,25 +142,30 @@ def project_bronze(
     )
     if not ordered:
         return rows.select(*keep)
+    from_text = [c for c in ordered if fields is None or (c[1] == "string" and c[2] & FLOAT)]
     mixed = {name for name, type_name, flags in ordered if flags & BOOL and type_name != "boolean"}
     schema = T.StructType(
-        [T.StructField(name, _TYPES["string" if name in mixed else type_name]) for name, type_name, _ in ordered]
+        [T.StructField(name, _TYPES["string" if name in mixed else type_name]) for name, type_name, _ in from_text]
     )
-    parsed = rows.withColumn("_fields", _parsed_fields(document, schema))
-    if any(name in mixed and type_name == "string" for name, type_name, _ in ordered):
+    parsed = rows.withColumn("_fields", _parsed_fields(document, schema)) if from_text else rows
+    if any(name in mixed and type_name == "string" for name, type_name, _ in from_text):
         parsed = parsed.withColumn("_variant", F.try_parse_json(document))
+    place = {name: i for i, (name, _, _) in enumerate(from_text)}
 
-    def column(i: int, name: str, type_name: str) -> Column:
-        value = F.col("_fields").getField(f"f{i}")
+    def column(name: str, type_name: str) -> Column:
+        if name not in place:
+            value = member_as(fields, name, type_name)
+            if name in mixed and type_name == "string":
+                return F.when(shape(member(fields, name)) == "BOOLEAN", F.initcap(value)).otherwise(value)
+            return value
+        value = F.col("_fields").getField(f"f{place[name]}")
         if name not in mixed:
             return value
         if type_name == "string":
             return F.when(shape(member("_variant", name)) == "BOOLEAN", F.initcap(value)).otherwise(value)
         return F.when(value == "true", "1").when(value == "false", "0").otherwise(value).try_cast(type_name)
 
-    return parsed.select(
-        *keep, *[column(i, name, type_name).alias(named[name]) for i, (name, type_name, _) in enumerate(ordered)]
-    )
+    return parsed.select(*keep, *[column(name, type_name).alias(named[name]) for name, type_name, _ in ordered])
 
 
 def bronze_fields(df: DataFrame, document: str, keys: Sequence[str]) -> DataFrame:

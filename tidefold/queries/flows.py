@@ -33,8 +33,9 @@ from tidefold.sources.bronze import (
 from tidefold.sources.changelog import load_ids, read_log, write_load
 from tidefold.sources.control import read_history
 from tidefold.sources.export import append_json_lines, write_json_lines
+from tidefold.sources.landing import due_headers, index_path, read_due
 from tidefold.sources.manifest import latest_manifest
-from tidefold.sources.pages import DELTA, SNAPSHOT, documents, page_summary, pages_after, read_pages, stream_pages
+from tidefold.sources.pages import DELTA, SNAPSHOT, documents, page_summary, read_pages, stream_pages
 from tidefold.sources.views import list_tables, register_parquet_view
 from tidefold.streaming import ingest as stream_ingest
 from tidefold.streaming import silver
@@ -118,8 +119,10 @@ def table_scoped_read(spark, sf_dir):
         from (select * from p where cursor > {_FIRST_DELTA + 3} order by cursor limit 7)""",
 )
 def cursor_bounded_read(spark, sf_dir):
-    pages = read_pages(spark, f"{_landing(spark, sf_dir)}/deltas", DELTA)
-    return page_summary(pages_after(pages, "cursor", _FIRST_DELTA + 3, 7), "cursor")
+    """What is due is found in the index of the landed pages; only its files are read."""
+    folder, control = f"{_landing(spark, sf_dir)}/deltas", scratch_path(spark, "control")
+    headers = due_headers(spark, folder, DELTA, index_path(control, folder, DELTA), _FIRST_DELTA + 3, 7)
+    return page_summary(read_due(spark, folder, DELTA, headers), "cursor")
 
 
 # --- sync: phases, resume, checkpoints -------------------------------------------------------
@@ -222,23 +225,35 @@ def replaced_load(spark, sf_dir):
     return _all_tables(spark, root).groupBy(F.col("_table_name").alias("table_name")).agg(F.count("*").alias("rows"))
 
 
+_ORDERS_A_PAGE = 1000
+
+
 @query(
     "str7_backlog",
-    """select count(*) as pages, count(*) as events, 1 as runs from orders where o_orderkey % 100 = 0""",
+    f"""select document_id, timestamp, document, batch_pages, cursor from (select cast(o_orderkey as varchar) as document_id, o_orderkey as timestamp,
+        concat('{{"total":', cast(o_totalprice as varchar), '}}') as document, o_orderkey // {_ORDERS_A_PAGE} as page from orders)
+        cross join (select count(distinct o_orderkey // {_ORDERS_A_PAGE}) as batch_pages, max(o_orderkey // {_ORDERS_A_PAGE}) + 1000 as cursor from orders)""",
 )
 def backlog(spark, sf_dir):
-    """Every page ends a poll; one run takes them all."""
+    """All orders as a backlog of polls, each of which ends with its page: one run takes them all, the next nothing."""
     landing, log, control = (scratch_path(spark, name) for name in ("landing", "log", "control"))
-    orders = table(spark, sf_dir, "orders").where("o_orderkey % 100 = 0")
-    page = """concat('{"values":[{"_component":"","_table":"orders","_id":"', cast(o_orderkey as string), '","_ts":', cast(o_orderkey as string),
-        ',"total":', cast(o_totalprice as string), '}],"hasMore":false,"cursor":', cast(o_orderkey + 1000 as string), '}')"""
-    orders.selectExpr(f"{page} as value").write.text(f"{landing}/deltas")
+    document = """concat('{"_component":"","_table":"orders","_id":"', cast(o_orderkey as string), '","_ts":', cast(o_orderkey as string),
+        ',"total":', cast(o_totalprice as string), '}')"""
+    docs = table(spark, sf_dir, "orders").selectExpr(f"o_orderkey div {_ORDERS_A_PAGE} as page", f"{document} as value")
+    # A page is at most so many orders by construction.
+    pages = docs.groupBy("page").agg(F.array_join(F.collect_list("value"), ",").alias("values"))
+    pages.selectExpr(
+        """concat('{"values":[', values, '],"hasMore":false,"cursor":', cast(page + 1000 as string), '}') as value"""
+    ).write.text(f"{landing}/deltas")
     last = spark.createDataFrame([('{"values":[],"hasMore":false,"snapshot":1,"cursor":null}',)], "value string")
     last.coalesce(1).write.text(f"{landing}/snapshot")
-    done = _sync(spark, landing, log_sink(log), control)
+    _sync(spark, landing, log_sink(log), control)
     assert _sync(spark, landing, log_sink(log), control, run_id="r2").delta_pages_fetched == 0
-    row = (done.delta_pages_fetched, read_log(spark, log).count(), 1)
-    return spark.createDataFrame([row], "pages bigint, events bigint, runs int")
+    logged, history = read_log(spark, log), read_history(spark, control, "s1")
+    return logged.select(
+        "document_id", "timestamp", "document", logged.agg(F.count_distinct("batch")).scalar().alias("batch_pages"),
+        history.agg(F.max("delta_cursor")).scalar().alias("cursor"),
+    )
 
 
 @query("str3_two_streams_one_log", f"select 2 * count(*) as events, 4 as loads from {LOG_E.sql}")
@@ -522,36 +537,57 @@ def _bronze(spark, sf_dir) -> str:
     return root
 
 
-_ACCOUNTS = f"(select * from {RAW_VALID} where table_name = 'accounts' and component_path = '' and document is not null)"
+_RAW_TARGETS = ["src__app__accounts__cdc", "src__app__users__cdc", "src__workflow__accounts__cdc", "src__workflow__users__cdc"]
+_MIX = "case when table_name = 'users' then cast(users_mix as varchar) when ord % 5 = 1 then 'True' else accounts_mix end"
 
 
 @query(
     "snk4_bronze_schema_evolution",
-    f"""select 'cents' as field, 'bigint' as type, count(cents) as filled from {_ACCOUNTS}
-        union all select 'mix', 'string', count(accounts_mix) from {_ACCOUNTS}
-        union all select 'props', 'string', count(props_text) from {_ACCOUNTS}
-        union all select 'whole', 'double', count(whole) from {_ACCOUNTS}""",
+    f"""with rows as (select {_TARGET} as target, table_name = 'users' as numbers, * from {RAW_VALID} where document is not null)
+        select target, 'cents' as field, 'bigint' as type, count(cents) as filled from rows group by 1
+        union all select target, 'mix', case when numbers then 'double' else 'string' end, count({_MIX}) from rows group by target, numbers
+        union all select target, 'props', 'string', count(props_text) from rows group by 1
+        union all select target, 'whole', 'double', count(whole) from rows group by 1""",
 )
 def bronze_schema_evolution(spark, sf_dir):
-    """Columns of both loads together, with the values that each holds."""
-    root, target = _bronze(spark, sf_dir), "src__app__accounts__cdc"
-    rows = read_bronze(spark, root, target)
-    types = dict(rows.dtypes)
-    fields = [name for name, _, _ in bronze_columns(spark, root, target)]
-    counted = rows.agg(*[F.count(name).alias(name) for name in fields])
-    described = [F.struct(F.lit(n).alias("field"), F.lit(types[n]).alias("type"), F.col(n).alias("filled")) for n in fields]
-    return counted.select(F.inline(F.array(*described)))
+    """Columns of both loads together, of every target, with the values that each holds."""
+    root = _bronze(spark, sf_dir)
+    targets = [row["target"] for row in routed_counts(read_bronze_rows(spark, root)).collect()]
+
+    def described(target: str) -> DataFrame:
+        rows = read_bronze(spark, root, target)
+        types = dict(rows.dtypes)
+        fields = [name for name, _, _ in bronze_columns(spark, root, target)]
+        counted = rows.agg(*[F.count(name).alias(name) for name in fields])
+        columns = [F.struct(F.lit(target).alias("target"), F.lit(n).alias("field"), F.lit(types[n]).alias("type"), F.col(n).alias("filled")) for n in fields]
+        return counted.select(F.inline(F.array(*columns)))
+
+    return reduce(DataFrame.unionByName, [described(target) for target in sorted(targets)])
 
 
 @query(
     "src8_bronze_scan",
-    f"""select position as ord, v.* from (select ord as position, case when document is not null then
-        {{'cents': cents, 'mix': case ord % 5 when 1 then 'True' else accounts_mix end, 'props': props_text, 'whole': whole}} end as v
-        from {RAW_VALID} where table_name = 'accounts' and component_path = '')""",
+    f"""select {_TARGET} as target, ord, v.* from (select *, case when document is not null then
+        {{'cents': cents, 'mix': {_MIX}, 'props': props_text, 'whole': whole}} end as v from {RAW_VALID})""",
 )
 def bronze_scan(spark, sf_dir):
-    rows = read_bronze(spark, _bronze(spark, sf_dir), "src__app__accounts__cdc", with_order=True)
-    return rows.select(F.col("position").alias("ord"), "cents", "mix", "props", "whole")
+    """All bronze tables, the column that promotes as text."""
+    root = _bronze(spark, sf_dir)
+    tables = [read_bronze(spark, root, t, with_order=True).withColumn("target", F.lit(t)) for t in _RAW_TARGETS]
+    named = [F.col("position").alias("ord"), "cents", F.col("mix").cast("string").alias("mix"), "props", "whole"]
+    return reduce(DataFrame.unionByName, [rows.select("target", *named) for rows in tables])
+
+
+@query(
+    "src8_one_field",
+    f"select {_TARGET} as target, count(cents) as filled, sum(cents)::bigint as cents from {RAW_VALID} where document is not null group by 1",
+)
+def one_field(spark, sf_dir):
+    """One field of every table: read from its shredded column, no document is parsed."""
+    root = _bronze(spark, sf_dir)
+    tables = [read_bronze(spark, root, t).select(F.lit(t).alias("target"), "cents") for t in _RAW_TARGETS]
+    rows = reduce(DataFrame.unionByName, tables)
+    return rows.groupBy("target").agg(F.count("cents").alias("filled"), F.sum("cents").alias("cents"))
 
 
 @query("snk5_multi_target_routing", f"select {_TARGET} as target, count(*) as row_count from {LOG_E.sql} group by 1")

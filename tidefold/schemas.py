@@ -170,3 +170,6 @@ BRONZE_PARTITIONS = ["load_id", "target"]
 BRONZE_STORED_SCHEMA = T.StructType(
     BRONZE_FILE_SCHEMA.fields + [T.StructField(c, T.StringType(), True) for c in BRONZE_PARTITIONS]
 )
+# What stored rows hold besides: the user fields as a variant, which Spark shreds into typed columns.
+CDC_FIELDS = "_cdc_fields"
+BRONZE_TABLE_SCHEMA = T.StructType(BRONZE_STORED_SCHEMA.fields + [T.StructField(CDC_FIELDS, T.VariantType(), True)])
