@@ -51,6 +51,9 @@ STATE_SCHEMA = T.StructType(
     LOG_FILE_SCHEMA.fields + [T.StructField("kinds", T.StringType()), T.StructField("row_hash", T.LongType())]
 )
 _KEYS = ["component_key", "table_key", BUCKET]
+_WRITTEN_STATE = T.StructType([
+    *STATE_SCHEMA.fields, *[T.StructField(k, T.StringType()) for k in _KEYS[:2]], T.StructField(BUCKET, T.LongType())
+])
 
 _ENTRY = {
     "component_path": "string",
@@ -175,13 +178,14 @@ def _read_state(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return spark.read.schema(STATE_SCHEMA).parquet(*paths) if paths else spark.createDataFrame([], STATE_SCHEMA)
 
 
-def _described(events: DataFrame) -> DataFrame:
-    """Events with what their documents add to the description of a bucket."""
-    alive = (F.col("op") != DELETE) & F.col("document").isNotNull()
+def _described(state: DataFrame) -> DataFrame:
+    """A folded state in which new documents, too, have what they add to the description of their bucket."""
+    new = (F.col("op") != DELETE) & F.col("document").isNotNull() & F.col("row_hash").isNull()
     row_hash = F.xxhash64("document_id", "timestamp", "schema_fingerprint", "document")
-    return events.select(
-        *LOG_FILE_SCHEMA.fieldNames(), F.when(alive, document_kinds("document")).alias("kinds"), F.when(alive, row_hash).alias("row_hash")
-    )
+    return state.withColumns({
+        "kinds": F.when(new, document_kinds("document")).otherwise(F.col("kinds")),
+        "row_hash": F.when(new, row_hash).otherwise(F.col("row_hash")),
+    })
 
 
 def _with_buckets(rows: DataFrame, n_buckets: dict[tuple[str, str], int]) -> DataFrame:
@@ -191,15 +195,17 @@ def _with_buckets(rows: DataFrame, n_buckets: dict[tuple[str, str], int]) -> Dat
     return rows.join(F.broadcast(known), ["component_path", "table_name"]).withColumn(BUCKET, F.pmod(_slot(), F.col("n_buckets")))
 
 
-def write_state(stored: DataFrame, events: DataFrame, n_buckets: dict[tuple[str, str], int], path: str) -> None:
+def write_state(stored: DataFrame, events: DataFrame, n_buckets: dict[tuple[str, str], int], n_touched: int, path: str) -> None:
     """Fold events onto the stored rows of the touched buckets and write these buckets.
 
     The events are folded by themselves first, so a hot document is one row by then. All rows of a
-    bucket then meet in one exchange, which serves the fold and the write.
+    bucket then meet in one exchange, which serves the fold and the write. It is dealt to several
+    partitions a bucket, so few buckets seldom share one; adaptive execution leaves the number alone.
     """
-    changes = _described(fold_log(events))
-    rows = _with_buckets(stored.unionByName(changes), n_buckets).repartition("component_path", "table_name", BUCKET)
-    folded = latest_by(rows, ["component_path", "table_name", BUCKET, "document_id"], ORDERING)
+    fresh = fold_log(events).withColumns({"kinds": F.lit(None).cast("string"), "row_hash": F.lit(None).cast("long")})
+    n_partitions = max(n_touched, min(4 * n_touched, 256))
+    rows = _with_buckets(stored.unionByName(fresh), n_buckets).repartition(n_partitions, "component_path", "table_name", BUCKET)
+    folded = _described(latest_by(rows, ["component_path", "table_name", BUCKET, "document_id"], ORDERING))
     keyed = folded.select(
         *STATE_SCHEMA.fieldNames(), directory_key("component_path").alias("component_key"),
         directory_key("table_name").alias("table_key"), BUCKET,
@@ -207,20 +213,20 @@ def write_state(stored: DataFrame, events: DataFrame, n_buckets: dict[tuple[str,
     keyed.write.mode("overwrite").partitionBy(*_KEYS).parquet(path)
 
 
-def _summaries(state: DataFrame, n_buckets: dict[tuple[str, str], int]) -> DataFrame:
+def _summaries(state: DataFrame) -> DataFrame:
     """Per bucket of a written state: live rows, sum of their hashes, bytes of their documents."""
     alive = F.col("row_hash").isNotNull()
-    return _with_buckets(state, n_buckets).groupBy("component_path", "table_name", F.col(BUCKET).alias("bucket")).agg(
+    return state.groupBy("component_path", "table_name", F.col(BUCKET).alias("bucket")).agg(
         F.count("row_hash").alias("rows"),
         F.coalesce(F.sum(F.col("row_hash").cast("decimal(38,0)")), F.lit(0)).cast("decimal(38,0)").alias("hash_sum"),
         F.coalesce(F.sum(F.when(alive, F.octet_length("document"))), F.lit(0)).alias("bytes"),
     )
 
 
-def _write_fields(state: DataFrame, n_buckets: dict[tuple[str, str], int], path: str) -> None:
+def _write_fields(state: DataFrame, path: str) -> None:
     """Kinds of the fields in each bucket. Documents of like form have equal texts of kinds; each is read once."""
     keys = ["component_path", "table_name", "bucket"]
-    forms = _with_buckets(state.where("kinds IS NOT NULL"), n_buckets).select(*keys[:2], F.col(BUCKET).alias("bucket"), "kinds").distinct()
+    forms = state.where("kinds IS NOT NULL").select(*keys[:2], F.col(BUCKET).alias("bucket"), "kinds").distinct()
     fields = forms.select(*keys, F.explode(F.from_json("kinds", "map<string,int>")).alias("field", "flag"))
     fields.groupBy(*keys, "field").agg(F.bit_or("flag").alias("flags")).coalesce(1).write.mode("overwrite").parquet(path)
 
@@ -293,11 +299,10 @@ def materialise(
             ledger.parts[key] = {}
 
     state_path, fields_path = f"{root}/state/version={name}", f"{root}/fields/version={name}"
-    write_state(_read_state(spark, stored), fresh.select(*LOG_FILE_SCHEMA.fieldNames()), n_buckets, state_path)
-    state = _read_state(spark, [state_path])
-    summaries, _ = run_jobs(
-        spark, [_summaries(state, n_buckets).collect, lambda: _write_fields(state, n_buckets, fields_path)], threads
-    )
+    n_touched = sum(len({slot % n_buckets[key] for slot in slots}) for key, slots in touched.items())
+    write_state(_read_state(spark, stored), fresh.select(*LOG_FILE_SCHEMA.fieldNames()), n_buckets, n_touched, state_path)
+    state = spark.read.schema(_WRITTEN_STATE).parquet(state_path)
+    summaries, _ = run_jobs(spark, [_summaries(state).collect, lambda: _write_fields(state, fields_path)], threads)
     rewritten: dict[tuple[str, str], set[int]] = defaultdict(set)
     for row in summaries:
         part = {**row.asDict(), "state_version": name, "table_version": name if row["rows"] else None}
@@ -336,14 +341,14 @@ def materialise(
         ledger.loads[load] = loads.get(load, (0, 0, marks[load]))
     mode = INCREMENTAL if reusable else FULL_REBUILD
     _write_ledger(spark, root, ledger, mode)
-    n_touched = len(rewritten) if reusable else sum(ledger.tables[key]["rows"] > 0 for key in rewritten)
+    n_tables = len(rewritten) if reusable else sum(ledger.tables[key]["rows"] > 0 for key in rewritten)
     return StagingSummary(
         mode=mode,
         files_read=sum(batches for batches, _, _ in ledger.loads.values()),
         events_read=sum(events for _, events, _ in ledger.loads.values()),
         new_raw_files=sum(batches for batches, _, _ in loads.values()),
-        affected_tables=n_touched,
-        tables_materialized=n_touched,
+        affected_tables=n_tables,
+        tables_materialized=n_tables,
         rows_materialized=sum(ledger.tables[key]["rows"] for key in rewritten),
     )
 
