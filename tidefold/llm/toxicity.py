@@ -3,11 +3,12 @@
 The features of a text are the words, word pairs and pairs with one word between them that
 occur in it, hashed into a fixed number of coordinates. Training goes through a bounded sample
 of labelled rows, with a learning rate for each coordinate and an L1 penalty that leaves most
-coordinates at exactly zero. What is left is at most `DIMENSIONS` weights and is broadcast; every
-whole text of the table is scored where it lies, without a shuffle.
+coordinates at exactly zero. The others, at most `DIMENSIONS`, are broadcast as pairs of coordinate
+and weight; every whole text of the table is scored where it lies, without a shuffle.
 
-The sample is the `TRAINING_ROWS` labelled rows with the smallest hash of their identifier,
-rows held out (crc32 of the identifier as text modulo 5 is 0) excluded. Their features lie in a
+The sample is the `TRAINING_ROWS` labelled identifiers with the smallest hash, identifiers held out
+(crc32 of the identifier as text modulo 5 is 0) excluded, with one row each: of rows that share an
+identifier, the one with the smallest hash of its text. Their features lie in a
 file of the one training task, which reads it once an epoch, so its memory does not grow with the
 length of the texts. Labels are the only
 thing learnt from; identifier, language and source are no features.
@@ -106,9 +107,12 @@ def _training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: st
         .withColumn("order", F.xxhash64("learn_id"))
         .orderBy("order", "learn_id").limit(limit)
     )
-    # The limit bounds what is broadcast: `limit` rows of three numbers.
-    texts = docs.select(F.col(f"`{id_col}`").alias("text_id"), utf8(text_col).alias("body"))
-    joined = texts.join(F.broadcast(sample), F.col("text_id") == F.col("learn_id")).select("order", "label", "body")
+    # The limit bounds what is broadcast: `limit` rows of a few numbers.
+    texts = docs.select(F.col(f"`{id_col}`").alias("text_id"), utf8(text_col).alias("body"), F.xxhash64(utf8(text_col)).alias("tie"))
+    of_sample = texts.join(F.broadcast(sample), F.col("text_id") == F.col("learn_id"))
+    one_each = of_sample.groupBy("learn_id", "order", "label").agg(F.min("tie").alias("one")).withColumnRenamed("learn_id", "one_id")
+    joined = texts.join(F.broadcast(one_each), (F.col("text_id") == F.col("one_id")) & (F.col("tie") == F.col("one")))
+    joined = joined.select("order", "label", "body").dropDuplicates(["order"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -158,15 +162,15 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
 def toxicity_score(docs: DataFrame, model: pd.DataFrame, text_col: str = "text") -> Column:
     """Column of scores between 0 and 1 for the whole texts of `docs`."""
-    weights = np.zeros(DIMENSIONS)
     inner = model[model["feature"] >= 0]
-    weights[inner["feature"].to_numpy(np.int64)] = inner["weight"].to_numpy()
     bias = float(model.loc[model["feature"] == -1, "weight"].sum()) if len(model) else -np.inf
-    shared = docs.sparkSession.sparkContext.broadcast(weights)
+    shared = docs.sparkSession.sparkContext.broadcast((inner["feature"].to_numpy(np.int64), inner["weight"].to_numpy()))
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        w = shared.value
+        w = np.zeros(DIMENSIONS)
+        used, values = shared.value
+        w[used] = values
         sums = np.empty(len(texts))
         for i, text in enumerate(texts):
             at = features(text)
