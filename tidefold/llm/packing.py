@@ -3,8 +3,10 @@
 Documents become pieces of at most `capacity` tokens. Pieces are dealt by hash into groups of
 bounded expected size; each group is packed by best fit in decreasing order, then improved:
 while some bin is underfull, its pieces are moved to fuller bins, exchanged one for one with a
-smaller piece there, or two for one. Every step raises the sum of squared fills, and a bin that
-has been emptied is gone. The pieces of bins that stay underfull are dealt anew over coarser
+smaller piece there, or two for one. Pieces of one length do equally well, so the search goes over
+the distinct lengths of a bin, all of them, until no step is left. Every step raises the sum of
+squared fills, and a bin that has been emptied is gone. Pieces are dealt by their place in the
+written table as well, so rows that repeat an identifier spread over all groups. The pieces of bins that stay underfull are dealt anew over coarser
 groups in further rounds. The work of a task is bounded whatever the input's size; the loss is
 at most a bin or so a group of the last round.
 
@@ -16,6 +18,7 @@ no rows; other columns are ignored.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -85,33 +88,53 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     return bins
 
 
-def _better_exchange(lengths: list[int], source: list[int], target: list[int], room: int, heavier_by: int):
+def _by_length(lengths: list[int], items: list[int]) -> dict[int, list[int]]:
+    """Items of a bin by length, lengths in ascending order."""
+    found: dict[int, list[int]] = {}
+    for item in sorted(items, key=lengths.__getitem__):
+        found.setdefault(lengths[item], []).append(item)
+    return found
+
+
+def _better_exchange(source: dict[int, list[int]], target: dict[int, list[int]], room: int, heavier_by: int):
     """The step from `source` to `target` that fills most: (gain, items out of source, items out of target).
 
     A step counts if it raises the sum of squared fills: the target gains g tokens with
-    g > source fill - target fill, that is g + heavier_by > 0, and g fits into its room.
+    g > source fill - target fill, that is g + heavier_by > 0, and g fits into its room. For what
+    leaves the source, the shortest piece of the target that makes room fills most.
     """
-    best = (max(0, -heavier_by), None, None)
-    for a in source:
-        if best[0] < lengths[a] <= room:
-            best = (lengths[a], [a], [])
-        for b in target:
-            if best[0] < lengths[a] - lengths[b] <= room:
-                best = (lengths[a] - lengths[b], [a], [b])
-    for i, a in enumerate(source):
-        for other in source[i + 1:]:
-            for b in target:
-                if best[0] < lengths[a] + lengths[other] - lengths[b] <= room:
-                    best = (lengths[a] + lengths[other] - lengths[b], [a, other], [b])
+    least = max(0, -heavier_by)
+    best, theirs = (least, None, None), list(target)
+
+    def take(gain: int, out: list[int], back: list[int]) -> None:
+        nonlocal best
+        if best[0] < gain <= room:
+            best = (gain, out, back)
+
+    mine = list(source)
+    for i, a in enumerate(mine):
+        take(a, source[a][:1], [])
+        at = bisect_left(theirs, a - room)
+        if at < len(theirs):
+            take(a - theirs[at], source[a][:1], target[theirs[at]][:1])
+        if best[0] == room:
+            return best
+        for b in mine[i:]:
+            if a == b and len(source[a]) < 2:
+                continue
+            at = bisect_left(theirs, a + b - room)
+            if at < len(theirs) and best[0] < a + b - theirs[at] <= room:
+                take(a + b - theirs[at], [source[a][0], source[b][1 if a == b else 0]], target[theirs[at]][:1])
     return best
 
 
-def improve(lengths: list[int], bins: list[list[int]], capacity: int, sweeps: int = 4, pair_items: int = 24) -> list[list[int]]:
-    """Local search: empty the emptiest bins into the others by moves and exchanges."""
+def improve(lengths: list[int], bins: list[list[int]], capacity: int) -> list[list[int]]:
+    """Local search: empty the emptiest bins into the others by moves and exchanges, until none helps."""
     fills = [sum(lengths[i] for i in b) for b in bins]
     least = -(-sum(fills) // capacity)
-    live = len(bins)
-    for _ in range(sweeps):
+    live, changed = len(bins), True
+    known = [_by_length(lengths, b) for b in bins]
+    while changed and live > least:
         changed = False
         for source in sorted(range(len(bins)), key=fills.__getitem__):
             if live <= least:
@@ -123,20 +146,17 @@ def improve(lengths: list[int], bins: list[list[int]], capacity: int, sweeps: in
                 if not bins[source]:
                     break
                 while bins[source] and fills[target] < capacity:
-                    gain, out, back = _better_exchange(
-                        lengths, bins[source][:pair_items], bins[target][:pair_items], capacity - fills[target], fills[target] - fills[source]
-                    )
+                    gain, out, back = _better_exchange(known[source], known[target], capacity - fills[target], fills[target] - fills[source])
                     if out is None:
                         break
                     bins[source] = [i for i in bins[source] if i not in out] + back
                     bins[target] = [i for i in bins[target] if i not in back] + out
+                    known[source], known[target] = _by_length(lengths, bins[source]), _by_length(lengths, bins[target])
                     fills[source] -= gain
                     fills[target] += gain
                     changed = True
             if not bins[source]:
                 live -= 1
-        if live <= least or not changed:
-            break
     return [b for b in bins if b]
 
 
@@ -149,7 +169,7 @@ def _pack_groups(parts: DataFrame, round_no: int, capacity: int, group_pieces: i
     """Pack each hash group; sequence ids are unique over groups and rounds."""
 
     def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        group = group.select(_PIECE_NAMES).sort_by([(name, "ascending") for name in ("length", "doc_id", "piece", "start")])
+        group = group.select([*_PIECE_NAMES, "row"]).sort_by([(name, "ascending") for name in ("length", "doc_id", "piece", "start", "row")])
         lengths = group.column("length").to_pylist()
         sequence = np.empty(len(lengths), np.int64)
         offset = np.empty(len(lengths), np.int64)
@@ -162,25 +182,26 @@ def _pack_groups(parts: DataFrame, round_no: int, capacity: int, group_pieces: i
         return group.append_column("sequence_id", pa.array(sequence + base)).append_column("offset", pa.array(offset))
 
     groups = max(1, -(-parts.count() // group_pieces))
-    dealt = parts.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece", F.lit(round_no)), F.lit(groups)))
-    schema = f"{_PIECE_DDL}, sequence_id long, offset long"
-    return dealt.select(*_PIECE_NAMES, "part").groupBy("part").applyInArrow(run, schema)
+    dealt = parts.withColumn("part", F.pmod(F.xxhash64("row", F.lit(round_no)), F.lit(groups)))
+    schema = f"{_PIECE_DDL}, row long, sequence_id long, offset long"
+    return dealt.select(*_PIECE_NAMES, "row", "part").groupBy("part").applyInArrow(run, schema)
 
 
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
          capacity: int = CAPACITY, end_id: int = END_ID, group_pieces: int = GROUP_PIECES, rounds: int = ROUNDS) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    cut = materialise(pieces(docs, tokenizer_path, id_col, text_col, capacity, end_id), "pack-pieces")
+    numbered = pieces(docs, tokenizer_path, id_col, text_col, capacity, end_id).withColumn("row", F.monotonically_increasing_id())
+    cut = materialise(numbered, "pack-pieces")
     names = [*_PIECE_NAMES, "sequence_id", "offset"]
     full = cut.where(F.col("length") == capacity)
     done = full.withColumn("sequence_id", -1 - F.monotonically_increasing_id()).withColumn("offset", F.lit(0).cast("long")).select(names)
     rest = cut.where(F.col("length") < capacity)
     for round_no in range(rounds):
-        packed = materialise(_pack_groups(rest, round_no, capacity, group_pieces), "pack-round").select(names)
+        packed = materialise(_pack_groups(rest, round_no, capacity, group_pieces), "pack-round")
         if round_no == rounds - 1:
-            return done.union(packed)
+            return done.union(packed.select(names))
         filled = packed.withColumn("fill", F.sum("length").over(W.partitionBy("sequence_id")))
         filled = materialise(filled, "pack-filled")
         done = done.union(filled.where(F.col("fill") >= capacity * UNDERFULL).select(names))
-        rest = filled.where(F.col("fill") < capacity * UNDERFULL).select(_PIECE_NAMES)
+        rest = filled.where(F.col("fill") < capacity * UNDERFULL).select(*_PIECE_NAMES, "row")
     return done
