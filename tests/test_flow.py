@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import glob
 import json
 import os
 
 import pytest
 from pyspark.sql import functions as F
 
+from tidefold.operators.checkpoints import resume_checkpoint
 from tidefold.operators.infer import project_bronze
 from tidefold.operators.select import required_flow_tables
 from tidefold.plans import publish as publish_plan
@@ -355,3 +357,27 @@ def test_views_are_registered_with_their_times(spark, tmp_path, landing):
         register_published_views(spark, paths.bucket, "x", locations=allowed.withColumn("url", F.lit("s3://elsewhere")))
     with pytest.raises(ValueError, match="no bronze table"):
         required_flow_tables(list_tables(spark))
+
+
+def test_deltas_that_come_first_are_parked(spark, tmp_path, landing):
+    """Deltas land and are streamed before the snapshot, some of them again after a restart; the result equals batch."""
+    log, streamed, control, parked = (str(tmp_path / n) for n in ("log", "streamed", "control", "parked"))
+    catalog = save_catalog(spark, landing, log)
+    early = [log_sink(streamed), catalog, f"{control}2", "s1"]
+    for attempt in ("cp-delta", "cp-delta", "cp-other"):
+        stream_deltas(spark, landing, *early, str(tmp_path / attempt), parked=parked)
+    assert read_history(spark, f"{control}2").count() == 0
+    assert len(glob.glob(f"{parked}/*/batch=*/_SUCCESS")) == 4
+    pages = stream_pages(spark, f"{landing}/snapshot", "snapshot", max_files=1)
+    stream_ingest.start(pages, "snapshot", *early, "r1", str(tmp_path / "cp-snapshot"), parked=parked).awaitTermination()
+    assert glob.glob(f"{parked}/*/batch=*") == []
+    sync_once(spark, landing, log_sink(log), catalog, control, "s1", "r1")
+    batch = set(map(str, read_log(spark, log).drop("load_id").collect()))
+    assert set(map(str, read_log(spark, streamed).drop("load_id").collect())) == batch
+    ends = [resume_checkpoint(read_history(spark, c), "s1").first()["delta_cursor"] for c in (control, f"{control}2")]
+    assert ends[0] == ends[1]
+    # Later deltas are written as they come.
+    land(f"{landing}/deltas", "late.json", [doc("n1", 300)], False, 300)
+    stream_deltas(spark, landing, *early, str(tmp_path / "cp-delta"), parked=parked)
+    assert resume_checkpoint(read_history(spark, f"{control}2"), "s1").first()["delta_cursor"] == 300
+    assert glob.glob(f"{parked}/*/batch=*") == []

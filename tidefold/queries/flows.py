@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidefold.functions.names import logical_name
 from tidefold.operators.fold import fold_log, live
-from tidefold.operators.select import select_flow_tables, unprocessed
+from tidefold.operators.select import required_flow_tables, unprocessed
 from tidefold.plans.ingest import Sink, bronze_sink, log_sink, sync_once
 from tidefold.plans.monitoring import count_tables, table_row_counts
 from tidefold.plans.publish import manifests_path, publish, register_published_views
@@ -281,6 +281,18 @@ def streaming_ingest(spark, sf_dir):
     return _logged(spark, log)
 
 
+@query("str3_deltas_before_snapshot", _LOGGED)
+def deltas_before_snapshot(spark, sf_dir):
+    """The stream of deltas runs first; its batches are parked until the snapshot is complete."""
+    landing, log, control = _landing(spark, sf_dir), scratch_path(spark, "log"), scratch_path(spark, "control")
+    catalog, parked = spark.createDataFrame([], CATALOG_SCHEMA), scratch_path(spark, "parked")
+    for kind, folder in ((DELTA, "deltas"), (SNAPSHOT, "snapshot")):
+        pages = stream_pages(spark, f"{landing}/{folder}", kind, max_files=12)
+        checkpoint = scratch_path(spark, "stream")
+        stream_ingest.start(pages, kind, log_sink(log), catalog, control, "s1", "r1", checkpoint, parked=parked).awaitTermination()
+    return _logged(spark, log)
+
+
 # --- change log -------------------------------------------------------------------------------
 
 
@@ -664,7 +676,7 @@ def flows_per_table(spark, sf_dir):
     rows = current.current(spark)
     listing = rows.select(F.col("target").alias("table_name")).distinct().withColumn("table_type", F.lit("MANAGED"))
     excluded = spark.createDataFrame([("src__workflow__users__cdc",)], "table_name string")
-    flows = select_flow_tables(listing, exclude=excluded).select("table_name", "target_table")
+    flows = required_flow_tables(listing, exclude=excluded).select("table_name", "target_table")
     counted = silver.silver_counts(rows).join(flows, "table_name")
     return counted.select("target_table", "row_count")
 
