@@ -26,7 +26,7 @@ from tidefold.sources.manifest import latest_manifest
 from tidefold.sources.pages import read_pages, stream_pages
 from tidefold.sources.views import list_tables, quoted
 from tidefold.streaming import ingest as stream_ingest
-from tidefold.streaming import silver
+from tidefold.streaming import keyed, silver
 
 
 def doc(identifier, ts, table="users", component="", deleted=False, **fields):
@@ -381,3 +381,28 @@ def test_deltas_that_come_first_are_parked(spark, tmp_path, landing):
     stream_deltas(spark, landing, *early, str(tmp_path / "cp-delta"), parked=parked)
     assert resume_checkpoint(read_history(spark, f"{control}2"), "s1").first()["delta_cursor"] == 300
     assert glob.glob(f"{parked}/*/batch=*") == []
+
+
+def test_keyed_state_applies_late_and_repeated_changes(spark, tmp_path):
+    def changes(name, rows):
+        made = [("t", "", "users", d, ts, batch, at, doc is None, doc) for d, ts, batch, at, doc in rows]
+        spark.createDataFrame(made, keyed.CHANGE_SCHEMA).coalesce(1).write.parquet(f"{tmp_path}/in/{name}")
+
+    def run():
+        stream = spark.readStream.schema(keyed.CHANGE_SCHEMA).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1)
+        keyed.start(stream.parquet(f"{tmp_path}/in"), str(tmp_path / "cp"), str(tmp_path / "feed")).awaitTermination()
+        return {r["document_id"]: r["document"] for r in keyed.current(spark, str(tmp_path / "cp")).collect()}
+
+    provider = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    changes("1", [("a", 5, "b", 0, "five"), ("b", 5, "b", 1, "B"), ("c", 1, "b", 2, "C"), ("a", 4, "b", 3, "four")])
+    changes("2", [("b", 9, "c", 0, None), ("a", 5, "b", 0, "five")])
+    assert run() == {"a": "five", "c": "C"}
+    # After a restart: a late change behind a tombstone, ties by batch and position, a document that comes back.
+    changes("3", [("b", 7, "d", 0, "late"), ("a", 5, "b", 1, "tie"), ("c", 2, "d", 0, None), ("d", 1, "d", 0, "new")])
+    assert run() == {"a": "tie", "d": "new"}
+    changes("4", [("b", 10, "e", 0, "again")])
+    assert run() == {"a": "tie", "b": "again", "d": "new"}
+    feed = spark.read.parquet(str(tmp_path / "feed"))
+    assert feed.where("document_id = 'b'").count() == 3 and feed.where("document = 'late'").count() == 0
+    assert keyed.entries(spark, str(tmp_path / "cp")).where("deleted").count() == 1
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == provider

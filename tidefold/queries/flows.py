@@ -38,7 +38,7 @@ from tidefold.sources.manifest import latest_manifest
 from tidefold.sources.pages import DELTA, SNAPSHOT, documents, page_summary, read_pages, stream_pages
 from tidefold.sources.views import list_tables, register_parquet_view
 from tidefold.streaming import ingest as stream_ingest
-from tidefold.streaming import silver
+from tidefold.streaming import keyed, silver
 
 # --- landed pages -------------------------------------------------------------------------
 # Views and sign-ups are the initial snapshot, everything else arrives as deltas; a page
@@ -632,6 +632,21 @@ def streaming_apply_changes(spark, sf_dir):
     return rows.select("target", CDC_DOCUMENT_ID, F.col("_cdc_raw_document_json").alias("document"))
 
 
+@query(
+    "str1_keyed_state",
+    f"select {_TARGET} as target, document_id as _cdc_document_id, document from {live_sql(LOG_E.sql)}",
+)
+def keyed_state(spark, sf_dir):
+    """The same changes applied to a state store, several files at a time and over a restart."""
+    root, checkpoint, feed = (scratch_path(spark, name) for name in ("bronze", "stream", "feed"))
+    events = log_rows(LOG_E, spark, sf_dir).withColumn("creation_time", F.lit(None).cast("double"))
+    for odd in (1, 0):
+        append_bronze(events.where(F.col("position") % 2 == odd), root, str(odd), "s1", "r1")
+        changes = keyed.keyed_changes(stream_bronze_rows(spark, root, max_files=4))
+        keyed.start(changes, checkpoint, feed).awaitTermination()
+    return keyed.current(spark, checkpoint).select("target", F.col("document_id").alias(CDC_DOCUMENT_ID), "document")
+
+
 @query(
     "snk11_silver_table",
     f"""select {_TARGET} as target, document_id as _cdc_document_id, cast(json_extract(document, '$.k') as bigint) as k
