@@ -26,7 +26,7 @@ from tidefold.sources.manifest import latest_manifest
 from tidefold.sources.pages import read_pages, stream_pages
 from tidefold.sources.views import list_tables, quoted
 from tidefold.streaming import ingest as stream_ingest
-from tidefold.streaming import keyed, silver
+from tidefold.streaming import flows, keyed, silver
 
 
 def doc(identifier, ts, table="users", component="", deleted=False, **fields):
@@ -406,3 +406,40 @@ def test_keyed_state_applies_late_and_repeated_changes(spark, tmp_path):
     assert feed.where("document_id = 'b'").count() == 3 and feed.where("document = 'late'").count() == 0
     assert keyed.entries(spark, str(tmp_path / "cp")).where("deleted").count() == 1
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == provider
+
+
+def test_queries_follow_the_selection(spark, tmp_path):
+    bronze, root = str(tmp_path / "bronze"), str(tmp_path / "flows")
+    kinds = "component_path string, table_name string, document_id string, timestamp long, op string, schema_fingerprint string, " \
+            "document string, batch string, position long, creation_time double"
+
+    def load(name, *rows):
+        made = [("", table, d, ts, "upsert" if doc else "delete", None, doc, "b", i, None) for i, (table, d, ts, doc) in enumerate(rows)]
+        append_bronze(spark.createDataFrame(made, kinds), bronze, name, "s", "r")
+
+    def select(*tables):
+        names = [(f"src__app__{t}__cdc", f"autocdc_{t}") for t in tables]
+        return spark.createDataFrame(names, "table_name string, flow_name string")
+
+    def have(table):
+        rows = flows.flow_table(root, f"autocdc_{table}").current(spark)
+        return {} if rows is None else {r["_cdc_document_id"]: r["_cdc_raw_document_json"] for r in rows.collect()}
+
+    load("1", ("a", "x", 1, "one"), ("b", "x", 1, "one"))
+    live = flows.sync_flows(spark, select("a", "b"), bronze, root, continuous_every="1 second")
+    assert sorted(live) == ["autocdc_a", "autocdc_b"] == sorted(flows.running(spark, root))
+    for query in live.values():
+        query.processAllAvailable()
+    assert have("a") == have("b") == {"x": "one"}
+    # Not selected any more: its query stops, the other one stays the same query.
+    assert flows.sync_flows(spark, select("a"), bronze, root, continuous_every="1 second") == {}
+    assert list(flows.running(spark, root)) == ["autocdc_a"] and not live["autocdc_b"].isActive and live["autocdc_a"].isActive
+    load("2", ("a", "y", 2, "two"), ("b", "x", 3, None), ("b", "y", 2, "two"))
+    live["autocdc_a"].processAllAvailable()
+    assert have("a") == {"x": "one", "y": "two"} and have("b") == {"x": "one"}
+    flows.sync_flows(spark, select(), bronze, root)
+    assert flows.running(spark, root) == {}
+    # Selected again, it goes on where it stopped.
+    (again,) = flows.sync_flows(spark, select("b"), bronze, root).values()
+    again.awaitTermination()
+    assert have("b") == {"y": "two"} and spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None

@@ -38,7 +38,7 @@ from tidefold.sources.manifest import latest_manifest
 from tidefold.sources.pages import DELTA, SNAPSHOT, documents, page_summary, read_pages, stream_pages
 from tidefold.sources.views import list_tables, register_parquet_view
 from tidefold.streaming import ingest as stream_ingest
-from tidefold.streaming import keyed, silver
+from tidefold.streaming import flows, keyed, silver
 
 # --- landed pages -------------------------------------------------------------------------
 # Views and sign-ups are the initial snapshot, everything else arrives as deltas; a page
@@ -691,11 +691,35 @@ def flows_per_table(spark, sf_dir):
     rows = current.current(spark)
     listing = rows.select(F.col("target").alias("table_name")).distinct().withColumn("table_type", F.lit("MANAGED"))
     excluded = spark.createDataFrame([("src__workflow__users__cdc",)], "table_name string")
-    flows = required_flow_tables(listing, exclude=excluded).select("table_name", "target_table")
-    counted = silver.silver_counts(rows).join(flows, "table_name")
+    selected = required_flow_tables(listing, exclude=excluded).select("table_name", "target_table")
+    counted = silver.silver_counts(rows).join(selected, "table_name")
     return counted.select("target_table", "row_count")
 
 
+@query(
+    "str11_one_query_per_flow",
+    f"""select regexp_replace({_TARGET}, '__cdc$', '') as target_table, document_id as _cdc_document_id, document from {live_sql(LOG_E.sql)}""",
+)
+def one_query_per_flow(spark, sf_dir):
+    """A query for each selected table; one table is excluded at first and catches up when it is selected."""
+    bronze, root = scratch_path(spark, "bronze"), scratch_path(spark, "flows")
+    events = log_rows(LOG_E, spark, sf_dir).withColumn("creation_time", F.lit(None).cast("double"))
+    excluded = spark.createDataFrame([("src__workflow__users__cdc",)], "table_name string")
+    for odd, exclude in ((1, excluded), (0, None)):
+        append_bronze(events.where(F.col("position") % 2 == odd), bronze, str(odd), "s1", "r1")
+        listing = routed_counts(read_bronze_rows(spark, bronze)).select(F.col("target").alias("table_name"), F.lit("MANAGED").alias("table_type"))
+        selected = required_flow_tables(listing, exclude=exclude)
+        for flow in flows.sync_flows(spark, selected, bronze, root).values():
+            flow.awaitTermination()
+    tables = [
+        flows.flow_table(root, row["flow_name"]).current(spark).select(
+            F.lit(row["target_table"]).alias("target_table"), CDC_DOCUMENT_ID, F.col("_cdc_raw_document_json").alias("document")
+        )
+        for row in selected.orderBy("table_name").collect()
+    ]
+    return reduce(DataFrame.unionByName, tables)
+
+
 @query(
     "mon5_layer_row_counts",
     f"""select b.logical_table, bronze_row_count, silver_row_count from

@@ -156,7 +156,8 @@ class ChangeTable:
 
 
 def start(
-    changes: DataFrame, table: ChangeTable, checkpoint: str, continuous_every: str | None = None, compact: bool = True
+    changes: DataFrame, table: ChangeTable, checkpoint: str, continuous_every: str | None = None, compact: bool = True,
+    name: str | None = None,
 ) -> StreamingQuery:
     """Apply a stream of changes to a table.
 
@@ -170,6 +171,8 @@ def start(
             table.compact(batch.sparkSession)
 
     writer = changes.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    if name is not None:
+        writer = writer.queryName(name)
     if continuous_every is None:
         return writer.trigger(availableNow=True).start()
     return writer.trigger(processingTime=continuous_every).start()
