@@ -6,11 +6,13 @@ import math
 import random
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidefold.llm.packing import _pack_groups, pack_lengths
+from tidefold.llm.token_scan import token_counts
 from tidefold.llm.toxicity import ALPHA, BETA, L1, L2, _training_rows, train_ftrl
 
 
@@ -104,3 +106,9 @@ def test_repeated_rows_spread_over_all_groups(spark):
     packed = _pack_groups(parts, 0, 2048, 1000)
     sizes = [r["count"] for r in packed.groupBy(F.shiftright("sequence_id", 28).alias("g")).count().collect()]
     assert len(sizes) == 20 and sum(sizes) == 20_000 and max(sizes) < 1500
+
+
+def test_ids_wider_than_their_files_are_an_error(odd_docs, word_bpe):
+    with pytest.raises(Exception, match="does not fit into 1 bytes"):
+        token_counts(odd_docs, word_bpe, 0, id_bytes=1).collect()
+    assert token_counts(odd_docs, word_bpe, 49407, id_bytes=4).count() == odd_docs.count()

@@ -8,7 +8,8 @@ before a block, and the place of the last end before it, follow from one small r
 
 Defined cases: ids after the last end of a stream are one more document with `ended` false; a
 document may be empty; an empty file or folder gives no rows. The writer counts a null text as
-empty, keeps rows that repeat an identifier one by one, and ignores other columns.
+empty, keeps rows that repeat an identifier one by one, and ignores other columns; an id that is
+wider than the files' ids is an error.
 """
 
 from __future__ import annotations
@@ -56,6 +57,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
         for batch in batches:
             for text in batch.column(1):
                 ids = np.frombuffer(tokens.encode(text.as_py()), "<u4")
+                if int(ids.max(initial=0)) >> 8 * id_bytes:
+                    raise ValueError(f"token id {ids.max()} does not fit into {id_bytes} bytes; write wider ids")
                 pending += ids.astype(f"<u{id_bytes}").tobytes() + end
                 while len(pending) >= file_bytes:
                     flush(file_bytes)
