@@ -530,8 +530,8 @@ def service_round(spark, sf_dir):
     run_round(spark, paths, "s1", "r1")
     again = run_round(spark, paths, "s1", "r2", 2)
     assert again.publish is None and again.sync.events_written == 0
-    tables = staging_tables(spark, paths.staging)
-    return spark.createDataFrame([(t["relative_path"], t["rows"]) for t in tables], "relative_path string, row_count bigint")
+    tables = {entry["relative_path"]: read_table(spark, entry) for entry in staging_tables(spark, paths.staging)}
+    return count_tables(spark, tables).withColumnRenamed("table_name", "relative_path")
 
 
 # --- bronze and silver ------------------------------------------------------------------------
