@@ -103,29 +103,26 @@ def _better_exchange(source: dict[int, list[int]], target: dict[int, list[int]],
     g > source fill - target fill, that is g + heavier_by > 0, and g fits into its room. For what
     leaves the source, the shortest piece of the target that makes room fills most.
     """
-    least = max(0, -heavier_by)
-    best, theirs = (least, None, None), list(target)
-
-    def take(gain: int, out: list[int], back: list[int]) -> None:
-        nonlocal best
-        if best[0] < gain <= room:
-            best = (gain, out, back)
-
-    mine = list(source)
+    gain, out, back = max(0, -heavier_by), None, None
+    mine, theirs = list(source), list(target)
+    longest = theirs[-1]
     for i, a in enumerate(mine):
-        take(a, source[a][:1], [])
+        if a - longest > room:
+            break  # nor does any longer piece find its place
+        if gain < a <= room:
+            gain, out, back = a, source[a][:1], []
         at = bisect_left(theirs, a - room)
-        if at < len(theirs):
-            take(a - theirs[at], source[a][:1], target[theirs[at]][:1])
-        if best[0] == room:
-            return best
-        for b in mine[i:]:
-            if a == b and len(source[a]) < 2:
-                continue
-            at = bisect_left(theirs, a + b - room)
-            if at < len(theirs) and best[0] < a + b - theirs[at] <= room:
-                take(a + b - theirs[at], [source[a][0], source[b][1 if a == b else 0]], target[theirs[at]][:1])
-    return best
+        if at < len(theirs) and gain < a - theirs[at]:
+            gain, out, back = a - theirs[at], source[a][:1], target[theirs[at]][:1]
+        for b in mine[i + (len(source[a]) < 2):]:
+            if gain == room or a + b - longest > room:
+                break
+            left = a + b - theirs[bisect_left(theirs, a + b - room)]
+            if gain < left:
+                gain, out, back = left, [source[a][0], source[b][a == b]], target[a + b - left][:1]
+        if gain == room:
+            break
+    return gain, out, back
 
 
 def improve(lengths: list[int], bins: list[list[int]], capacity: int) -> list[list[int]]:
@@ -133,7 +130,8 @@ def improve(lengths: list[int], bins: list[list[int]], capacity: int) -> list[li
     fills = [sum(lengths[i] for i in b) for b in bins]
     least = -(-sum(fills) // capacity)
     live, changed = len(bins), True
-    known = [_by_length(lengths, b) for b in bins]
+    known, version = [_by_length(lengths, b) for b in bins], [0] * len(bins)
+    tried: dict[tuple[int, int], tuple[int, int]] = {}  # pairs without a step, as long as neither bin changes
     while changed and live > least:
         changed = False
         for source in sorted(range(len(bins)), key=fills.__getitem__):
@@ -145,10 +143,15 @@ def improve(lengths: list[int], bins: list[list[int]], capacity: int) -> list[li
             for target in targets:
                 if not bins[source]:
                     break
+                if tried.get((source, target)) == (version[source], version[target]):
+                    continue
                 while bins[source] and fills[target] < capacity:
                     gain, out, back = _better_exchange(known[source], known[target], capacity - fills[target], fills[target] - fills[source])
                     if out is None:
+                        tried[source, target] = (version[source], version[target])
                         break
+                    version[source] += 1
+                    version[target] += 1
                     bins[source] = [i for i in bins[source] if i not in out] + back
                     bins[target] = [i for i in bins[target] if i not in back] + out
                     known[source], known[target] = _by_length(lengths, bins[source]), _by_length(lengths, bins[target])
