@@ -166,11 +166,11 @@ def sync_once(
 
 
 def _snapshot_position(spark: SparkSession, folder: str, control: str, at: Row) -> str:
-    """File of the page that led to a snapshot checkpoint."""
+    """Place of the page that led to a snapshot checkpoint."""
     index = index_path(control, folder, SNAPSHOT)
     refresh_index(spark, folder, SNAPSHOT, index)
     same = (F.col("snapshot") == at["snapshot_ts"]) & (F.col("cursor") == at["snapshot_cursor"])
-    page = read_index(spark, index, SNAPSHOT).where(same & F.col("has_more")).agg(F.max("page_file").alias("page_file")).first()
-    if page["page_file"] is None:
+    page = read_index(spark, index, SNAPSHOT).where(same & F.col("has_more")).agg(F.max("place").alias("place")).first()
+    if page["place"] is None:
         raise ValueError(f"no landed page has the snapshot cursor {at['snapshot_cursor']!r}")
-    return page["page_file"]
+    return page["place"]

@@ -53,10 +53,11 @@ _PAGED = f"""(select event_id, event_type, user_id, {_KIND} as kind, event_id //
     event_id // 200 = max(event_id // 200) over (partition by {_KIND}) as last,
     row_number() over (partition by {_KIND}, event_id // 200 order by event_id) - 1 as position, {_DOC_DUCK} as value from events)"""
 _FIRST_DELTA = 1001
+_PAGES_A_FILE = 512
 
 
 def land_pages(spark, sf_dir, path: str) -> str:
-    """Write the events as page files, one page per file."""
+    """Write the events as pages, up to `_PAGES_A_FILE` consecutive ones a file, so files grow with the bytes."""
     docs = table(spark, sf_dir, "events").selectExpr(
         f"{_KIND} as kind", "event_id div 200 as page", "event_id", f"{_DOC_SPARK} as value"
     )
@@ -68,15 +69,14 @@ def land_pages(spark, sf_dir, path: str) -> str:
     closing = F.when(
         F.col("kind") == SNAPSHOT,
         F.concat(
-            F.lit(',"snapshot":1000,"cursor":'),
+            F.lit(',"snapshot":1000,"sequence":'), F.col("page").cast("string"), F.lit(',"cursor":'),
             F.when(more == "true", F.concat(F.lit('"c'), F.col("page").cast("string"), F.lit('"'))).otherwise("null"),
         ),
     ).otherwise(F.concat(F.lit(',"cursor":'), (F.col("page") + _FIRST_DELTA).cast("string")))
-    text = pages.join(last, "kind").select(
-        "kind", F.lpad(F.col("page").cast("string"), 10, "0").alias("page"), F.concat(values, closing, F.lit("}")).alias("value")
-    )
-    text.where(F.col("kind") == SNAPSHOT).drop("kind").write.partitionBy("page").text(f"{path}/snapshot")
-    text.where(F.col("kind") == DELTA).drop("kind").write.partitionBy("page").text(f"{path}/deltas")
+    text = pages.join(last, "kind").select("kind", "page", F.concat(values, closing, F.lit("}")).alias("value"))
+    for kind, folder in ((SNAPSHOT, "snapshot"), (DELTA, "deltas")):
+        ordered = text.where(F.col("kind") == kind).repartitionByRange("page").sortWithinPartitions("page")
+        ordered.select("value").write.option("maxRecordsPerFile", _PAGES_A_FILE).text(f"{path}/{folder}")
     return path
 
 

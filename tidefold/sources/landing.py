@@ -19,11 +19,11 @@ from pyspark.sql import functions as F
 
 from tidefold.operators.select import unprocessed
 from tidefold.session import glob_escaped, path_exists
-from tidefold.sources.pages import DELTA, PAGE_ORDER, pages_after, plain_file, read_pages
+from tidefold.sources.pages import DELTA, PAGE_ORDER, SNAPSHOT, pages_after, place_of, plain_file, read_pages
 
 _HEADER = {
     DELTA: "page_file string, has_more boolean, cursor bigint, events bigint",
-    "snapshot": "page_file string, has_more boolean, snapshot bigint, cursor string, events bigint",
+    SNAPSHOT: "page_file string, has_more boolean, snapshot bigint, cursor string, events bigint, place string",
 }
 
 
@@ -44,7 +44,11 @@ def read_index(spark: SparkSession, path: str, kind: str) -> DataFrame:
         return spark.createDataFrame([], _HEADER[kind])
     rows = spark.read.schema(f"{_HEADER[kind]}, refresh string").parquet(path)
     one = rows.withColumn("first", F.min("refresh").over(Window.partitionBy("page_file")))
-    return one.where("refresh = first").drop("refresh", "first")
+    one = one.where("refresh = first").drop("refresh", "first")
+    if kind == SNAPSHOT:
+        # An index from before pages could share files has no places.
+        one = one.withColumn("place", F.coalesce("place", place_of("page_file", F.lit(0))))
+    return one
 
 
 def _read_files(spark: SparkSession, folder: str, kind: str, files: Sequence[str], n_listed: int) -> DataFrame:

@@ -1,8 +1,8 @@
 """Landed page envelopes: snapshot pages and delta pages, batch or stream.
 
-A page is one JSON object. Snapshot pages land one per file, in path order; delta pages
-carry their own order and may share files, one per line. Document values are read as raw
-text, so numbers keep the form they were sent in.
+A page is one JSON object. Snapshot pages come in path order; those that share a file, one per
+line, are numbered by `sequence`, from 0. Delta pages carry their own order and may share files,
+too. Document values are read as raw text, so numbers keep the form they were sent in.
 """
 
 from __future__ import annotations
@@ -15,33 +15,39 @@ from pyspark.sql import functions as F
 from tidefold.functions.names import batch_name
 from tidefold.schemas import DELTA_TAIL, INITIAL_SNAPSHOT
 
-SNAPSHOT_ENVELOPE = "values array<string>, hasMore boolean, snapshot bigint, cursor string"
+SNAPSHOT_ENVELOPE = "values array<string>, hasMore boolean, snapshot bigint, cursor string, sequence bigint"
 DELTA_ENVELOPE = "values array<string>, hasMore boolean, cursor bigint"
 
 SNAPSHOT, DELTA = "snapshot", "delta"
 _ENVELOPES = {SNAPSHOT: SNAPSHOT_ENVELOPE, DELTA: DELTA_ENVELOPE}
-# Snapshot pages carry an opaque cursor, so landing order (the file path) is their order;
-# delta cursors are ordered themselves.
-PAGE_ORDER = {SNAPSHOT: "page_file", DELTA: "cursor"}
+# Snapshot pages carry an opaque cursor, so landing order (the file path and the number in it) is
+# their order; delta cursors are ordered themselves.
+PAGE_ORDER = {SNAPSHOT: "place", DELTA: "cursor"}
 
 
 def read_pages(spark: SparkSession, path: str | Sequence[str], kind: str, multi_line: bool = False) -> DataFrame:
-    """One row per page of a folder or of listed files: values, has_more, cursor, page_file, and snapshot for snapshot pages.
+    """One row per page of a folder or of listed files: values, has_more, cursor, page_file; snapshot and place for snapshot pages.
 
     A page that is not the JSON it should be fails the job.
     """
     reader = spark.read.schema(_ENVELOPES[kind]).option("mode", "FAILFAST").option("multiLine", multi_line)
-    return _named(reader.option("recursiveFileLookup", True).json(path))
+    return _named(reader.option("recursiveFileLookup", True).json(path), kind)
 
 
 def stream_pages(spark: SparkSession, path: str, kind: str, max_files: int = 100) -> DataFrame:
     """The same rows as a stream that picks up newly landed files."""
     reader = spark.readStream.schema(_ENVELOPES[kind]).option("mode", "FAILFAST").option("recursiveFileLookup", True)
-    return _named(reader.option("maxFilesPerTrigger", max_files).json(path))
+    return _named(reader.option("maxFilesPerTrigger", max_files).json(path), kind)
 
 
-def _named(pages: DataFrame) -> DataFrame:
-    return pages.withColumn("page_file", plain_file("_metadata.file_path")).withColumnRenamed("hasMore", "has_more")
+def _named(pages: DataFrame, kind: str) -> DataFrame:
+    named = pages.withColumn("page_file", plain_file("_metadata.file_path")).withColumnRenamed("hasMore", "has_more")
+    return named if kind == DELTA else named.withColumn("place", place_of("page_file", F.col("sequence"))).drop("sequence")
+
+
+def place_of(page_file: str, sequence: Column) -> Column:
+    """Text that sorts as the file and the number in it do: no character of a file's URI comes before the blank."""
+    return F.concat(page_file, F.lit(" "), F.lpad(F.coalesce(sequence, F.lit(0)).cast("string"), 19, "0"))
 
 
 def plain_file(name: str) -> Column:
