@@ -427,7 +427,8 @@ def one_changed_document(spark, sf_dir):
 )
 def materialise_summary(spark, sf_dir):
     log, root = scratch_path(spark, "log"), scratch_path(spark, "staging")
-    events = LOG_L.frame(spark, sf_dir).withColumn("batch", F.concat(F.col("op")))
+    # One batch a load; of changes at the same time the delete comes last, as in the log.
+    events = LOG_L.frame(spark, sf_dir).withColumn("batch", F.when(F.col("op") == "delete", "R").otherwise("N"))
     ordered = events.withColumn("position", F.xxhash64("document", "position"))
     for op in ("delete", "upsert"):
         write_load(ordered.where(F.col("op") == op), log, op)
