@@ -115,25 +115,39 @@ def schema_field_flags(catalog: DataFrame) -> DataFrame:
     """Flags that a JSON-schema catalog seeds: (table_name, field, flags).
 
     Kinds join as a lattice, so a union is the `or` of its branches however they nest. A node
-    says what it is by its `type`, else by its union branches; these are unfolded level by
-    level until no branch is left. The catalog has a few rows per table, and a level is one
-    small job.
+    says what it is by its `type`, else by its union branches. All levels of a field are unfolded
+    where its schema is parsed; a field has no more levels than its text names unions. Tables
+    with equal schemas share the outcome: each text is parsed once.
     """
+    texts = catalog.select("table_name", "schema_json", F.sha2("schema_json", 256).alias("schema"))
+    forms = texts.select("schema", "schema_json").distinct()
     properties = F.expr("try_variant_get(try_parse_json(schema_json), '$.properties', 'variant')")
-    level = catalog.select("table_name", F.explode(object_entries(properties)).alias("field", "node")).where(
+    fields = forms.select("schema", F.explode(object_entries(properties)).alias("field", "node")).where(
         ~F.col("field").isin(SCHEMA_METADATA_FIELDS + RESERVED_STAGING_COLUMNS)
     )
-    named = F.try_variant_get("node", "$.type", "variant")
-    branches = F.coalesce(*[F.try_variant_get("node", f"$.{union}", "array<variant>") for union in ("anyOf", "oneOf")])
-    own = F.when(F.col("field") == META_CREATION_TIME, FLOAT).when(named.isNotNull(), _type_flags(named)).otherwise(0)
-    flags = None
-    while True:
-        found = level.select("table_name", "field", own.alias("flags"))
-        flags = found if flags is None else flags.union(found)
-        unions = level.where((F.col("field") != META_CREATION_TIME) & named.isNull() & (F.size(branches) > 0))
-        if unions.isEmpty():
-            return flags.groupBy("table_name", "field").agg(F.bit_or("flags").alias("flags"))
-        level = unions.select("table_name", "field", F.explode(branches).alias("node"))
+    levels = F.coalesce(F.regexp_count(F.to_json("node"), F.lit("anyOf|oneOf")), F.lit(0))
+    start = F.struct(F.lit(0).alias("flags"), F.array("node").alias("nodes"))
+    unfolded = F.aggregate(F.sequence(F.lit(0), levels), start, lambda state, _: _unfold(state), lambda state: state["flags"])
+    own = F.when(F.col("field") == META_CREATION_TIME, FLOAT).otherwise(unfolded)
+    seeded = texts.select("table_name", "schema").join(fields.select("schema", "field", own.alias("flags")), "schema")
+    return seeded.groupBy("table_name", "field").agg(F.bit_or("flags").alias("flags"))
+
+
+def _unfold(state: Column) -> Column:
+    """One level of unions: the flags so far with those of the nodes that have a type, and the branches of the others."""
+    def named(node: Column) -> Column:
+        return F.try_variant_get(node, "$.type", "variant")
+
+    def own(node: Column) -> Column:
+        return F.when(named(node).isNotNull(), _type_flags(named(node))).otherwise(0)
+
+    def branches(node: Column) -> Column:
+        found = [F.try_variant_get(node, f"$.{union}", "array<variant>") for union in ("anyOf", "oneOf")]
+        nothing = F.array().cast("array<variant>")
+        return F.when(named(node).isNull(), F.coalesce(*found, nothing)).otherwise(nothing)
+
+    flags = F.aggregate(state["nodes"], state["flags"], lambda seen, node: seen.bitwiseOR(own(node)))
+    return F.struct(flags.alias("flags"), F.flatten(F.transform(state["nodes"], branches)).alias("nodes"))
 
 
 def _type_flags(named: Column) -> Column:
