@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidefold.functions.names import view_name
@@ -81,7 +81,7 @@ def publish(
         stale = [row["current_key"] for row in diff.where(F.col("status") == DELETED).select("current_key").collect()]
         summary = publish_summary(diff).first()
 
-        run_jobs(spark, [_copy(read_table(spark, row), _location(bucket, "", row["versioned_key"])) for row in uploads], threads)
+        run_jobs(spark, [_copy(spark, row, _location(bucket, "", row["versioned_key"])) for row in uploads], threads)
         manifests = manifests_path(bucket, prefix)
         stored = f"{manifests}/{publish_id}.json"
         write_manifest(entries.coalesce(1), stored, publish_id, published_ms, bucket, clean_prefix(prefix))
@@ -89,7 +89,7 @@ def publish(
         write_manifest(written.coalesce(1), f"{manifests}/latest.json", publish_id, published_ms, bucket, clean_prefix(prefix))
         if mirror:
             copies = [(_location(bucket, "", row["versioned_key"]), _location(bucket, "", row["key"])) for row in uploads]
-            run_jobs(spark, [_copy(spark.read.parquet(version), current) for version, current in copies], threads)
+            run_jobs(spark, [_copy(spark, version, current) for version, current in copies], threads)
         for key in stale:
             remove_path(spark, _location(bucket, "", key))
     finally:
@@ -103,8 +103,13 @@ def publish(
     )
 
 
-def _copy(rows: DataFrame, target: str):
-    return lambda: rows.write.mode("overwrite").parquet(target)
+def _copy(spark: SparkSession, origin: Row | str, target: str):
+    """A job that copies a staged table, or the version at a path."""
+    def copy() -> None:
+        rows = spark.read.parquet(origin) if isinstance(origin, str) else read_table(spark, origin)
+        rows.write.mode("overwrite").parquet(target)
+
+    return copy
 
 
 def source_map(manifest: DataFrame) -> DataFrame:
