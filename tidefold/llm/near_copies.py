@@ -1,9 +1,11 @@
-"""Near copies by exact Jaccard similarity of word shingles.
+"""Near copies by SimHash and min-hash, verified by the exact Jaccard similarity of word shingles.
 
-Candidates are fetched by min-hash bands: `BANDS` keys of `ROWS` minima each, so a pair of
-similarity s shares a key with probability 1 - (1 - s ** ROWS) ** BANDS, 99.8% at 0.8. (A 64-bit
-SimHash would need radius 15 or so for that, where its segments tell nothing apart.) Every fetched
-pair that decides about a document is verified on the whole texts, shingle by shingle.
+Candidates are fetched by op6's SimHash index: 64-bit fingerprints of the shingles, linked within 3
+bits, and a key for each component. Of pairs that are just alike few lie so close (radius 15 or so
+would be needed, where segments tell nothing apart), so min-hash bands fetch what the fingerprints
+miss: `BANDS` keys of `ROWS` minima each, so a pair of similarity s shares a key with probability
+1 - (1 - s ** ROWS) ** BANDS, 99.8% at 0.8. Every fetched pair that decides about a document is
+verified on the whole texts, shingle by shingle.
 
 The documents are taken in order of identifiers: one stays unless it is alike to a smaller one
 that stays. So whatever goes has its likeness among what stays, and no chain of links removes
@@ -13,7 +15,9 @@ rounds remove little, what is left are groups that share keys though few in them
 texts are not paired either: each gets a parity sketch, one bit for the parity of the shingles
 that fall into a bin, with eight bins a shingle. Two sketches differ in no more bits than the
 texts differ in shingles, so comparing sketches in chunks loses nothing, and with so many bins
-hardly a pair passes that is not alike; only those that do are verified.
+hardly a pair passes that is not alike; only those that do are verified. The smallest texts of a
+key are compared with the others first, and what they remove meets nothing else, so the pairs to
+verify do not grow with the square of a group of loose copies either.
 
 Defined cases: a null text counts as empty, and texts without words are alike; fewer words than
 a shingle make one shingle; a null identifier comes last; rows that share identifier and text
@@ -27,10 +31,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidefold.llm.common import materialise, utf8
+from tidefold.llm.components import connected_components
+from tidefold.llm.simhash import links, text_fingerprint
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -41,6 +47,8 @@ SEED = 42
 LEAST_BINS = 1 << 10
 BINS_PER_SHINGLE = 8
 CHUNK_BYTES = 1 << 18
+# So many texts of a key, the smallest, are compared with all others at first.
+FRONT = 128
 _BLOCK = 1 << 10
 
 _FACTORS, _SHIFTS = np.random.default_rng(SEED).integers(0, 1 << 64, (2, BANDS * ROWS, 1), np.uint64)
@@ -89,15 +97,18 @@ def node_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 def _sketches(docs: DataFrame, id_col: str, text_col: str, shingle_words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sketch(text.as_py(), shingle_words)[0] for text in batch.column(2)]
+            bodies = [text.as_py() for text in batch.column(2)]
+            found = [sketch(body, shingle_words)[0] for body in bodies]
+            prints = np.array([text_fingerprint(body, shingle_words) for body in bodies], np.uint64).view(np.int64)
             keys = np.concatenate(found) if found else np.zeros(0, np.int64)
             lists = pa.ListArray.from_arrays(np.arange(len(found) + 1, dtype=np.int32) * BANDS, pa.array(keys))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["doc_id", "tie", "keys"])
+            columns = [batch.column(0), batch.column(1), lists, pa.array(prints)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "tie", "keys", "fp"])
 
     return docs.select(
         F.col(f"`{id_col}`").cast("long").alias("doc_id"),
         F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("tie"), utf8(text_col).alias("body"),
-    ).mapInArrow(run, "doc_id long, tie long, keys array<long>")
+    ).mapInArrow(run, "doc_id long, tie long, keys array<long>, fp long")
 
 
 def _alike(pairs: DataFrame, texts: DataFrame, similarity: float, shingle_words: int) -> DataFrame:
@@ -135,23 +146,20 @@ def _folded(sketches: np.ndarray, words: int) -> np.ndarray:
 
 
 def _close(similarity: float):
-    """Pairs (first, node) of two chunks whose sketches allow `similarity`."""
+    """Pairs (one, two) of two chunks whose sketches allow `similarity`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 one, two = (batch.column(i)[row].values for i in (0, 1))
-                same = batch.column(2)[row].as_py()
-                words = len(one.field("bits")[0].as_py()) // 8
+                words = min(len(m.field("bits")[0].as_py()) for m in (one, two)) // 8
                 a, b = (np.frombuffer(b"".join(m.field("bits").to_pylist()), np.uint64).reshape(len(m), -1) for m in (one, two))
-                b = _folded(b, words)
+                a, b = _folded(a, words), _folded(b, words)
                 a_size, b_size = (m.field("size").to_numpy(zero_copy_only=False).astype(np.int64) for m in (one, two))
                 found = []
                 for at in range(len(a)):
                     apart = np.bitwise_count(b ^ a[at]).sum(axis=1, dtype=np.int64)
                     near = apart <= (1 - similarity) / (1 + similarity) * (a_size[at] + b_size) + 1e-9
-                    if same:
-                        near[:at + 1] = False
                     found += [(at, other) for other in np.flatnonzero(near).tolist()]
                 if found:
                     places = [pa.array(side, pa.int64()) for side in zip(*found)]
@@ -161,12 +169,8 @@ def _close(similarity: float):
     return run
 
 
-def sketched_pairs(active: DataFrame, texts: DataFrame, similarity: float, shingle_words: int,
-                   chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """Pairs (first, node) of `active(key, node)` that share a key and whose sketches allow `similarity`.
-
-    `texts(node, body)` has the texts. No pair that is alike gets lost.
-    """
+def sketched(active: DataFrame, texts: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
+    """Rows (key, node, size, bits, bytes): the parity sketch of each text under each of its keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -176,27 +180,46 @@ def sketched_pairs(active: DataFrame, texts: DataFrame, similarity: float, shing
 
     node = texts.schema["node"].dataType.simpleString()
     sketches = materialise(texts.select("node", "body").mapInArrow(run, f"node {node}, size long, bits binary"), "near-parities")
-    entries = materialise(active.join(sketches, "node").withColumn("bytes", F.octet_length("bits")), "near-entries")
-    counts = entries.groupBy("key", "bytes").agg(F.ceil(F.sum("bytes") / chunk_bytes).alias("n_chunks"))
-    chunks = materialise(
-        entries.join(counts, ["key", "bytes"]).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("n_chunks")))
-        .groupBy("key", "bytes", "chunk").agg(F.collect_list(F.struct("node", "size", "bits")).alias("members")), "near-chunks",
-    )
-    one, two = (chunks.select("key", *[F.col(c).alias(f"{side}_{c}") for c in ("bytes", "chunk", "members")]) for side in ("a", "b"))
+    return materialise(active.select("key", "node").join(sketches, "node").withColumn("bytes", F.octet_length("bits")), "near-entries")
+
+
+def sketched_pairs(active: DataFrame, texts: DataFrame, similarity: float, shingle_words: int,
+                   chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """Pairs (first, node) of `active(key, node)` that share a key and whose sketches allow `similarity`.
+
+    `texts(node, body)` has the texts. No pair that is alike gets lost.
+    """
+    return front_pairs(sketched(active, texts, shingle_words), active.select("node").distinct(), similarity, chunk_bytes)
+
+
+def front_pairs(entries: DataFrame, front: DataFrame, similarity: float, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """Pairs (first, node), the smaller one of `front(node)`, that share a key and whose sketches allow `similarity`.
+
+    `entries` are those of `sketched`. No pair that is alike gets lost.
+    """
+    def chunks(rows: DataFrame, side: str) -> DataFrame:
+        counts = rows.groupBy("key", "bytes").agg(F.ceil(F.sum("bytes") / chunk_bytes).alias("n_chunks"))
+        chunked = rows.join(counts, ["key", "bytes"]).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("n_chunks")))
+        members = F.collect_list(F.struct("node", "size", "bits")).alias(f"{side}_members")
+        return materialise(chunked.groupBy("key", F.col("bytes").alias(f"{side}_bytes"), "chunk").agg(members).drop("chunk"), "near-chunks")
+
+    one, two = chunks(entries.join(front, "node", "left_semi"), "a"), chunks(entries, "b")
     # Texts that are alike have as many bins, or one twice those of the other.
-    meet = ((F.col("a_bytes") == F.col("b_bytes")) & (F.col("a_chunk") <= F.col("b_chunk"))) | (2 * F.col("a_bytes") == F.col("b_bytes"))
-    same = (F.col("a_bytes") == F.col("b_bytes")) & (F.col("a_chunk") == F.col("b_chunk"))
-    worth = ~same | (F.size("a_members") > 1)
-    met = one.join(two, "key").where(meet & worth).select("a_members", "b_members", same.alias("same"))
-    pairs = met.mapInArrow(_close(similarity), f"one {node}, two {node}")
-    return pairs.select(F.least("one", "two").alias("first"), F.greatest("one", "two").alias("node")).distinct()
+    a, b = F.col("a_bytes"), F.col("b_bytes")
+    met = one.join(two, "key").where((a == b) | (2 * a == b) | (a == 2 * b)).select("a_members", "b_members")
+    node = entries.schema["node"].dataType.simpleString()
+    pairs = met.mapInArrow(_close(similarity), f"one {node}, two {node}").where("one < two")
+    return pairs.select(F.col("one").alias("first"), F.col("two").alias("node")).distinct()
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS,
                 similarity: float = SIMILARITY) -> DataFrame:
     """Rows (node): the documents, as `node_of` names them, that go."""
     sketches = materialise(_sketches(docs, id_col, text_col, shingle_words), "near-sketches")
-    entries = sketches.select("doc_id", "tie", F.explode("keys").alias("key"))
+    components = connected_components(links(materialise(sketches.select("fp").distinct(), "near-prints")))
+    named = sketches.select("doc_id", "tie", "fp").join(components.withColumnRenamed("node", "fp"), "fp", "left")
+    by_print = named.select("doc_id", "tie", F.xxhash64(F.lit("simhash"), F.coalesce("label", "fp")).alias("key"))
+    entries = materialise(sketches.select("doc_id", "tie", F.explode("keys").alias("key")).union(by_print), "near-entries")
     mark = F.xxhash64("doc_id", "tie")
     shared = materialise(
         entries.select("key", mark.alias("mark")).groupBy("key").agg(F.min("mark").alias("a"), F.max("mark").alias("b"))
@@ -228,15 +251,46 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         active = materialise(active.select("key", "node").join(done, "node", "left_anti"), "near-active")
         if alike.count() * 20 < left:
             break
+    return gone.union(_fronts(active, texts, similarity, shingle_words))
+
+
+def _fronts(active: DataFrame, texts: DataFrame, similarity: float, shingle_words: int) -> DataFrame:
+    """Rows (node) that go among `active(key, node)`: the first `FRONT` texts of every key at a time meet all that share a key.
+
+    A front is widened while it removes less than it holds, so few rounds are needed, and what is verified
+    grows with what goes and not with the pairs of a group.
+    """
     rest = texts.join(active.select("node").distinct(), "node", "left_semi")
-    pairs = materialise(sketched_pairs(active, rest, similarity, shingle_words), "near-pairs")
-    edges = materialise(_alike(pairs, texts, similarity, shingle_words), "near-edges")
-    while not edges.isEmpty():
-        later = edges.select(F.col("node").alias("first")).distinct()
-        heads = edges.select("first").distinct().join(later, "first", "left_anti")
-        out = materialise(edges.join(heads, "first", "left_semi").select("node").distinct(), "near-gone")
-        gone = gone.union(out)
-        edges = materialise(
-            edges.join(out, "node", "left_anti").join(out.withColumnRenamed("node", "first"), "first", "left_anti"), "near-edges"
+    entries = sketched(active, rest, shingle_words)
+    gone, size = materialise(active.select("node").where("false"), "near-gone"), FRONT
+    while not entries.isEmpty():
+        # A node is in front if it is so under all its keys, and known if all smaller ones it shares a key with are in front.
+        place = F.row_number().over(Window.partitionBy("key").orderBy("node"))
+        placed = entries.select("key", "node", (place <= size).alias("early"))
+        front = materialise(placed.groupBy("node").agg(F.min("early").alias("front")), "near-front")
+        marked = materialise(entries.select("key", "node").join(front, "node"), "near-marked")
+        bounds = marked.where("NOT front").groupBy("key").agg(F.min("node").alias("bound"))
+        known = marked.where("front").join(bounds, "key", "left").groupBy("node").agg(
+            F.min(F.coalesce(F.col("node") < F.col("bound"), F.lit(True))).alias("known")
         )
+        known = materialise(known.where("known").select("node"), "near-known")
+        pairs = materialise(front_pairs(entries, front.where("front").select("node"), similarity), "near-pairs")
+        edges = materialise(_alike(pairs, rest, similarity, shingle_words), "near-edges")
+        done = materialise(known.where("false"), "near-gone")
+        while True:
+            heads = edges.select("first").distinct().join(edges.select(F.col("node").alias("first")).distinct(), "first", "left_anti")
+            heads = heads.join(known.withColumnRenamed("node", "first"), "first", "left_semi")
+            out = materialise(edges.join(heads, "first", "left_semi").select("node").distinct(), "near-gone")
+            if out.isEmpty():
+                break
+            done = done.union(out)
+            edges = materialise(
+                edges.join(out, "node", "left_anti").join(out.withColumnRenamed("node", "first"), "first", "left_anti"), "near-edges"
+            )
+        gone = gone.union(done)
+        stays = known.join(edges.select("node").distinct(), "node", "left_anti").join(done, "node", "left_anti")
+        settled = materialise(stays.union(done), "near-done")
+        if done.count() < known.count():
+            size *= 8
+        entries = materialise(entries.join(settled, "node", "left_anti"), "near-entries")
     return gone
