@@ -15,7 +15,7 @@ from tests.llm.conftest import ROWS
 from tidefold.llm.packing import best_fit, improve, pack, pack_lengths
 from tidefold.llm.token_output import read_document, token_output, train_dictionary
 from tidefold.llm.token_scan import scan_separators, token_counts
-from tidefold.llm.tokens import encoder
+from tidefold.llm.tokens import PieceEncoder, encoder
 
 ODD = [
     "", " ", "  ", "a ", " a", "a  b", "a\n b", "a \nb", "a\t b  c", "It's  don't,  x!? .. 12", "ΑΣ ΣΑΣ, İx é",
@@ -48,6 +48,17 @@ def test_pieces_of_any_text(text):
         assert got.tolist() == ids_of(path, text)
 
 
+def test_line_borders_are_not_pieces_of_their_own(byte_bpe):
+    """The end of a line and the start of the next are looked up apart, so the pieces grow with the words and not with their pairs."""
+    words = [f"{a}{b}" for a in ("tho", "ren", "sti", "ble") for b in ("ing", "est", "ia", "u", "or")]
+    text = " ".join(f"{one}.\n{two.title()} é" for one in words for two in words)
+    encoder_ = PieceEncoder(byte_bpe)
+    got = array("I")
+    got.frombytes(encoder_.encode(text))
+    assert got.tolist() == ids_of(byte_bpe, text)
+    assert len(encoder_.pieces) < 4 * len(words)
+
+
 def test_local_search_empties_bins():
     # Best fit gives three bins here, two suffice: 5+3+2 and 4+4+2.
     lengths = [5, 4, 4, 3, 2, 2]
