@@ -61,3 +61,30 @@ def test_fingerprints_alone_fetch_a_copy(spark, sf_dir, monkeypatch):
     texts = [" ".join(words), " ".join([*words[:-1], "other"]), "no copy of the others"]
     docs = spark.createDataFrame([(i, t, "en", "s", 9) for i, t in enumerate(texts)], SCHEMA)
     assert [r["node"].doc_id for r in near_copies.near_copies(docs).collect()] == [1]
+
+
+def test_a_text_meets_the_nearest_that_stays(spark, sf_dir, monkeypatch, tmp_path):
+    """Rows that the comparison of sketches gives: about one a text, whatever it is alike to, and once for all keys."""
+    texts = _loose(random.Random(9), 400, [1, 1, 2, 3])
+    real, log = near_copies._close, str(tmp_path / "rows")
+
+    def counted(*args):
+        inner = real(*args)
+
+        def run(batches):
+            for batch in inner(batches):
+                with open(log, "a") as out:
+                    out.write(f"{batch.num_rows}\n")
+                yield batch
+
+        return run
+
+    monkeypatch.setattr(near_copies, "_close", counted)
+    monkeypatch.setattr(near_copies, "FRONT", 16)
+    nodes = spark.createDataFrame([((False, i, 0), t.encode()) for i, t in enumerate(texts)],
+                                  "node struct<no_id: boolean, doc_id: bigint, tie: bigint>, body binary")
+    active = nodes.selectExpr("explode(array(1L, 2L, 3L)) as key", "node")
+    gone = {r["node"].doc_id for r in near_copies._fronts(active, nodes, 0.8, 5).collect()}
+    assert sorted(set(range(400)) - gone) == _kept(texts)
+    with open(log) as rows:
+        assert sum(map(int, rows)) < 4 * len(texts)

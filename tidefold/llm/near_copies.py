@@ -16,8 +16,9 @@ texts are not paired either: each gets a parity sketch, one bit for the parity o
 that fall into a bin, with eight bins a shingle. Two sketches differ in no more bits than the
 texts differ in shingles, so comparing sketches in chunks loses nothing, and with so many bins
 hardly a pair passes that is not alike; only those that do are verified. The smallest texts of a
-key are compared with the others first, and what they remove meets nothing else, so the pairs to
-verify do not grow with the square of a group of loose copies either.
+key are settled among themselves first. Those that stay are compared with the others, each of which
+is paired with the nearest, and with further ones only if that one is not alike; what goes meets
+nothing else. So the pairs do not grow with the square of a group of loose copies either.
 
 Defined cases: a null text counts as empty, and texts without words are alike; fewer words than
 a shingle make one shingle; a null identifier comes last; rows that share identifier and text
@@ -145,24 +146,37 @@ def _folded(sketches: np.ndarray, words: int) -> np.ndarray:
     return sketches if sketches.shape[1] == words else sketches[:, :words] ^ sketches[:, words:]
 
 
-def _close(similarity: float):
-    """Pairs (one, two) of two chunks whose sketches allow `similarity`."""
+def _close(similarity: float, low: int = 0, high: int | None = None):
+    """Pairs (one, two), one the smaller, of two chunks of a key whose sketches allow `similarity`.
+
+    A pair is given under the first key that it shares and no other. `low` and `high` choose, for each text of the
+    second chunk, from those of the first chunk in order of their distance.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                one, two = (batch.column(i)[row].values for i in (0, 1))
+                key = batch.column(0)[row].as_py()
+                one, two = (batch.column(i)[row].values for i in (1, 2))
                 words = min(len(m.field("bits")[0].as_py()) for m in (one, two)) // 8
                 a, b = (np.frombuffer(b"".join(m.field("bits").to_pylist()), np.uint64).reshape(len(m), -1) for m in (one, two))
                 a, b = _folded(a, words), _folded(b, words)
                 a_size, b_size = (m.field("size").to_numpy(zero_copy_only=False).astype(np.int64) for m in (one, two))
-                found = []
+                found: dict[int, list[tuple[float, int]]] = {}
                 for at in range(len(a)):
-                    apart = np.bitwise_count(b ^ a[at]).sum(axis=1, dtype=np.int64)
-                    near = apart <= (1 - similarity) / (1 + similarity) * (a_size[at] + b_size) + 1e-9
-                    found += [(at, other) for other in np.flatnonzero(near).tolist()]
-                if found:
-                    places = [pa.array(side, pa.int64()) for side in zip(*found)]
+                    share = np.bitwise_count(b ^ a[at]).sum(axis=1, dtype=np.int64) / (a_size[at] + b_size)
+                    for other in np.flatnonzero(share <= (1 - similarity) / (1 + similarity) + 1e-12).tolist():
+                        found.setdefault(other, []).append((share[other], at))
+                if not found:
+                    continue
+                a_nodes, b_nodes = ([tuple(n.values()) for n in m.field("node").to_pylist()] for m in (one, two))
+                a_keys, b_keys = ([frozenset(k) for k in m.field("keys").to_pylist()] for m in (one, two))
+                chosen = []
+                for other, near in found.items():
+                    near = [n for n in sorted(near) if a_nodes[n[1]] < b_nodes[other] and min(a_keys[n[1]] & b_keys[other]) == key]
+                    chosen += [(at, other) for _, at in near[low:high]]
+                if chosen:
+                    places = [pa.array(side, pa.int64()) for side in zip(*chosen)]
                     nodes = [m.field("node").take(p) for m, p in zip((one, two), places)]
                     yield pa.RecordBatch.from_arrays(nodes, names=["one", "two"])
 
@@ -170,7 +184,7 @@ def _close(similarity: float):
 
 
 def sketched(active: DataFrame, texts: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """Rows (key, node, size, bits, bytes): the parity sketch of each text under each of its keys."""
+    """Rows (key, node, size, bits, keys, bytes): the parity sketch of each text and all its keys, under each of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -180,6 +194,7 @@ def sketched(active: DataFrame, texts: DataFrame, shingle_words: int = SHINGLE_W
 
     node = texts.schema["node"].dataType.simpleString()
     sketches = materialise(texts.select("node", "body").mapInArrow(run, f"node {node}, size long, bits binary"), "near-parities")
+    sketches = sketches.join(active.groupBy("node").agg(F.collect_set("key").alias("keys")), "node")
     return materialise(active.select("key", "node").join(sketches, "node").withColumn("bytes", F.octet_length("bits")), "near-entries")
 
 
@@ -197,18 +212,24 @@ def front_pairs(entries: DataFrame, front: DataFrame, similarity: float, chunk_b
 
     `entries` are those of `sketched`. No pair that is alike gets lost.
     """
-    def chunks(rows: DataFrame, side: str) -> DataFrame:
-        counts = rows.groupBy("key", "bytes").agg(F.ceil(F.sum("bytes") / chunk_bytes).alias("n_chunks"))
-        chunked = rows.join(counts, ["key", "bytes"]).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("n_chunks")))
-        members = F.collect_list(F.struct("node", "size", "bits")).alias(f"{side}_members")
-        return materialise(chunked.groupBy("key", F.col("bytes").alias(f"{side}_bytes"), "chunk").agg(members).drop("chunk"), "near-chunks")
+    one = _chunks(entries.join(front, "node", "left_semi"), "a", chunk_bytes)
+    return _met(one, _chunks(entries, "b", chunk_bytes), similarity)
+
+
+def _chunks(entries: DataFrame, side: str, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    counts = entries.groupBy("key", "bytes").agg(F.ceil(F.sum("bytes") / chunk_bytes).alias("n_chunks"))
+    chunked = entries.join(counts, ["key", "bytes"]).withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("n_chunks")))
+    members = F.collect_list(F.struct("node", "size", "bits", "keys")).alias(f"{side}_members")
+    return materialise(chunked.groupBy("key", F.col("bytes").alias(f"{side}_bytes"), "chunk").agg(members).drop("chunk"), "near-chunks")
 
-    one, two = chunks(entries.join(front, "node", "left_semi"), "a"), chunks(entries, "b")
+
+def _met(one: DataFrame, two: DataFrame, similarity: float, low: int = 0, high: int | None = None) -> DataFrame:
+    """Pairs (first, node) of chunks of the same key; `low` and `high` as in `_close`."""
     # Texts that are alike have as many bins, or one twice those of the other.
     a, b = F.col("a_bytes"), F.col("b_bytes")
-    met = one.join(two, "key").where((a == b) | (2 * a == b) | (a == 2 * b)).select("a_members", "b_members")
-    node = entries.schema["node"].dataType.simpleString()
-    pairs = met.mapInArrow(_close(similarity), f"one {node}, two {node}").where("one < two")
+    met = one.join(two, "key").where((a == b) | (2 * a == b) | (a == 2 * b)).select("key", "a_members", "b_members")
+    node = one.schema["a_members"].dataType.elementType["node"].dataType.simpleString()
+    pairs = met.mapInArrow(_close(similarity, low, high), f"one {node}, two {node}")
     return pairs.select(F.col("one").alias("first"), F.col("two").alias("node")).distinct()
 
 
@@ -255,9 +276,10 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def _fronts(active: DataFrame, texts: DataFrame, similarity: float, shingle_words: int) -> DataFrame:
-    """Rows (node) that go among `active(key, node)`: the first `FRONT` texts of every key at a time meet all that share a key.
+    """Rows (node) that go among `active(key, node)`: what stays of the first `FRONT` texts of every key at a time meets all that share a key.
 
-    A front is widened while it removes less than it holds, so few rounds are needed, and what is verified
+    The front is settled by its own pairs. Of those that stay, each other text meets the nearest at first, so a text gives
+    a pair or a few and not one for each text of the front that it is alike to. A front is widened while it removes less than it holds, so few rounds are needed, and what is verified
     grows with what goes and not with the pairs of a group.
     """
     rest = texts.join(active.select("node").distinct(), "node", "left_semi")
@@ -274,7 +296,9 @@ def _fronts(active: DataFrame, texts: DataFrame, similarity: float, shingle_word
             F.min(F.coalesce(F.col("node") < F.col("bound"), F.lit(True))).alias("known")
         )
         known = materialise(known.where("known").select("node"), "near-known")
-        pairs = materialise(front_pairs(entries, front.where("front").select("node"), similarity), "near-pairs")
+        ahead = front.where("front").select("node")
+        among = entries.join(ahead, "node", "left_semi")
+        pairs = materialise(front_pairs(among, ahead, similarity), "near-pairs")
         edges = materialise(_alike(pairs, rest, similarity, shingle_words), "near-edges")
         done = materialise(known.where("false"), "near-gone")
         while True:
@@ -287,8 +311,19 @@ def _fronts(active: DataFrame, texts: DataFrame, similarity: float, shingle_word
             edges = materialise(
                 edges.join(out, "node", "left_anti").join(out.withColumnRenamed("node", "first"), "first", "left_anti"), "near-edges"
             )
-        gone = gone.union(done)
         stays = known.join(edges.select("node").distinct(), "node", "left_anti").join(done, "node", "left_anti")
+        stays = materialise(stays, "near-stays")
+        # The others meet those that stay, the nearest one first and the rest only if that is not alike.
+        ones = entries.join(stays, "node", "left_semi")
+        later = entries.join(ahead, "node", "left_anti").join(ones.select("key").distinct(), "key", "left_semi")
+        one = _chunks(ones, "a")
+        for low, high in ((0, 1), (1, None)):
+            pairs = materialise(_met(one, _chunks(later, "b"), similarity, low, high), "near-pairs")
+            out = materialise(_alike(pairs, rest, similarity, shingle_words).select("node").distinct(), "near-gone")
+            done = done.union(out)
+            tried = materialise(pairs.select("node").distinct().join(out, "node", "left_anti"), "near-tried")
+            later = later.join(tried, "node", "left_semi")
+        gone = gone.union(done)
         settled = materialise(stays.union(done), "near-done")
         if done.count() < known.count():
             size *= 8
