@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidefold.functions.kinds import document_kinds, schema_field_flags
-from tidefold.functions.names import directory_key, directory_key_text, staging_path_text
+from tidefold.functions.names import directory_key_text, staging_path_text
 from tidefold.operators.fold import fold_log, latest_by, live
 from tidefold.operators.infer import merged_columns, project_staging, staging_names, staging_schema
 from tidefold.schemas import DELETE, IDENTITY, LOG_FILE_SCHEMA, ORDERING
@@ -175,7 +175,7 @@ def _directory(version: str, key: tuple[str, str], bucket: int) -> str:
 
 
 def _read_state(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    return spark.read.schema(STATE_SCHEMA).parquet(*paths) if paths else spark.createDataFrame([], STATE_SCHEMA)
+    return spark.read.schema(STATE_SCHEMA).parquet(*paths)
 
 
 def _described(state: DataFrame) -> DataFrame:
@@ -189,28 +189,32 @@ def _described(state: DataFrame) -> DataFrame:
 
 
 def _with_buckets(rows: DataFrame, n_buckets: dict[tuple[str, str], int]) -> DataFrame:
-    """Rows of the given tables with their bucket; one short row per table is broadcast."""
-    sizes = [(*key, n) for key, n in sorted(n_buckets.items())]
-    known = rows.sparkSession.createDataFrame(sizes, "component_path string, table_name string, n_buckets bigint")
+    """Rows of the given tables with their folder and bucket; one short row per table is broadcast."""
+    sizes = [(*key, *map(directory_key_text, key), n) for key, n in sorted(n_buckets.items())]
+    names = "component_path string, table_name string, component_key string not null, table_key string not null"
+    known = rows.sparkSession.createDataFrame(sizes, f"{names}, n_buckets bigint")
     return rows.join(F.broadcast(known), ["component_path", "table_name"]).withColumn(BUCKET, F.pmod(_slot(), F.col("n_buckets")))
 
 
-def write_state(stored: DataFrame, events: DataFrame, n_buckets: dict[tuple[str, str], int], n_touched: int, path: str) -> None:
-    """Fold events onto the stored rows of the touched buckets and write these buckets.
+def state_rows(
+    stored: DataFrame | None, events: DataFrame, n_buckets: dict[tuple[str, str], int], n_touched: int
+) -> DataFrame:
+    """Events folded onto the stored rows of the touched buckets, in the order in which the buckets are written.
 
     The events are folded by themselves first, so a hot document is one row by then. All rows of a
     bucket then meet in one exchange, which serves the fold and the write. It is dealt to several
     partitions a bucket, so few buckets seldom share one; adaptive execution leaves the number alone.
+    The fold orders by folder first, as the write does, so rows are sorted once; without stored rows
+    nothing is left to fold.
     """
     fresh = fold_log(events).withColumns({"kinds": F.lit(None).cast("string"), "row_hash": F.lit(None).cast("long")})
     n_partitions = max(n_touched, min(4 * n_touched, 256))
-    rows = _with_buckets(stored.unionByName(fresh), n_buckets).repartition(n_partitions, "component_path", "table_name", BUCKET)
-    folded = _described(latest_by(rows, ["component_path", "table_name", BUCKET, "document_id"], ORDERING))
-    keyed = folded.select(
-        *STATE_SCHEMA.fieldNames(), directory_key("component_path").alias("component_key"),
-        directory_key("table_name").alias("table_key"), BUCKET,
-    )
-    keyed.write.mode("overwrite").partitionBy(*_KEYS).parquet(path)
+    rows = _with_buckets(fresh if stored is None else stored.unionByName(fresh), n_buckets).repartition(n_partitions, *_KEYS)
+    if stored is None:
+        folded = rows.sortWithinPartitions(*_KEYS, "document_id")
+    else:
+        folded = latest_by(rows, [*_KEYS, "document_id", "component_path", "table_name"], ORDERING)
+    return _described(folded).select(*STATE_SCHEMA.fieldNames(), *_KEYS)
 
 
 def _summaries(state: DataFrame) -> DataFrame:
@@ -300,7 +304,9 @@ def materialise(
 
     state_path, fields_path = f"{root}/state/version={name}", f"{root}/fields/version={name}"
     n_touched = sum(len({slot % n_buckets[key] for slot in slots}) for key, slots in touched.items())
-    write_state(_read_state(spark, stored), fresh.select(*LOG_FILE_SCHEMA.fieldNames()), n_buckets, n_touched, state_path)
+    before = _read_state(spark, stored) if stored else None
+    rows = state_rows(before, fresh.select(*LOG_FILE_SCHEMA.fieldNames()), n_buckets, n_touched)
+    rows.write.mode("overwrite").partitionBy(*_KEYS).parquet(state_path)
     state = spark.read.schema(_WRITTEN_STATE).parquet(state_path)
     summaries, _ = run_jobs(spark, [_summaries(state).collect, lambda: _write_fields(state, fields_path)], threads)
     rewritten: dict[tuple[str, str], set[int]] = defaultdict(set)
