@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidefold.llm.common import materialise, utf8
+from tidefold.llm.common import materialise, sole_cache, utf8
 from tidefold.llm.components import connected_components
 from tidefold.llm.simhash import links, text_fingerprint
 
@@ -97,6 +97,7 @@ def node_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def _sketches(docs: DataFrame, id_col: str, text_col: str, shingle_words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sole_cache()
         for batch in batches:
             bodies = [text.as_py() for text in batch.column(2)]
             found = [sketch(body, shingle_words)[0] for body in bodies]

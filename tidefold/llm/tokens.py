@@ -17,6 +17,8 @@ from array import array
 
 from tokenizers import Tokenizer
 
+from tidefold.llm.common import sole_cache, worker_cache
+
 CACHE_PIECES = 700_000
 _CUT = re.compile(r"(?<=\S) ")
 _ODD_BLANK = re.compile(r"\s ")
@@ -123,11 +125,12 @@ class PieceEncoder:
         return first + b"".join(map(self.pieces.__getitem__, pieces[1:]))
 
 
-_encoders: dict[str, PieceEncoder] = {}
+_encoders: dict[str, PieceEncoder] = worker_cache({})
 
 
 def encoder(path: str) -> PieceEncoder:
     """One encoder a worker process and tokenizer file."""
+    sole_cache(_encoders)
     if path not in _encoders:
         _encoders[path] = PieceEncoder(path)
     return _encoders[path]

@@ -32,14 +32,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidefold.llm.common import utf8
+from tidefold.llm.common import sole_cache, utf8, worker_cache
 
 DIMENSIONS = 1 << 20
 TRAINING_ROWS = 16_384
 EPOCHS = 6
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 8.0, 0.0
 FOLDS = 5
-_CACHE_WORDS = 500_000
+_CACHE_WORDS = 100_000
 # Lower case for A-Z, a blank for any other ASCII character that is no letter or digit.
 _LETTERS = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256)
@@ -54,7 +54,7 @@ class _WordHashes(dict):
         return value
 
 
-_hashes = _WordHashes()
+_hashes = worker_cache(_WordHashes())
 
 
 def features(text: bytes) -> np.ndarray:
@@ -115,6 +115,7 @@ def _training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: st
     joined = joined.select("order", "label", "body").dropDuplicates(["order"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sole_cache(_hashes)
         for batch in batches:
             lists = [np.unique(features(t.as_py())).astype(np.int32) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays(
@@ -168,6 +169,7 @@ def toxicity_score(docs: DataFrame, model: pd.DataFrame, text_col: str = "text")
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
+        sole_cache(_hashes)
         w = np.zeros(DIMENSIONS)
         used, values = shared.value
         w[used] = values
