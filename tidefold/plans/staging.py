@@ -46,6 +46,8 @@ BUCKET = "_bucket"
 # Documents of a bucket, in bytes, and the most buckets of a table; both numbers of buckets are powers of two.
 BUCKET_BYTES = 8 << 20
 MAX_BUCKETS = 1 << 13
+# A bucket is crowded with more new events than this and than four times the mean of its table.
+CROWDED_EVENTS = 1 << 16
 
 STATE_SCHEMA = T.StructType(
     LOG_FILE_SCHEMA.fields + [T.StructField("kinds", T.StringType()), T.StructField("row_hash", T.LongType())]
@@ -197,26 +199,38 @@ def _with_buckets(rows: DataFrame, n_buckets: dict[tuple[str, str], int]) -> Dat
 
 
 def state_rows(
-    stored: DataFrame | None, events: DataFrame, n_buckets: dict[tuple[str, str], int], n_touched: int
+    stored: DataFrame | None, events: DataFrame, n_buckets: dict[tuple[str, str], int], n_touched: int, fold_first: bool = True
 ) -> DataFrame:
     """Events folded onto the stored rows of the touched buckets, in the order in which the buckets are written.
 
-    The events are folded by themselves first, so a hot document is one row by then. All rows of a
+    With `fold_first` the events are folded by themselves first, so a hot document is one row by then;
+    events that are known to spread over the buckets are not, which saves an exchange and two sorts. All rows of a
     bucket then meet in one exchange, which serves the fold and the write. It is dealt to several
     partitions a bucket, so few buckets seldom share one; adaptive execution leaves the number alone.
     The fold orders by folder first, as the write does, so rows are sorted once; without stored rows
-    nothing is left to fold.
+    nothing is left to fold after the first fold.
     """
-    fresh = fold_log(events).withColumns({"kinds": F.lit(None).cast("string"), "row_hash": F.lit(None).cast("long")})
+    fresh = (fold_log(events) if fold_first else events).withColumns({"kinds": F.lit(None).cast("string"), "row_hash": F.lit(None).cast("long")})
     n_partitions = max(n_touched, min(4 * n_touched, 256))
     rows = _with_buckets(fresh if stored is None else stored.unionByName(fresh), n_buckets).repartition(n_partitions, *_KEYS)
-    if stored is None:
+    if stored is None and fold_first:
         folded = rows.sortWithinPartitions(*_KEYS, "document_id")
     else:
         folded = latest_by(rows, [*_KEYS, "document_id", "component_path", "table_name"], ORDERING)
     return _described(folded).select(*STATE_SCHEMA.fieldNames(), *_KEYS)
 
 
+def _crowded(events: dict[tuple[str, str], dict[int, int]], n_buckets: dict[tuple[str, str], int]) -> bool:
+    """Whether some bucket has far more new events than others of its table, by the events of each slot."""
+    for key, slots in events.items():
+        in_bucket: dict[int, int] = defaultdict(int)
+        for slot, n in slots.items():
+            in_bucket[slot % n_buckets[key]] += n
+        if max(in_bucket.values()) > max(CROWDED_EVENTS, 4 * sum(in_bucket.values()) // n_buckets[key]):
+            return True
+    return False
+
+
 def _summaries(state: DataFrame) -> DataFrame:
     """Per bucket of a written state: live rows, sum of their hashes, bytes of their documents."""
     alive = F.col("row_hash").isNotNull()
@@ -282,12 +296,14 @@ def materialise(
     fresh = read_log(spark, log, new_loads)
 
     # At most MAX_BUCKETS rows a touched table.
-    slots = fresh.groupBy("component_path", "table_name", _slot().alias("slot")).agg(F.sum(F.octet_length("document")).alias("bytes"))
+    slots = fresh.groupBy("component_path", "table_name", _slot().alias("slot")).agg(
+        F.sum(F.octet_length("document")).alias("bytes"), F.count("*").alias("events")
+    )
     found, counts = run_jobs(spark, [slots.collect, load_counts(fresh).collect], threads)
-    touched: dict[tuple[str, str], set[int]] = defaultdict(set)
+    touched: dict[tuple[str, str], dict[int, int]] = defaultdict(dict)
     new_bytes: dict[tuple[str, str], int] = defaultdict(int)
     for row in found:
-        touched[row["component_path"], row["table_name"]].add(row["slot"])
+        touched[row["component_path"], row["table_name"]][row["slot"]] = row["events"]
         new_bytes[row["component_path"], row["table_name"]] += row["bytes"] or 0
 
     n_buckets, stored, ledger = {}, [], Ledger(version, schema_hash, dict(old.loads), dict(old.tables))
@@ -305,7 +321,7 @@ def materialise(
     state_path, fields_path = f"{root}/state/version={name}", f"{root}/fields/version={name}"
     n_touched = sum(len({slot % n_buckets[key] for slot in slots}) for key, slots in touched.items())
     before = _read_state(spark, stored) if stored else None
-    rows = state_rows(before, fresh.select(*LOG_FILE_SCHEMA.fieldNames()), n_buckets, n_touched)
+    rows = state_rows(before, fresh.select(*LOG_FILE_SCHEMA.fieldNames()), n_buckets, n_touched, _crowded(touched, n_buckets))
     rows.write.mode("overwrite").partitionBy(*_KEYS).parquet(state_path)
     state = spark.read.schema(_WRITTEN_STATE).parquet(state_path)
     summaries, _ = run_jobs(spark, [_summaries(state).collect, lambda: _write_fields(state, fields_path)], threads)

@@ -20,7 +20,7 @@ from tidefold.plans.service import ServicePaths, run_round
 from tidefold.plans.staging import materialise, read_staging, read_table, staging_inventory, staging_tables
 from tidefold.queries.inputs import LOG_E, LOG_L, RAW_VALID, live_sql, log_rows, raw_events, table
 from tidefold.queries.registry import query
-from tidefold.schemas import CATALOG_SCHEMA, CDC_DOCUMENT_ID, LOG_FILE_SCHEMA, RAW_LOG_COLUMNS, RAW_LOG_SCHEMA
+from tidefold.schemas import CATALOG_SCHEMA, CDC_DOCUMENT_ID, LOG_FILE_SCHEMA, RAW_LOG_COLUMNS, RAW_LOG_SCHEMA, UPSERT
 from tidefold.session import scratch_path
 from tidefold.sources.bronze import (
     append_bronze,
@@ -405,9 +405,11 @@ def one_changed_document(spark, sf_dir):
     log, root = scratch_path(spark, "log"), scratch_path(spark, "staging")
     write_load(log_rows(LOG_L, spark, sf_dir), log, "all")
     materialise(spark, log, root)
-    filled = live(fold_log(read_log(spark, log))).where("table_name = 'filled'")
-    first = filled.agg(F.min_by(F.struct(*LOG_FILE_SCHEMA.fieldNames()), "document_id").alias("r")).select("r.*")
-    write_load(first.withColumn("timestamp", F.col("timestamp") + 1).withColumn("document", F.lit('{"cents":7}')), log, "one")
+    named = [F.col(f"_{name}").alias(name) for name in RAW_LOG_COLUMNS if name not in ("op", "document")]
+    filled = read_staging(spark, root, "", "filled").select(*named)
+    first = filled.agg(F.min_by(F.struct("*"), "document_id").alias("r")).select("r.*")
+    change = {"timestamp": F.col("timestamp") + 1, "op": F.lit(UPSERT), "document": F.lit('{"cents":7}'), "batch": F.lit("one"), "position": F.lit(0)}
+    write_load(first.withColumns(change), log, "one")
     materialise(spark, log, root)
     tables = reduce(DataFrame.unionByName, [
         read_table(spark, entry).select("_table_name", "cents", F.input_file_name().alias("file")) for entry in staging_tables(spark, root)
