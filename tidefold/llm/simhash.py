@@ -79,7 +79,11 @@ def _segments(fp: Column) -> list[Column]:
 
 
 def links(fps: DataFrame, radius: int = RADIUS, chunk_entries: int = CHUNK_ENTRIES) -> DataFrame:
-    """Links (u, v) that connect what fingerprints within `radius` bits connect; `fps(fp)` is distinct."""
+    """Links (u, v) that connect what fingerprints within `radius` bits connect; `fps(fp)` is distinct.
+
+    Spark sizes exploded rows as if there were one for each fingerprint and might broadcast them, so both joins
+    are sort-merge joins at any size.
+    """
     if not 0 <= radius <= 3:
         raise ValueError("two segments with balls of one bit answer for distances up to 3")
     ball = [0] + ([1 << bit for bit in range(SEGMENT_BITS)] if radius >= 2 else [])
@@ -91,7 +95,7 @@ def links(fps: DataFrame, radius: int = RADIUS, chunk_entries: int = CHUNK_ENTRI
     sizes = materialise(sizes, "simhash-sizes")
     alone = sizes.where("n = 1").select("segment", "value", F.array("only").alias("fps"))
     shared = (
-        entries.join(sizes.where("n > 1"), ["segment", "value"])
+        entries.join(sizes.where("n > 1").hint("merge"), ["segment", "value"])
         .withColumn("chunk", F.pmod(F.xxhash64("fp"), F.ceil(F.col("n") / chunk_entries)))
         .groupBy("segment", "value", "chunk").agg(F.collect_list("fp").alias("fps"))
         .select("segment", "value", "fps")
@@ -105,7 +109,7 @@ def links(fps: DataFrame, radius: int = RADIUS, chunk_entries: int = CHUNK_ENTRI
         ])).alias("p"),
     ).select("probe", "p.segment", "p.value")
     found = (
-        probes.join(tables, ["segment", "value"])
+        probes.join(tables.hint("merge"), ["segment", "value"])
         .select("probe", F.filter("fps", lambda f: (f != F.col("probe")) & (F.bit_count(f.bitwiseXOR(F.col("probe"))) <= radius)).alias("near"))
         .where(F.size("near") > 0)
     )
