@@ -322,7 +322,8 @@ def materialise(
     n_touched = sum(len({slot % n_buckets[key] for slot in slots}) for key, slots in touched.items())
     before = _read_state(spark, stored) if stored else None
     rows = state_rows(before, fresh.select(*LOG_FILE_SCHEMA.fieldNames()), n_buckets, n_touched, _crowded(touched, n_buckets))
-    rows.write.mode("overwrite").partitionBy(*_KEYS).parquet(state_path)
+    # A version of the state lies beside the one before it; zstandard makes both smaller.
+    rows.write.mode("overwrite").partitionBy(*_KEYS).parquet(state_path, compression="zstd")
     state = spark.read.schema(_WRITTEN_STATE).parquet(state_path)
     summaries, _ = run_jobs(spark, [_summaries(state).collect, lambda: _write_fields(state, fields_path)], threads)
     rewritten: dict[tuple[str, str], set[int]] = defaultdict(set)

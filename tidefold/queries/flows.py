@@ -17,11 +17,11 @@ from tidefold.plans.ingest import Sink, bronze_sink, log_sink, sync_once
 from tidefold.plans.monitoring import count_tables, table_row_counts
 from tidefold.plans.publish import manifests_path, publish, register_published_views
 from tidefold.plans.service import ServicePaths, run_round
-from tidefold.plans.staging import materialise, read_staging, read_table, staging_inventory, staging_tables
+from tidefold.plans.staging import drop_old_versions, materialise, read_staging, read_table, staging_inventory, staging_tables
 from tidefold.queries.inputs import LOG_E, LOG_L, RAW_VALID, live_sql, log_rows, raw_events, table
 from tidefold.queries.registry import query
 from tidefold.schemas import CATALOG_SCHEMA, CDC_DOCUMENT_ID, LOG_FILE_SCHEMA, RAW_LOG_COLUMNS, RAW_LOG_SCHEMA, UPSERT
-from tidefold.session import scratch_path
+from tidefold.session import scratch_path, shuffles_removed
 from tidefold.sources.bronze import (
     append_bronze,
     bronze_columns,
@@ -381,12 +381,17 @@ def case_names(spark, sf_dir):
         document as _document_json from {live_sql(LOG_L.sql)}""",
 )
 def incremental_staging(spark, sf_dir):
-    """A load per ship year, the latest first, staged one by one; equal to folding everything at once."""
+    """A load per ship year, the latest first, staged one by one; equal to folding everything at once.
+
+    Versions that a load has replaced are deleted after it, as a service round does, so disk holds two of them at most.
+    """
     log, root = scratch_path(spark, "log"), scratch_path(spark, "staging")
     events = LOG_L.frame(spark, sf_dir)
-    for year in sorted((row["ship_year"] for row in events.select("ship_year").distinct().collect()), reverse=True):
-        write_load(events.where(F.col("ship_year") == year), log, year)
-        materialise(spark, log, root)
+    with shuffles_removed(spark):
+        for year in sorted((row["ship_year"] for row in events.select("ship_year").distinct().collect()), reverse=True):
+            write_load(events.where(F.col("ship_year") == year), log, year)
+            materialise(spark, log, root)
+            drop_old_versions(spark, root)
     return _all_tables(spark, root).select("_table_name", "_document_id", "_timestamp", "part", "cents", "_document_json")
 
 
